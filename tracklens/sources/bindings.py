@@ -2,7 +2,9 @@
 
 ``history`` reads orders as issues and line items as their events: for times,
 labels and contributors. ``text`` reads documents as issues and click events as
-their timelines: for triage and text. Both are whole-table projections.
+their timelines: for triage and text. ``shipments`` reads line items as untyped issues
+with nested events, some of them faulty: for parsing. All are whole-table
+projections.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -120,6 +122,49 @@ def text_events(documents: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
+def shipment_issues(lineitem: DataFrame) -> DataFrame:
+    """Untyped issues as a JSON export holds them.
+
+    The two closed events stand in either date order; some states, numbers and
+    dates are not valid.
+    """
+    order, part, supplier = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
+    iso = lambda ts: F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX")
+    after = lambda days, hours: F.col("l_shipdate") + _shift(days, hours, F.lit(0))
+    event = lambda kind, author, ts: F.struct(
+        F.lit(kind).alias("event_type"), F.concat(F.lit("u"), author).alias("author"),
+        F.lit(None).cast("string").alias("actor"), iso(ts).alias("event_date"),
+        F.lit(None).cast("string").alias("created_date"), F.lit(None).cast("string").alias("label"),
+        F.lit(None).cast("string").alias("comment"))
+    quantity = F.col("l_quantity")
+    done = F.col("l_linestatus") == "F"
+    timeline = F.filter(F.array(
+        F.when(F.col("l_returnflag") == "A", event("commented", part % 100, after(F.lit(0), F.lit(5)))),
+        F.when(done, event("closed", supplier, after(quantity, F.lit(2)))),
+        F.when(done & (order % 3 == 0), event("closed", part % 100, after(part % 50, F.lit(1)))),
+    ), lambda one: one.isNotNull())
+    return lineitem.select(
+        F.concat(F.lit("item/"), order).alias("url"),
+        F.concat(F.lit("u"), supplier).alias("creator"),
+        _labels(("kind/bug", F.col("l_discount") > 0.05),
+                ("area/docs", F.col("l_tax") > 0.04)).alias("labels"),
+        F.when(part % 101 == 0, "draft").when(done, "closed").otherwise("open").alias("state"),
+        F.array().cast("array<string>").alias("assignees"),
+        F.concat(F.lit("Item "), F.col("l_linenumber")).alias("title"),
+        F.lit(None).cast("string").alias("text"),
+        F.when(supplier % 50 == 0, F.lit("n/a"))
+        .otherwise((order * 10 + F.col("l_linenumber")).cast("string")).alias("number"),
+        F.when(part % 89 == 0, F.lit("soon")).otherwise(iso(F.col("l_shipdate"))).alias("created_date"),
+        iso(after(quantity, F.lit(3))).alias("updated_date"),
+        F.lit(None).cast("string").alias("timeline_url"),
+        timeline.alias("events"),
+    )
+
+
+def shipments(spark: SparkSession, folder: str) -> DataFrame:
+    return shipment_issues(load(spark, folder, "lineitem"))
+
+
 def history(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     orders, lineitem = load(spark, folder, "orders"), load(spark, folder, "lineitem")
     return history_issues(orders), history_events(orders, lineitem)

@@ -5,112 +5,87 @@ a ranking window sorts them in a single task; neither holds when one label has a
 third of all issues. Here a whole-number value is read as three 20-bit digits.
 Counting by digit is an ordinary aggregation with map-side combine, and a rank is
 located digit by digit: each window sees the counts below one prefix, so never
-more than 2**20 rows whatever the data.
+more than 2**20 rows per wanted rank whatever the data.
 """
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DIGIT_BITS = 20
 
-Rank = Callable[[Column], Column]
-
-
-def lower_middle(n: Column) -> Column:
-    return F.floor((n - 1) / 2)
-
-
-def upper_middle(n: Column) -> Column:
-    return F.floor(n / 2)
-
-
-def at_fraction(numerator: int, denominator: int) -> Rank:
-    """Zero-based place ``numerator * n div denominator`` (below 1)."""
-    return lambda n: F.floor(n * numerator / denominator)
+# Zero-based ranks, as SQL over the number of values ``n``.
+MIDDLES = {"mid_low": "(n - 1) div 2", "mid_high": "n div 2"}
+MEDIAN = "((mid_low + mid_high) / 2D)"
 
 
-def below_percent(percent: int) -> Rank:
-    """The neighbour at or below the linear-interpolation point."""
-    return lambda n: F.floor((n - 1) * percent / 100)
+def at_fraction(numerator: int, denominator: int) -> str:
+    """Place ``numerator * n div denominator`` (below 1)."""
+    return f"({numerator} * n) div {denominator}"
 
 
-def above_percent(percent: int) -> Rank:
-    return lambda n: F.ceil((n - 1) * percent / 100)
+def around_percent(percent: int) -> dict[str, str]:
+    """The two neighbours of a percentile's linear-interpolation point."""
+    point = f"((n - 1) * {percent})"
+    return {f"low{percent}": f"{point} div 100", f"high{percent}": f"({point} + 99) div 100"}
 
 
-def interpolate(low: Column, high: Column, n: Column, percent: int) -> Column:
-    """Linear interpolation between the two neighbours of a percentile."""
-    share = F.pmod((n - 1) * percent, F.lit(100)) / 100.0
-    return low + (high - low) * share
+def interpolated(percent: int) -> str:
+    """The percentile from the two neighbours of ``around_percent``."""
+    low, high = f"low{percent}", f"high{percent}"
+    return f"({low} + ({high} - {low}) * (((n - 1) * {percent}) % 100) / 100D)"
 
 
-def order_statistics(
-    df: DataFrame, keys: list[str], value: str, ranks: dict[str, Rank]
-) -> DataFrame:
+def order_statistics(df: DataFrame, keys: list[str], value: str, ranks: dict[str, str]) -> DataFrame:
     """Values of ``value`` at zero-based ranks, per combination of ``keys``.
 
-    ``value`` is a BIGINT; NULLs are not ranked. ``ranks`` maps an output column
-    to a function from the number of values to the wanted rank. The result has
-    the keys, ``n`` and one column per rank. Without keys it has one row, or none
-    when there is no value.
+    ``value`` is a BIGINT column; NULLs are not ranked. ``ranks`` maps an output
+    column to the wanted rank. The result has the keys, ``n`` and one column per
+    rank. Without keys it has one row, or none when there is no value.
     """
-    rows = df.filter(F.col(value).isNotNull())
     names = [f"key{i}" for i in range(len(keys))]
-    rows = rows.select(*[F.col(k).alias(n) for k, n in zip(keys, names)],
-                       F.col(value).cast("bigint").alias("v"))
+    rows = df.selectExpr(*[f"`{k}` AS {n}" for k, n in zip(keys, names)], f"`{value}` AS v"
+                         ).filter("v IS NOT NULL")
 
     # Exchanged once; every later step reads the same shuffle files.
-    fine = rows.groupBy(*names, "v").agg(F.count(F.lit(1)).alias("c"))
-    middle = fine.groupBy(*names, F.shiftright("v", DIGIT_BITS).alias("p2")).agg(
-        F.sum("c").alias("c"))
-    coarse = middle.groupBy(*names, F.shiftright("p2", DIGIT_BITS).alias("p1")).agg(
-        F.sum("c").alias("c"))
-
-    whole = W.partitionBy(*names)
-    counted = coarse.withColumn("n", F.sum("c").over(whole))
-    wanted = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("name"), rank(F.col("n")).cast("bigint").alias("rest"))
-        for name, rank in ranks.items()
-    ]))
-    running = W.partitionBy(*names).orderBy("p1").rowsBetween(W.unboundedPreceding, 0)
-    picked = (
-        counted.withColumn("upto", F.sum("c").over(running))
-        .select("*", wanted.alias("want"))
-        .select(*names, "n", "p1", "c", "upto", "want.name", "want.rest")
-    )
-    picked = _holding(picked).select(*names, "n", "name", "rest", "p1")
-    picked = _descend(middle.withColumn("p1", F.shiftright("p2", DIGIT_BITS)),
+    fine = rows.groupBy(*names, "v").agg(F.expr("count(1) AS c"))
+    middle = fine.selectExpr(*names, f"shiftright(v, {DIGIT_BITS}) AS p2", "c").groupBy(
+        *names, "p2").agg(F.expr("sum(c) AS c"))
+    coarse = middle.selectExpr(*names, f"shiftright(p2, {DIGIT_BITS}) AS p1", "c").groupBy(
+        *names, "p1").agg(F.expr("sum(c) AS c"))
+
+    same_key = f"PARTITION BY {', '.join(names)}" if names else ""
+    wanted = ", ".join(f"named_struct('name', '{name}', 'rest', CAST({rank} AS bigint))"
+                       for name, rank in ranks.items())
+    counted = coarse.selectExpr(
+        *names, "p1", "c", f"sum(c) OVER ({same_key} ORDER BY p1 ROWS UNBOUNDED PRECEDING) AS upto",
+        f"sum(c) OVER ({same_key}) AS n")
+    picked = _holding(counted.selectExpr(*names, "p1", "c", "upto", "n", f"inline(array({wanted}))"),
+                      names, "p1")
+    picked = _descend(middle.selectExpr(*names, "p2", "c", f"shiftright(p2, {DIGIT_BITS}) AS p1"),
                       picked, names, "p1", "p2")
-    picked = _descend(fine.withColumn("p2", F.shiftright("v", DIGIT_BITS)),
+    picked = _descend(fine.selectExpr(*names, "v", "c", f"shiftright(v, {DIGIT_BITS}) AS p2"),
                       picked, names, "p2", "v")
-    found = picked.groupBy(*names).agg(
-        F.first("n").alias("n"),
-        *[F.max(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in ranks],
-    )
+    found = picked.groupBy(*names).agg(F.expr("first(n) AS n"), *[
+        F.expr(f"max(CASE WHEN name = '{name}' THEN v END) AS {name}") for name in ranks])
     if not keys:
-        found = found.filter(F.col("n").isNotNull())
-    return found.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], "n", *ranks)
+        found = found.filter("n IS NOT NULL")
+    return found.selectExpr(*[f"{n} AS `{k}`" for k, n in zip(keys, names)], "n", *ranks)
 
 
-def _holding(running: DataFrame) -> DataFrame:
+def _holding(running: DataFrame, names: list[str], digit: str) -> DataFrame:
     """Keep the counter holding the wanted rank; ``rest`` becomes the rank in it."""
-    below = F.col("upto") - F.col("c")
-    return running.filter((below <= F.col("rest")) & (F.col("rest") < F.col("upto"))).withColumn(
-        "rest", F.col("rest") - below)
+    return running.filter("upto - c <= rest AND rest < upto").selectExpr(
+        *names, "n", "name", "rest - (upto - c) AS rest", digit)
 
 
-def _descend(counts, picked, names, prefix, digit):
+def _descend(counts: DataFrame, picked: DataFrame, names: list[str], prefix: str,
+             digit: str) -> DataFrame:
     """One digit further: the counters under each picked prefix, then the one hit."""
-    left = picked.select(*[F.col(n).alias(f"w_{n}") for n in names],
-                         F.col(prefix).alias("w_prefix"), "name", "rest", "n")
-    match = F.col(prefix).eqNullSafe(F.col("w_prefix"))
-    for name in names:
-        match = match & F.col(name).eqNullSafe(F.col(f"w_{name}"))
-    joined = counts.join(left, match)
-    running = W.partitionBy(*names, prefix, "name").orderBy(digit).rowsBetween(
-        W.unboundedPreceding, 0)
-    hit = _holding(joined.withColumn("upto", F.sum("c").over(running)))
-    return hit.select(*names, "n", "name", "rest", digit)
+    keys = [*names, prefix]
+    left = picked.selectExpr(*[f"{k} AS w_{k}" for k in keys], "name", "rest", "n")
+    joined = counts.join(left, F.expr(" AND ".join(f"{k} <=> w_{k}" for k in keys)))
+    running = joined.selectExpr(
+        *names, digit, "c", "name", "rest", "n",
+        f"sum(c) OVER (PARTITION BY {', '.join(keys)}, name ORDER BY {digit} "
+        "ROWS UNBOUNDED PRECEDING) AS upto")
+    return _holding(running, names, digit)

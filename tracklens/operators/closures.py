@@ -6,46 +6,44 @@
              resolution time only counts when positive.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklens.functions.columns import micros_between, to_hours
+from tracklens.functions.columns import hours, micros_between
 from tracklens.operators.filters import close_events
 
 
-def event_time(events: DataFrame) -> Column:
+def event_time(events: DataFrame) -> str:
     """The event's date, else its own creation date where the frame has one."""
     if "event_created_date" in events.columns:
-        return F.coalesce("event_date", "event_created_date")
-    return F.col("event_date")
+        return "coalesce(event_date, event_created_date)"
+    return "event_date"
 
 
 def closing_times(events: DataFrame) -> DataFrame:
     """Per issue with a closed event: the three readings of its date."""
     dated = event_time(events)
-    return close_events(events).groupBy(F.col("issue_number").alias("number")).agg(
-        F.min("event_date").alias("closure_min"),
-        F.min_by("event_date", "pos").alias("closure_first"),
-        F.min_by(dated, F.when(dated.isNotNull(), F.col("pos"))).alias("closure_dated"),
-    )
+    return close_events(events).groupBy("issue_number").agg(
+        F.expr("min(event_date) AS closure_min"),
+        F.expr("min_by(event_date, pos) AS closure_first"),
+        F.expr(f"min_by({dated}, if({dated} IS NULL, NULL, pos)) AS closure_dated"),
+    ).withColumnRenamed("issue_number", "number")
 
 
 def with_resolution(issues: DataFrame, events: DataFrame, closure: str) -> DataFrame:
     """Issues with ``closure_date``, ``resolution_micros`` and ``resolution_hours``."""
-    joined = issues.join(closing_times(events), "number", "left")
-    if closure == "min":
-        closed = F.col("closure_min")
-    elif closure == "first":
-        closed = F.col("closure_first")
-        if "closed_at" in issues.columns:
-            closed = F.coalesce("closed_at", closed)
-    elif closure == "updated":
-        closed = F.coalesce("closure_dated", "updated_date")
-    else:
+    columns = issues.columns
+    rules = {
+        "min": "closure_min",
+        "first": "coalesce(closed_at, closure_first)" if "closed_at" in columns else "closure_first",
+        "updated": "coalesce(closure_dated, updated_date)",
+    }
+    if closure not in rules:
         raise ValueError(f"unknown closure rule {closure!r}")
-    micros = micros_between(F.col("created_date"), closed)
+    micros = micros_between("created_date", "closure_date")
     if closure == "updated":
-        micros = F.when(micros > 0, micros)
-    return joined.select(
-        *[F.col(c) for c in issues.columns], closed.alias("closure_date"),
-        micros.alias("resolution_micros"), to_hours(micros).alias("resolution_hours"))
+        micros = f"if({micros} > 0, {micros}, NULL)"
+    joined = issues.join(closing_times(events), "number", "left")
+    return joined.selectExpr(*columns, f"{rules[closure]} AS closure_date").selectExpr(
+        "*", f"{micros} AS resolution_micros").selectExpr(
+        "*", f"{hours('resolution_micros')} AS resolution_hours")

@@ -1,31 +1,22 @@
 """How long issues take to resolve, per label and overall."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklens.functions.columns import (
-    day_of_week, flag, has_label, label_category, label_list, labels_or_none, mean_micros,
-    to_days, to_hours,
+    days, flag, has_label, hours, label_category, label_list, labels_or_none, mean_micros,
 )
 from tracklens.functions.ranks import (
-    above_percent, at_fraction, below_percent, interpolate, lower_middle, order_statistics,
-    upper_middle,
+    MEDIAN, MIDDLES, around_percent, at_fraction, interpolated, order_statistics,
 )
 from tracklens.operators.closures import with_resolution
 from tracklens.operators.filters import filter_by_state
 
-_MIDDLES = {"mid_low": lower_middle, "mid_high": upper_middle}
-
-
-def _median(low: str = "mid_low", high: str = "mid_high") -> Column:
-    """Median in microseconds from the two middle values."""
-    return (F.col(low) + F.col(high)) / 2.0
-
 
 def closed_resolutions(issues: DataFrame, events: DataFrame, *, closure: str = "first") -> DataFrame:
     """Closed issues having a resolution time; negative times stay."""
     return with_resolution(filter_by_state(issues, "closed"), events, closure).filter(
-        F.col("resolution_micros").isNotNull())
+        "resolution_micros IS NOT NULL")
 
 
 def label_resolution_stats(issues: DataFrame, events: DataFrame, *, closure: str = "first") -> DataFrame:
@@ -34,50 +25,43 @@ def label_resolution_stats(issues: DataFrame, events: DataFrame, *, closure: str
     A label repeated on an issue counts twice; issues without labels count as
     ``no_label``. p25 and p75 are the values at places n div 4 and 3n div 4.
     """
-    times = closed_resolutions(issues, events, closure=closure).select(
-        F.explode(labels_or_none(F.col("labels"))).alias("label"), "resolution_micros")
-    hours = to_hours(F.col("resolution_micros"))
+    times = closed_resolutions(issues, events, closure=closure).selectExpr(
+        f"explode({labels_or_none('labels')}) AS label", "resolution_micros")
     basic = times.groupBy("label").agg(
-        F.count(F.lit(1)).alias("count"),
-        to_hours(mean_micros("resolution_micros")).alias("mean_hours"),
-        F.coalesce(F.stddev_samp(hours), F.lit(0.0)).alias("std_dev_hours"),
-        to_hours(F.min("resolution_micros")).alias("min_hours"),
-        to_hours(F.max("resolution_micros")).alias("max_hours"),
-    )
+        F.expr("count(1) AS count"),
+        F.expr(f"{hours(mean_micros('resolution_micros'))} AS mean_hours"),
+        F.expr(f"coalesce(stddev_samp({hours('resolution_micros')}), 0D) AS std_dev_hours"),
+        F.expr(f"{hours('min(resolution_micros)')} AS min_hours"),
+        F.expr(f"{hours('max(resolution_micros)')} AS max_hours"))
     ranked = order_statistics(times, ["label"], "resolution_micros", {
-        **_MIDDLES, "q25": at_fraction(1, 4), "q75": at_fraction(3, 4)})
-    order = ranked.select(
-        F.col("label").alias("ranked_label"),
-        to_hours(_median()).alias("median_hours"),
-        to_hours(F.col("q25")).alias("percentile_25"),
-        to_hours(F.col("q75")).alias("percentile_75"),
+        **MIDDLES, "q25": at_fraction(1, 4), "q75": at_fraction(3, 4)})
+    order = ranked.selectExpr(
+        "label AS ranked_label", f"{hours(MEDIAN)} AS median_hours",
+        f"{hours('q25')} AS percentile_25", f"{hours('q75')} AS percentile_75",
         # Twice the median is a whole number of microseconds, fit for ranking.
-        (F.col("mid_low") + F.col("mid_high")).alias("median_micros_x2"),
-    )
-    return basic.join(order, F.col("label").eqNullSafe(F.col("ranked_label"))).select(
+        "mid_low + mid_high AS median_micros_x2")
+    return basic.join(order, F.expr("label <=> ranked_label")).selectExpr(
         "label", "count", "mean_hours", "median_hours", "std_dev_hours", "min_hours",
-        "max_hours", "percentile_25", "percentile_75",
-        (F.col("mean_hours") / 24).alias("mean_days"),
-        (F.col("median_hours") / 24).alias("median_days"), "median_micros_x2")
+        "max_hours", "percentile_25", "percentile_75", "mean_hours / 24 AS mean_days",
+        "median_hours / 24 AS median_days", "median_micros_x2")
 
 
 def resolution_summary(issues: DataFrame, events: DataFrame, *, closure: str = "first") -> DataFrame:
     """One row over all closed issues; no row when none has a resolution time."""
     times = closed_resolutions(issues, events, closure=closure)
-    labels = times.select(F.explode(labels_or_none(F.col("labels"))).alias("label"))
-    middle = order_statistics(times, [], "resolution_micros", _MIDDLES)
+    labels = times.selectExpr(f"explode({labels_or_none('labels')}) AS label")
+    unique = labels.agg(F.expr("count(DISTINCT struct(label))")).scalar()
+    median = order_statistics(times, [], "resolution_micros", MIDDLES).selectExpr(
+        days(MEDIAN)).scalar()
     whole = times.agg(
-        F.count(F.lit(1)).alias("total_closed_issues"),
-        to_days(mean_micros("resolution_micros")).alias("overall_mean_days"),
-        to_days(F.min("resolution_micros")).alias("fastest_resolution_days"),
-        to_days(F.max("resolution_micros")).alias("slowest_resolution_days"),
-    )
-    return whole.filter(F.col("total_closed_issues") > 0).select(
-        "total_closed_issues",
-        labels.agg(F.count_distinct(F.struct("label"))).scalar().alias(
-            "total_unique_labels"),
-        to_days(middle.select(_median()).scalar()).alias("overall_median_days"),
-        "overall_mean_days", "fastest_resolution_days", "slowest_resolution_days")
+        F.expr("count(1) AS total_closed_issues"),
+        F.expr(f"{days(mean_micros('resolution_micros'))} AS overall_mean_days"),
+        F.expr(f"{days('min(resolution_micros)')} AS fastest_resolution_days"),
+        F.expr(f"{days('max(resolution_micros)')} AS slowest_resolution_days"))
+    return whole.filter("total_closed_issues > 0").select(
+        "total_closed_issues", unique.alias("total_unique_labels"),
+        median.alias("overall_median_days"), "overall_mean_days",
+        "fastest_resolution_days", "slowest_resolution_days")
 
 
 def label_lookup(stats: DataFrame, label: str) -> DataFrame:
@@ -85,21 +69,18 @@ def label_lookup(stats: DataFrame, label: str) -> DataFrame:
 
     ``status`` is ``unknown`` and the figures NULL for a label never seen.
     """
-    found = stats.filter(F.col("label") == label).select(
-        "label", F.col("median_days").alias("predicted_days"),
-        F.col("median_hours").alias("predicted_hours"),
-        (F.col("percentile_25") / 24).alias("min_days"),
-        (F.col("percentile_75") / 24).alias("max_days"),
-        F.col("count").alias("based_on_issues"), F.col("mean_days").alias("average_days"),
-        (F.col("min_hours") / 24).alias("fastest_days"),
-        (F.col("max_hours") / 24).alias("slowest_days"))
+    figures = {
+        "predicted_days": "median_days", "predicted_hours": "median_hours",
+        "min_days": "percentile_25 / 24", "max_days": "percentile_75 / 24",
+        "based_on_issues": "count", "average_days": "mean_days",
+        "fastest_days": "min_hours / 24", "slowest_days": "max_hours / 24",
+    }
+    found = stats.filter(F.col("label") == label).selectExpr(
+        "label", *[f"{expression} AS {name}" for name, expression in figures.items()])
     asked = stats.sparkSession.range(1).select(F.lit(label).alias("label"))
     both = asked.unionByName(found, allowMissingColumns=True)
-    figures = [c for c in found.columns if c != "label"]
-    return both.groupBy("label").agg(*[F.max(c).alias(c) for c in figures]).select(
-        "label",
-        F.when(F.col("based_on_issues").isNull(), "unknown").otherwise("success").alias("status"),
-        *figures)
+    return both.groupBy("label").agg(*[F.max(name).alias(name) for name in figures]).selectExpr(
+        "label", "if(based_on_issues IS NULL, 'unknown', 'success') AS status", *figures)
 
 
 def fastest_labels(stats: DataFrame, *, n: int = 10) -> DataFrame:
@@ -121,43 +102,40 @@ def top_labels_by_count(stats: DataFrame, *, n: int = 15) -> DataFrame:
     return stats.select("label", "count", "median_days").orderBy(F.desc("count"), "label").limit(n)
 
 
-def _five_numbers(medians: DataFrame, keys: list[str]) -> DataFrame:
-    """Box-plot numbers of label medians: quartiles, and whiskers reaching the
-    last value within 1.5 interquartile ranges."""
-    quartiles = order_statistics(medians, keys, "median_micros_x2", {
-        "low25": below_percent(25), "high25": above_percent(25),
-        "low50": below_percent(50), "high50": above_percent(50),
-        "low75": below_percent(75), "high75": above_percent(75),
-    })
-    half = lambda value: to_days(value) / 2
-    boxes = quartiles.select(*keys, F.col("n").alias("labels"), *[
-        half(interpolate(F.col(f"low{p}"), F.col(f"high{p}"), F.col("n"), p)).alias(name)
-        for p, name in [(25, "q1_days"), (50, "median_days"), (75, "q3_days")]
-    ])
-    value = half(F.col("median_micros_x2"))
-    reach = 1.5 * (F.col("q3_days") - F.col("q1_days"))
-    ends = [
-        F.min(F.when(value >= F.col("q1_days") - reach, value)).alias("whisker_low_days"),
-        F.max(F.when(value <= F.col("q3_days") + reach, value)).alias("whisker_high_days"),
-        F.min(value).alias("min_days"), F.max(value).alias("max_days"),
-    ]
-    numbers = ["labels", "q1_days", "median_days", "q3_days"]
-    if keys:
-        return medians.select(*keys, "median_micros_x2").join(boxes, keys).groupBy(
-            *keys, *numbers).agg(*ends)
-    scalars = {c: boxes.select(c).scalar() for c in numbers}
-    return medians.select("median_micros_x2").withColumns(scalars).groupBy(*numbers).agg(*ends)
+def _half_days(micros_x2: str) -> str:
+    return f"({days(micros_x2)} / 2)"
+
+
+def _quartiles(medians: DataFrame, keys: list[str]) -> DataFrame:
+    ranked = order_statistics(medians, keys, "median_micros_x2", {
+        **around_percent(25), **around_percent(50), **around_percent(75)})
+    return ranked.selectExpr(
+        *keys, "n AS labels", f"{_half_days(interpolated(25))} AS q1_days",
+        f"{_half_days(interpolated(50))} AS median_days",
+        f"{_half_days(interpolated(75))} AS q3_days")
+
+
+def _whiskers(beside: DataFrame, keys: list[str]) -> DataFrame:
+    """Ends of the box plot: the last values within 1.5 interquartile ranges."""
+    value = _half_days("median_micros_x2")
+    reach = "1.5D * (q3_days - q1_days)"
+    return beside.groupBy(*keys, "labels", "q1_days", "median_days", "q3_days").agg(
+        F.expr(f"min(if({value} >= q1_days - {reach}, {value}, NULL)) AS whisker_low_days"),
+        F.expr(f"max(if({value} <= q3_days + {reach}, {value}, NULL)) AS whisker_high_days"),
+        F.expr(f"min({value}) AS min_days"), F.expr(f"max({value}) AS max_days"))
 
 
 def label_category_stats(stats: DataFrame) -> DataFrame:
     """Box-plot numbers of the label medians in each label category."""
-    medians = stats.select(label_category(F.col("label")).alias("category"), "median_micros_x2")
-    return _five_numbers(medians, ["category"])
+    medians = stats.selectExpr(f"{label_category('label')} AS category", "median_micros_x2")
+    return _whiskers(medians.join(_quartiles(medians, ["category"]), "category"), ["category"])
 
 
 def label_median_box(stats: DataFrame) -> DataFrame:
     """Box-plot numbers of all label medians, one row."""
-    return _five_numbers(stats.select("median_micros_x2"), [])
+    medians = stats.select("median_micros_x2")
+    box = _quartiles(medians, []).select(F.struct("*")).scalar()
+    return _whiskers(medians.withColumn("box", box).selectExpr("median_micros_x2", "box.*"), [])
 
 
 def label_median_histogram(stats: DataFrame, *, bins: int = 30) -> DataFrame:
@@ -166,18 +144,17 @@ def label_median_histogram(stats: DataFrame, *, bins: int = 30) -> DataFrame:
     The last bin is closed; with a single distinct value all are in bin 0.
     """
     medians = stats.select("median_days")
-    low = medians.agg(F.min("median_days")).scalar()
-    high = medians.agg(F.max("median_days")).scalar()
-    spread = medians.withColumns({"low": low, "high": high})
-    place = F.floor((F.col("median_days") - F.col("low")) / (F.col("high") - F.col("low")) * bins)
-    binned = spread.select(F.when(F.col("high") > F.col("low"), F.least(
-        place, F.lit(bins - 1))).otherwise(F.lit(0)).cast("bigint").alias("bin"))
-    empty = stats.sparkSession.range(bins).select(F.col("id").alias("bin"), F.lit(0).alias("hit"))
-    counts = binned.withColumn("hit", F.lit(1)).unionByName(empty).groupBy("bin").agg(
-        F.sum("hit").alias("labels"))
-    edge = lambda i: low + (high - low) * i / bins
-    return counts.select("bin", edge(F.col("bin")).alias("from_days"),
-                         edge(F.col("bin") + 1).alias("to_days"), "labels")
+    ends = medians.agg(F.expr("struct(min(median_days) AS low, max(median_days) AS high)")).scalar()
+    binned = medians.withColumn("ends", ends).selectExpr(
+        f"CASE WHEN ends.high > ends.low THEN least({bins - 1}, "
+        f"floor((median_days - ends.low) / (ends.high - ends.low) * {bins})) ELSE 0 END AS bin",
+        "1 AS hit")
+    empty = stats.sparkSession.range(bins).selectExpr("id AS bin", "0 AS hit")
+    counts = binned.unionByName(empty).groupBy("bin").agg(F.expr("sum(hit) AS labels"))
+    edge = f"ends.low + (ends.high - ends.low) * {{}} / {bins}"
+    return counts.withColumn("ends", ends).selectExpr(
+        "bin", f"{edge.format('bin')} AS from_days", f"{edge.format('(bin + 1)')} AS to_days",
+        "labels")
 
 
 def label_features(issues: DataFrame) -> DataFrame:
@@ -185,13 +162,11 @@ def label_features(issues: DataFrame) -> DataFrame:
 
     Without a creation date the weekday is 0 and the month 1.
     """
-    labels, created = F.col("labels"), F.col("created_date")
-    return issues.withColumns({
-        "num_labels": F.size(label_list(labels)),
-        "has_bug_label": flag(has_label(labels, "bug")),
-        "has_feature_label": flag(has_label(labels, "feature", "enhancement")),
-        "has_docs_label": flag(has_label(labels, "doc")),
-        "has_area_label": flag(has_label(labels, "area/")),
-        "day_of_week": F.coalesce(day_of_week(created), F.lit(0)),
-        "month": F.coalesce(F.month(created), F.lit(1)),
-    })
+    return issues.selectExpr(
+        "*", f"size({label_list('labels')}) AS num_labels",
+        f"{flag(has_label('labels', 'bug'))} AS has_bug_label",
+        f"{flag(has_label('labels', 'feature', 'enhancement'))} AS has_feature_label",
+        f"{flag(has_label('labels', 'doc'))} AS has_docs_label",
+        f"{flag(has_label('labels', 'area/'))} AS has_area_label",
+        "coalesce(weekday(created_date), 0) AS day_of_week",
+        "coalesce(month(created_date), 1) AS month")

@@ -1,15 +1,13 @@
 """Counts as shares of their total."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def percent(part: Column, whole: Column) -> Column:
-    """100 * part / whole, 0 for an empty whole."""
-    return F.when(whole > 0, part * 100.0 / whole).otherwise(F.lit(0.0))
+from tracklens.functions.columns import percent
 
 
 def with_share(counts: DataFrame, count: str = "n") -> DataFrame:
     """Add ``pct`` of the grand total, which is a one-row scalar subquery."""
-    total = counts.agg(F.coalesce(F.sum(count), F.lit(0))).scalar()
-    return counts.withColumn("pct", percent(F.col(count), total))
+    total = counts.agg(F.expr(f"coalesce(sum({count}), 0)")).scalar()
+    return counts.withColumn("total", total).selectExpr(
+        *counts.columns, f"{percent(count, 'total')} AS pct")

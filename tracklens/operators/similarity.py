@@ -1,10 +1,9 @@
 """TF-IDF weights of issue texts and the issues closest to a text."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tracklens.functions.columns import words_of
+from tracklens.functions.columns import one_of, words_of
 
 VOCABULARY_SIZE = 300
 
@@ -12,14 +11,13 @@ VOCABULARY_SIZE = 300
 def terms(texts: DataFrame, *, stop_words: list[str], text_col: str = "feature_text",
           key: str = "number") -> DataFrame:
     """One row per term occurrence, stop words left out."""
-    words = words_of(F.coalesce(F.col(text_col), F.lit("")))
-    rows = texts.select(key, F.explode(words).alias("term"))
-    return rows.filter(~F.col("term").isin(stop_words)) if stop_words else rows
+    rows = texts.selectExpr(key, f"explode({words_of(text_col)}) AS term")
+    return rows.filter(f"NOT {one_of('term', stop_words)}")
 
 
 def vocabulary(occurrences: DataFrame, *, size: int = VOCABULARY_SIZE) -> DataFrame:
     """The most frequent terms over all texts, ties by term."""
-    counts = occurrences.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+    counts = occurrences.groupBy("term").agg(F.expr("count(1) AS total"))
     return counts.orderBy(F.desc("total"), "term").limit(size)
 
 
@@ -36,21 +34,21 @@ class TermWeights:
         occurrences = terms(texts, stop_words=stop_words, text_col=text_col, key=key)
         self.vocabulary = vocabulary(occurrences, size=size).select("term")
         self.counts = self._count(occurrences)
-        documents = texts.agg(F.count(F.lit(1))).scalar()
-        frequency = self.counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        self.idf = frequency.select(
-            "term", (F.log((1.0 + documents) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+        documents = texts.agg(F.expr("count(1)")).scalar()
+        frequency = self.counts.groupBy("term").agg(F.expr("count(1) AS df"))
+        self.idf = frequency.withColumn("documents", documents).selectExpr(
+            "term", "ln((1D + documents) / (1D + df)) + 1D AS idf")
 
     def _count(self, occurrences: DataFrame) -> DataFrame:
         return occurrences.join(F.broadcast(self.vocabulary), "term").groupBy(
-            self.key, "term").agg(F.count(F.lit(1)).alias("tf"))
+            self.key, "term").agg(F.expr("count(1) AS tf"))
 
     def _weigh(self, counts: DataFrame) -> DataFrame:
-        raw = counts.join(F.broadcast(self.idf), "term").withColumn(
-            "raw", F.col("tf") * F.col("idf"))
+        raw = counts.join(F.broadcast(self.idf), "term").selectExpr(
+            self.key, "term", "tf", "tf * idf AS raw")
         # One text has at most ``size`` terms, so the window is small.
-        norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(self.key)))
-        return raw.select(self.key, "term", "tf", (F.col("raw") / norm).alias("weight"))
+        norm = f"sqrt(sum(raw * raw) OVER (PARTITION BY {self.key}))"
+        return raw.selectExpr(self.key, "term", "tf", f"raw / {norm} AS weight")
 
     def weights(self) -> DataFrame:
         """key, term, tf, weight with unit length per text; terms present only."""
@@ -81,12 +79,12 @@ def find_similar_issues(closed: DataFrame, text: str, *, stop_words: list[str],
     fitted = TermWeights(closed, size=size, stop_words=stop_words, text_col=text_col)
     asked = closed.sparkSession.range(1).select(
         F.lit(0).cast("bigint").alias("number"), F.lit(text).alias(text_col))
-    wanted = fitted.weights_of(asked).select("term", F.col("weight").alias("asked_weight"))
-    products = fitted.weights().join(F.broadcast(wanted), "term").select(
-        "number", (F.col("weight") * F.col("asked_weight")).alias("part"))
-    every = closed.select("number", F.lit(0.0).alias("part"))
+    wanted = fitted.weights_of(asked).selectExpr("term", "weight AS asked_weight")
+    products = fitted.weights().join(F.broadcast(wanted), "term").selectExpr(
+        "number", "weight * asked_weight AS part")
+    every = closed.selectExpr("number", "0D AS part")
     scores = products.unionByName(every).groupBy("number").agg(
-        F.round(F.sum("part"), 9).alias("similarity"))
+        F.expr("round(sum(part), 9) AS similarity"))
     nearest = scores.orderBy(F.desc("similarity"), "number").limit(k)
     # At most k rows, whatever the input.
     found = closed.drop(text_col, "text").join(F.broadcast(nearest), "number")

@@ -1,20 +1,20 @@
 """Rule-based urgency and technical complexity of issues."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklens.functions.columns import (
-    MICROS_PER_HOUR, contains_any, count_labels_with, fence_count, flag, has_label, label_list,
-    mean_micros, micros_between, to_days, to_hours,
+    MICROS_PER_DAY, contains_any, count_labels_with, days, fence_count, flag, has_label, hours,
+    label_list, mean_micros, micros_between, points_above, points_from,
 )
 from tracklens.functions.ranks import (
-    above_percent, below_percent, interpolate, lower_middle, order_statistics, upper_middle,
+    MEDIAN, MIDDLES, around_percent, interpolated, order_statistics,
 )
 from tracklens.operators.closures import event_time
-from tracklens.operators.filters import filter_by_state, is_close, is_comment
+from tracklens.operators.filters import IS_CLOSE, IS_COMMENT, filter_by_state
 from tracklens.operators.shares import with_share
 from tracklens.schema import (
-    COMPONENT_WORDS, DEFECT_WORDS, PRIORITIES, SCOPE_WORDS, SECURITY_WORDS, SEVERE_WORDS,
+    COMPONENT_WORDS, DEFECT_WORDS, SCOPE_WORDS, SECURITY_WORDS, SEVERE_WORDS,
 )
 
 
@@ -27,142 +27,112 @@ def timeline_facts(issues: DataFrame, events: DataFrame, *, actor_col: str = "au
     gathers an issue holding a large part of all events.
     """
     time = event_time(events)
-    kind = F.col("event_type")
-    dated_close = F.when(is_close(kind) & time.isNotNull(),
-                         F.struct(F.col("pos").alias("pos"), time.alias("time")))
-    per_actor = events.groupBy("issue_number", F.col(actor_col).alias("actor")).agg(
-        F.count(F.lit(1)).alias("events"),
-        F.count_if(is_comment(kind)).alias("comments"),
-        F.min(F.when(kind.isin("commented", "labeled"), time)).alias("reply"),
-        F.min(dated_close).alias("close"),
-    )
-    creators = issues.select("number", "creator")
-    someone = F.coalesce(F.col("actor") != "", F.lit(False))
-    marked = per_actor.join(
-        creators,
-        (F.col("issue_number") == F.col("number")) & (F.col("actor") == F.col("creator")), "left")
+    per_actor = events.selectExpr(
+        "issue_number", f"{actor_col} AS actor", "event_type", "pos", f"{time} AS time"
+    ).groupBy("issue_number", "actor").agg(
+        F.expr("count(1) AS events"),
+        F.expr(f"count_if({IS_COMMENT}) AS comments"),
+        F.expr("min(if(event_type IN ('commented', 'labeled'), time, NULL)) AS reply"),
+        F.expr(f"min(if({IS_CLOSE} AND time IS NOT NULL, struct(pos, time), NULL)) AS close"))
+    creators = issues.selectExpr("number AS issue_number", "creator AS actor", "true AS created")
+    marked = per_actor.join(creators, ["issue_number", "actor"], "left")
     return marked.groupBy("issue_number").agg(
-        F.sum("events").alias("num_events"),
-        F.sum("comments").alias("num_comments"),
-        F.count_if(someone).alias("num_participants"),
-        F.min(F.when(someone & F.col("creator").isNull(), F.col("reply"))).alias("first_response"),
-        F.min("close").alias("close"),
-    ).select(F.col("issue_number").alias("number"), "num_events", "num_comments",
-             "num_participants", "first_response", F.col("close.time").alias("closure_dated"))
+        F.expr("sum(events) AS num_events"),
+        F.expr("sum(comments) AS num_comments"),
+        F.expr("count_if(actor <> '') AS num_participants"),
+        F.expr("min(if(actor <> '' AND created IS NULL, reply, NULL)) AS first_response"),
+        F.expr("min(close).time AS closure_dated"),
+    ).withColumnRenamed("issue_number", "number")
 
 
 def with_timeline(issues: DataFrame, events: DataFrame, *, actor_col: str = "author") -> DataFrame:
     """Issues with their timeline facts, resolution time (positive or NULL) and
     hours to the first response (may be negative)."""
     joined = issues.join(timeline_facts(issues, events, actor_col=actor_col), "number", "left")
-    zero = F.lit(0).cast("bigint")
-    closed = F.coalesce("closure_dated", "updated_date")
-    micros = micros_between(F.col("created_date"), closed)
-    micros = F.when(micros > 0, micros)
-    response = micros_between(F.col("created_date"), F.col("first_response"))
-    return joined.select(
-        *[F.col(c) for c in issues.columns],
-        *[F.coalesce(c, zero).alias(c) for c in ("num_events", "num_comments", "num_participants")],
-        micros.alias("resolution_micros"), to_hours(micros).alias("resolution_hours"),
-        to_hours(response).alias("first_response_hours"))
-
-
-def _steps(value: Column, bounds: list[tuple[int, int]]) -> Column:
-    """Points of the first bound exceeded, else none."""
-    chain = None
-    for bound, points in bounds:
-        chain = F.when(value > bound, points) if chain is None else chain.when(value > bound, points)
-    return chain.otherwise(0)
-
-
-def urgency_score(labels: Column, comments: Column, participants: Column, response_hours: Column,
-                  resolution_micros: Column, *, severe: list[str] = SEVERE_WORDS,
-                  defect: list[str] = DEFECT_WORDS, security: list[str] = SECURITY_WORDS) -> Column:
-    """Additive urgency points.
+    micros = micros_between("created_date", "coalesce(closure_dated, updated_date)")
+    return joined.selectExpr(
+        *issues.columns,
+        "coalesce(num_events, 0) AS num_events", "coalesce(num_comments, 0) AS num_comments",
+        "coalesce(num_participants, 0) AS num_participants",
+        f"if({micros} > 0, {micros}, NULL) AS resolution_micros",
+        f"{hours(micros_between('created_date', 'first_response'))} AS first_response_hours",
+    ).selectExpr("*", f"{hours('resolution_micros')} AS resolution_hours")
+
+
+def urgency_score(*, micros: str = "resolution_micros", severe: list[str] = SEVERE_WORDS,
+                  defect: list[str] = DEFECT_WORDS, security: list[str] = SECURITY_WORDS) -> str:
+    """Additive urgency points over the columns of ``with_timeline``.
 
     A response at exactly 0 hours scores nothing and a negative one counts as
     quick; a resolution of exactly 1 day, or of 7 and more, scores nothing.
     """
-    answered = response_hours.isNotNull() & (response_hours != 0)
-    day = 24 * MICROS_PER_HOUR
-    return (
-        F.when(has_label(labels, *severe), 5).otherwise(0)
-        + F.when(has_label(labels, *defect), 4).otherwise(0)
-        + F.when(has_label(labels, *security), 5).otherwise(0)
-        + _steps(comments, [(20, 3), (10, 2), (5, 1)])
-        + _steps(participants, [(5, 2), (3, 1)])
-        + F.when(answered & (response_hours < 24), 2)
-        .when(answered & (response_hours < 72), 1).otherwise(0)
-        + F.when((resolution_micros > day) & (resolution_micros < 7 * day), 2)
-        .when(resolution_micros < day, 3).otherwise(0)
-    )
-
-
-def urgency_class(score: Column) -> Column:
-    return (F.when(score >= 10, "Critical").when(score >= 7, "High")
-            .when(score >= 4, "Medium").otherwise("Low"))
+    response = "first_response_hours"
+    return " + ".join([
+        f"if({has_label('labels', *severe)}, 5, 0)",
+        f"if({has_label('labels', *defect)}, 4, 0)",
+        f"if({has_label('labels', *security)}, 5, 0)",
+        points_above("num_comments", [(20, 3), (10, 2), (5, 1)]),
+        points_above("num_participants", [(5, 2), (3, 1)]),
+        f"CASE WHEN {response} = 0 THEN 0 WHEN {response} < 24 THEN 2 WHEN {response} < 72 THEN 1 "
+        "ELSE 0 END",
+        f"CASE WHEN {micros} > {MICROS_PER_DAY} AND {micros} < {7 * MICROS_PER_DAY} THEN 2 "
+        f"WHEN {micros} < {MICROS_PER_DAY} THEN 3 ELSE 0 END",
+    ])
 
 
 def with_urgency(timeline: DataFrame, *, use_resolution: bool = True, **words) -> DataFrame:
     """Add ``urgency_score`` and ``urgency`` to the result of ``with_timeline``."""
-    micros = F.col("resolution_micros") if use_resolution else F.lit(None).cast("bigint")
-    score = urgency_score(F.col("labels"), F.col("num_comments"), F.col("num_participants"),
-                          F.col("first_response_hours"), micros, **words)
-    return timeline.withColumn("urgency_score", score).withColumn(
-        "urgency", urgency_class(F.col("urgency_score")))
+    micros = "resolution_micros" if use_resolution else "CAST(NULL AS bigint)"
+    return timeline.selectExpr("*", f"{urgency_score(micros=micros, **words)} AS urgency_score"
+                               ).selectExpr("*", """
+        CASE WHEN urgency_score >= 10 THEN 'Critical' WHEN urgency_score >= 7 THEN 'High'
+             WHEN urgency_score >= 4 THEN 'Medium' ELSE 'Low' END AS urgency""")
 
 
-def complexity_score(title: Column, body: Column, labels: Column, *,
+def complexity_score(*, title: str = "title", body: str = "text", labels: str = "labels",
                      scope_words: list[str] = SCOPE_WORDS,
-                     component_words: list[str] = COMPONENT_WORDS) -> Column:
+                     component_words: list[str] = COMPONENT_WORDS) -> str:
     """Additive complexity points from text and technical labels, at most 100."""
-    text = F.coalesce(body, F.lit(""))
-    length = F.length(text)
-    fences = fence_count(text)
-    scope = F.least(count_labels_with(labels, scope_words) * 5, F.lit(25))
-    components = sum(
-        (flag(contains_any(text, [word]) | contains_any(title, [word])) for word in component_words),
-        F.lit(0))
-    points = (
-        F.when(length > 3000, 30).when(length > 2000, 25).when(length > 1000, 20)
-        .when(length > 500, 15).when(length > 200, 10).otherwise(5)
-        + F.when(fences >= 4, 20).when(fences >= 2, 15).when(fences >= 1, 10).otherwise(0)
-        + F.when(contains_any(text, ["traceback", "error:", "exception"]), 10).otherwise(0)
-        + scope
-        + F.when(components >= 4, 15).when(components >= 3, 10).when(components >= 2, 5).otherwise(0)
-    )
-    return F.least(points, F.lit(100))
+    length = f"length(coalesce({body}, ''))"
+    steps = [(3000, 30), (2000, 25), (1000, 20), (500, 15), (200, 10), (-1, 5)]
+    components = " + ".join(
+        flag(f"{contains_any(body, [word])} OR {contains_any(title, [word])}")
+        for word in component_words)
+    return "least(100, " + " + ".join([
+        points_above(length, steps),
+        points_from(fence_count(body), [(4, 20), (2, 15), (1, 10)]),
+        f"if({contains_any(body, ['traceback', 'error:', 'exception'])}, 10, 0)",
+        f"least(25, 5 * {count_labels_with(labels, scope_words)})",
+        points_from(f"({components})", [(4, 15), (3, 10), (2, 5)]),
+    ]) + ")"
 
 
 def with_complexity(issues: DataFrame, **words) -> DataFrame:
-    return issues.withColumn("complexity_score", complexity_score(
-        F.col("title"), F.col("text"), F.col("labels"), **words))
+    return issues.selectExpr("*", f"{complexity_score(**words)} AS complexity_score")
 
 
 def triage_features(timeline: DataFrame) -> DataFrame:
     """The fourteen numeric features and the joined text, for any issue."""
-    title = F.coalesce("title", F.lit(""))
-    body = F.coalesce("text", F.lit(""))
-    labels = F.col("labels")
-    return timeline.withColumns({
-        "feature_text": F.concat(title, F.lit(" "), body),
-        "title_len": F.length(title),
-        "body_len": F.length(body),
-        "num_code_blocks": fence_count(body),
-        "has_stack_trace": flag(contains_any(body, ["traceback", "error:"])),
-        "num_labels": F.size(label_list(labels)),
-        "has_bug": flag(has_label(labels, "bug")),
-        "has_feature": flag(has_label(labels, "feature", "enhancement")),
-        "has_docs": flag(has_label(labels, "doc")),
-        "has_critical": flag(has_label(labels, "critical", "blocker")),
-        "has_triage": flag(has_label(labels, "triage")),
-        "first_response_hours": F.coalesce("first_response_hours", F.lit(0.0)),
-    })
+    kept = [c for c in timeline.columns if c != "first_response_hours"]
+    return timeline.selectExpr(
+        *kept,
+        "concat(coalesce(title, ''), ' ', coalesce(text, '')) AS feature_text",
+        "length(coalesce(title, '')) AS title_len",
+        "length(coalesce(text, '')) AS body_len",
+        f"{fence_count('text')} AS num_code_blocks",
+        f"{flag(contains_any('text', ['traceback', 'error:']))} AS has_stack_trace",
+        f"size({label_list('labels')}) AS num_labels",
+        f"{flag(has_label('labels', 'bug'))} AS has_bug",
+        f"{flag(has_label('labels', 'feature', 'enhancement'))} AS has_feature",
+        f"{flag(has_label('labels', 'doc'))} AS has_docs",
+        f"{flag(has_label('labels', 'critical', 'blocker'))} AS has_critical",
+        f"{flag(has_label('labels', 'triage'))} AS has_triage",
+        "coalesce(first_response_hours, 0D) AS first_response_hours")
 
 
 def resolved(timeline: DataFrame) -> DataFrame:
     """Closed issues with a positive resolution time."""
-    return filter_by_state(timeline, "closed").filter(F.col("resolution_micros").isNotNull())
+    return filter_by_state(timeline, "closed").filter("resolution_micros IS NOT NULL")
 
 
 def triage_resolution_stats(timeline: DataFrame) -> DataFrame:
@@ -170,27 +140,14 @@ def triage_resolution_stats(timeline: DataFrame) -> DataFrame:
     interpolated; no row when nothing is resolved."""
     done = resolved(timeline)
     ranked = order_statistics(done, [], "resolution_micros", {
-        "mid_low": lower_middle, "mid_high": upper_middle,
-        "low75": below_percent(75), "high75": above_percent(75),
-        "low95": below_percent(95), "high95": above_percent(95)})
-    mean = done.agg(mean_micros("resolution_micros")).scalar()
-    at = lambda p: to_days(interpolate(F.col(f"low{p}"), F.col(f"high{p}"), F.col("n"), p))
-    return ranked.select(
-        to_days((F.col("mid_low") + F.col("mid_high")) / 2).alias("median_days"),
-        to_days(mean).alias("mean_days"), at(75).alias("p75_days"), at(95).alias("p95_days"),
-        F.col("n").alias("count"))
+        **MIDDLES, **around_percent(75), **around_percent(95)})
+    mean = done.agg(F.expr(mean_micros("resolution_micros"))).scalar()
+    return ranked.withColumn("mean_micros", mean).selectExpr(
+        f"{days(MEDIAN)} AS median_days", f"{days('mean_micros')} AS mean_days",
+        f"{days(interpolated(75))} AS p75_days", f"{days(interpolated(95))} AS p95_days",
+        "n AS count")
 
 
 def urgency_distribution(urgent: DataFrame) -> DataFrame:
     """Resolved issues per urgency class with percent."""
-    counts = resolved(urgent).groupBy("urgency").agg(F.count(F.lit(1)).alias("n"))
-    return with_share(counts)
-
-
-def priority_order(priority: Column) -> Column:
-    """Critical 4 down to Low 1, anything else 0."""
-    chain = None
-    for place, name in enumerate(reversed(PRIORITIES), 1):
-        hit = priority == name
-        chain = F.when(hit, place) if chain is None else chain.when(hit, place)
-    return chain.otherwise(0)
+    return with_share(resolved(urgent).groupBy("urgency").agg(F.expr("count(1) AS n")))

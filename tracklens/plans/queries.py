@@ -17,8 +17,8 @@ from tracklens.operators import (
 )
 from tracklens.sources import bindings, issues as source
 from tracklens.sources.sinks import write_results
-from tracklens.session import checkpoint_folder
 from tracklens.schema import RESOLUTION_FEATURES, TRIAGE_FEATURES
+from tracklens.session import checkpoint_folder, cut_lineage
 
 STOP_WORDS = [
     "a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on",
@@ -67,6 +67,11 @@ def _stats(spark, folder):
     return resolution.label_resolution_stats(*bindings.history(spark, folder))
 
 
+def _kept_stats(spark, folder, binding=bindings.history):
+    """Label statistics written once, for the summaries that read them repeatedly."""
+    return cut_lineage(resolution.label_resolution_stats(*binding(spark, folder)))
+
+
 def _timeline(spark, folder):
     return triage.with_timeline(*bindings.text(spark, folder))
 
@@ -277,22 +282,22 @@ def q_urgency(spark, folder):
 @_query
 def q_complexity_score(spark, folder):
     return triage.with_complexity(bindings.text(spark, folder)[0]).select(
-        "number", "complexity_score",
-        C.complexity_band(F.col("complexity_score")).alias("complexity_band"))
+        "number", "complexity_score", F.expr(
+            f"{C.complexity_band('complexity_score')} AS complexity_band"))
 
 
 @_query
 def q_day_hour(spark, folder):
-    place = C.day_hour(F.col("event_date"))
-    return bindings.history(spark, folder)[1].select(
-        "issue_number", "event_date", place["dow"].alias("dow"), place["hour"].alias("hour"))
+    return bindings.history(spark, folder)[1].selectExpr(
+        "issue_number", "event_date", f"{C.day_hour('event_date')} AS place").select(
+        "issue_number", "event_date", "place.dow", "place.hour")
 
 
 @_query
 def q_label_category(spark, folder):
-    labels = bindings.text(spark, folder)[0].select(F.explode("labels").alias("label"))
-    return labels.groupBy("label", C.label_category(F.col("label")).alias("category")).agg(
-        F.count(F.lit(1)).alias("n"))
+    labels = bindings.text(spark, folder)[0].selectExpr("explode(labels) AS label")
+    return labels.groupBy("label", F.expr(f"{C.label_category('label')} AS category")).agg(
+        F.expr("count(1) AS n"))
 
 
 # --- resolution ----------------------------------------------------------------------
@@ -339,18 +344,17 @@ def q_top_labels_by_count(spark, folder):
 
 @_query
 def q_label_category_stats(spark, folder):
-    return resolution.label_category_stats(
-        resolution.label_resolution_stats(*bindings.text(spark, folder)))
+    return resolution.label_category_stats(_kept_stats(spark, folder, bindings.text))
 
 
 @_query
 def q_label_median_box(spark, folder):
-    return resolution.label_median_box(_stats(spark, folder))
+    return resolution.label_median_box(_kept_stats(spark, folder))
 
 
 @_query
 def q_label_median_histogram(spark, folder):
-    return resolution.label_median_histogram(_stats(spark, folder))
+    return resolution.label_median_histogram(_kept_stats(spark, folder))
 
 
 @_query
@@ -555,13 +559,12 @@ def q_regression_report(spark, folder):
     """On simple predictors: the mean by number of labels and by month."""
     times = resolution.closed_resolutions(*bindings.history(spark, folder))
     rows = resolution.label_features(times).select("number", "num_labels", "month", "resolution_hours")
-    mean = lambda key, name: rows.groupBy(key).agg(
-        C.to_hours(F.avg(F.round(F.col("resolution_hours") * C.MICROS_PER_HOUR))).alias(name))
+    mean = lambda key, name: rows.groupBy(key).agg(F.avg("resolution_hours").alias(name))
     scored = rows.join(mean("num_labels", "by_labels"), "num_labels").join(
         mean("month", "by_month"), "month").withColumn(
-        "both", (F.col("by_labels") + F.col("by_month")) / 2)
+        "averaged", (F.col("by_labels") + F.col("by_month")) / 2)
     return models.regression_report(scored, label="resolution_hours", predictions={
-        "by_labels": "by_labels", "by_month": "by_month", "both": "both"})
+        "by_labels": "by_labels", "by_month": "by_month", "averaged": "averaged"})
 
 
 @_query

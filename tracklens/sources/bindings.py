@@ -2,8 +2,8 @@
 
 ``history`` reads orders as issues and line items as their events: for times,
 labels and contributors. ``text`` reads documents as issues and click events as
-their timelines: for triage and text. ``shipments`` reads line items as untyped issues
-with nested events, some of them faulty: for parsing. All are whole-table
+their timelines: for triage and text. ``shipments`` reads line items as untyped
+issues with nested events, some of them faulty: for parsing. All are whole-table
 projections.
 """
 
@@ -13,113 +13,93 @@ from pyspark.sql import functions as F
 from tracklens.session import configure
 
 
-
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """A table by name; times become TIMESTAMP, read as UTC."""
     df = configure(spark).read.parquet(f"{folder}/{table}.parquet")
-    return df.withColumns({
-        field.name: F.col(field.name).cast("timestamp")
-        for field in df.schema if field.dataType.typeName() == "timestamp_ntz"
-    })
+    return df.selectExpr(*[
+        f"CAST({name} AS timestamp) AS {name}" if kind == "timestamp_ntz" else name
+        for name, kind in df.dtypes])
 
 
-def _labels(*rules):
+def _labels(rules: dict[str, str]) -> str:
     """Array of the labels whose condition holds, in the given order."""
-    return F.filter(F.array(*[F.when(test, F.lit(name)) for name, test in rules]),
-                    lambda one: one.isNotNull())
-
-
-def _every(key: str, n: int):
-    return F.col(key) % n == 0
+    cases = ", ".join(f"CASE WHEN {test} THEN '{name}' END" for name, test in rules.items())
+    return f"filter(array({cases}), one -> one IS NOT NULL) AS labels"
 
 
-def _shift(days, hours, minutes):
-    return F.make_dt_interval(days.cast("int"), hours.cast("int"), minutes.cast("int"))
+def _shift(days: str, hours: str = "0", minutes: str = "0") -> str:
+    parts = ", ".join(f"CAST({part} AS int)" for part in (days, hours, minutes))
+    return f"make_dt_interval({parts}, 0)"
 
 
 def history_issues(orders: DataFrame) -> DataFrame:
-    key = F.col("o_orderkey")
-    return orders.select(
-        key.alias("number"),
-        F.when(_every("o_orderkey", 97), F.lit("stale[bot]"))
-        .when(_every("o_orderkey", 10), F.concat(F.lit("once"), key))
-        .otherwise(F.concat(F.lit("u"), F.col("o_custkey"))).alias("creator"),
-        _labels(
-            ("kind/Bug", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")),
-            ("kind/feature", _every("o_orderkey", 5)),
-            ("area/docs", _every("o_orderkey", 7)),
-            ("status/triage", _every("o_orderkey", 11)),
-        ).alias("labels"),
-        F.when(F.col("o_orderstatus") == "F", "closed").otherwise("open").alias("state"),
-        F.concat(F.lit("Order "), key).alias("title"),
-        F.col("o_orderdate").alias("created_date"),
-        (F.col("o_orderdate") + _shift(key % 60, F.lit(0), F.lit(0))).alias("updated_date"),
-    )
+    return orders.selectExpr(
+        "o_orderkey AS number",
+        """CASE WHEN o_orderkey % 97 = 0 THEN 'stale[bot]'
+                WHEN o_orderkey % 10 = 0 THEN concat('once', o_orderkey)
+                ELSE concat('u', o_custkey) END AS creator""",
+        _labels({
+            "kind/Bug": "o_orderpriority IN ('1-URGENT', '2-HIGH')",
+            "kind/feature": "o_orderkey % 5 = 0",
+            "area/docs": "o_orderkey % 7 = 0",
+            "status/triage": "o_orderkey % 11 = 0",
+        }),
+        "if(o_orderstatus = 'F', 'closed', 'open') AS state",
+        "concat('Order ', o_orderkey) AS title",
+        "o_orderdate AS created_date",
+        f"o_orderdate + {_shift('o_orderkey % 60')} AS updated_date")
 
 
 def history_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    joined = lineitem.select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"
-    ).join(orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
-    when = F.col("o_orderdate") + _shift(
-        F.col("l_partkey") % 400, F.col("l_suppkey") % 24, F.col("l_linenumber"))
-    return joined.select(
-        F.col("l_orderkey").alias("issue_number"),
-        F.unix_micros(when).alias("pos"),
-        F.when(F.col("l_returnflag") == "R", "closed")
-        .when(F.col("l_returnflag") == "A", "commented").otherwise("labeled").alias("event_type"),
-        F.concat(F.lit("u"), F.col("l_suppkey")).alias("author"),
-        when.alias("event_date"),
-    )
+    joined = lineitem.join(orders.selectExpr("o_orderkey AS l_orderkey", "o_orderdate"), "l_orderkey")
+    return joined.selectExpr(
+        "l_orderkey AS issue_number",
+        "CASE l_returnflag WHEN 'R' THEN 'closed' WHEN 'A' THEN 'commented' ELSE 'labeled' END "
+        "AS event_type",
+        "concat('u', l_suppkey) AS author",
+        f"o_orderdate + {_shift('l_partkey % 400', 'l_suppkey % 24', 'l_linenumber')} AS event_date",
+    ).selectExpr("issue_number", "unix_micros(event_date) AS pos", "event_type", "author",
+                 "event_date")
 
 
 def text_issues(documents: DataFrame) -> DataFrame:
     """Documents carry no code or traces, so marks are added after their text."""
-    key = F.col("doc_id")
-    body = F.concat(
-        F.col("text"),
-        F.when(key % 4 == 0, " ```x``` ```y```").when(key % 4 == 1, " ```x```").otherwise(""),
-        F.when(key % 3 == 0, " Traceback Error: ").when(key % 3 == 1, " Exception").otherwise(""),
-        F.when(key % 5 == 0, " plugin lock cache config")
-        .when(key % 5 == 1, " venv resolver").otherwise(""),
-    )
-    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").cast("timestamp")
-    return documents.select(
-        key.alias("number"),
-        F.col("source").alias("creator"),
-        _labels(
-            ("kind/bug", key % 3 == 0), ("critical", key % 17 == 0), ("security", key % 23 == 0),
-            ("kind/feature", key % 5 == 0), ("area/docs", key % 7 == 0),
-            ("area/build", key % 4 == 0), ("performance", key % 9 == 0),
-        ).alias("labels"),
-        F.when(key % 6 == 0, "open").otherwise("closed").alias("state"),
-        F.concat(F.col("lang"), F.lit(" "), F.col("source")).alias("title"),
-        body.alias("text"),
-        F.concat(F.lit("doc/"), key).alias("url"),
-        (start + _shift(key % 30, key % 24, F.lit(0))).alias("created_date"),
-        F.lit(None).cast("timestamp").alias("updated_date"),
-    )
+    return documents.selectExpr(
+        "doc_id AS number", "source AS creator",
+        _labels({
+            "kind/bug": "doc_id % 3 = 0", "critical": "doc_id % 17 = 0",
+            "security": "doc_id % 23 = 0", "kind/feature": "doc_id % 5 = 0",
+            "area/docs": "doc_id % 7 = 0", "area/build": "doc_id % 4 = 0",
+            "performance": "doc_id % 9 = 0",
+        }),
+        "if(doc_id % 6 = 0, 'open', 'closed') AS state",
+        "concat(lang, ' ', source) AS title",
+        """concat(text,
+             CASE doc_id % 4 WHEN 0 THEN ' ```x``` ```y```' WHEN 1 THEN ' ```x```' ELSE '' END,
+             CASE doc_id % 3 WHEN 0 THEN ' Traceback Error: ' WHEN 1 THEN ' Exception' ELSE '' END,
+             CASE doc_id % 5 WHEN 0 THEN ' plugin lock cache config' WHEN 1 THEN ' venv resolver'
+                             ELSE '' END) AS text""",
+        "concat('doc/', doc_id) AS url",
+        f"timestamp '2024-01-01 00:00:00 UTC' + {_shift('doc_id % 30', 'doc_id % 24')} "
+        "AS created_date",
+        "CAST(NULL AS timestamp) AS updated_date")
 
 
 def text_events(documents: DataFrame, events: DataFrame) -> DataFrame:
     """A third of the events go to 50 busy issues."""
-    total = documents.agg(F.count(F.lit(1))).scalar()
-    target = F.when(_every("event_id", 3), F.floor(F.col("event_id") / 3) % 50).otherwise(
-        F.col("event_id") % total)
-    acts = events.select("event_id", "user_id", F.col("event_type").alias("kind"),
-                         target.cast("bigint").alias("number"))
-    joined = acts.join(text_issues(documents).select("number", "creator", "created_date"), "number")
-    when = F.col("created_date") + _shift(
-        F.lit(0), F.col("event_id") % 200, F.col("user_id") % 60)
-    return joined.select(
-        F.col("number").alias("issue_number"),
-        F.unix_micros(when).alias("pos"),
-        F.when(F.col("kind") == "error", "closed").when(F.col("kind") == "view", "commented")
-        .when(F.col("kind") == "click", "labeled").otherwise(F.col("kind")).alias("event_type"),
-        F.when(_every("user_id", 11), F.col("creator"))
-        .otherwise(F.concat(F.lit("u"), F.col("user_id"))).alias("author"),
-        when.alias("event_date"),
-    )
+    total = documents.agg(F.expr("count(1)")).scalar()
+    acts = events.withColumn("total", total).selectExpr(
+        "if(event_id % 3 = 0, event_id div 3 % 50, event_id % total) AS number",
+        "event_id", "user_id", "event_type AS kind")
+    targets = text_issues(documents).select("number", "creator", "created_date")
+    return acts.join(targets, "number").selectExpr(
+        "number AS issue_number",
+        "CASE kind WHEN 'error' THEN 'closed' WHEN 'view' THEN 'commented' "
+        "WHEN 'click' THEN 'labeled' ELSE kind END AS event_type",
+        "if(user_id % 11 = 0, creator, concat('u', user_id)) AS author",
+        f"created_date + {_shift('0', 'event_id % 200', 'user_id % 60')} AS event_date",
+    ).selectExpr("issue_number", "unix_micros(event_date) AS pos", "event_type", "author",
+                 "event_date")
 
 
 def shipment_issues(lineitem: DataFrame) -> DataFrame:
@@ -128,37 +108,29 @@ def shipment_issues(lineitem: DataFrame) -> DataFrame:
     The two closed events stand in either date order; some states, numbers and
     dates are not valid.
     """
-    order, part, supplier = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    iso = lambda ts: F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX")
-    after = lambda days, hours: F.col("l_shipdate") + _shift(days, hours, F.lit(0))
-    event = lambda kind, author, ts: F.struct(
-        F.lit(kind).alias("event_type"), F.concat(F.lit("u"), author).alias("author"),
-        F.lit(None).cast("string").alias("actor"), iso(ts).alias("event_date"),
-        F.lit(None).cast("string").alias("created_date"), F.lit(None).cast("string").alias("label"),
-        F.lit(None).cast("string").alias("comment"))
-    quantity = F.col("l_quantity")
-    done = F.col("l_linestatus") == "F"
-    timeline = F.filter(F.array(
-        F.when(F.col("l_returnflag") == "A", event("commented", part % 100, after(F.lit(0), F.lit(5)))),
-        F.when(done, event("closed", supplier, after(quantity, F.lit(2)))),
-        F.when(done & (order % 3 == 0), event("closed", part % 100, after(part % 50, F.lit(1)))),
-    ), lambda one: one.isNotNull())
-    return lineitem.select(
-        F.concat(F.lit("item/"), order).alias("url"),
-        F.concat(F.lit("u"), supplier).alias("creator"),
-        _labels(("kind/bug", F.col("l_discount") > 0.05),
-                ("area/docs", F.col("l_tax") > 0.04)).alias("labels"),
-        F.when(part % 101 == 0, "draft").when(done, "closed").otherwise("open").alias("state"),
-        F.array().cast("array<string>").alias("assignees"),
-        F.concat(F.lit("Item "), F.col("l_linenumber")).alias("title"),
-        F.lit(None).cast("string").alias("text"),
-        F.when(supplier % 50 == 0, F.lit("n/a"))
-        .otherwise((order * 10 + F.col("l_linenumber")).cast("string")).alias("number"),
-        F.when(part % 89 == 0, F.lit("soon")).otherwise(iso(F.col("l_shipdate"))).alias("created_date"),
-        iso(after(quantity, F.lit(3))).alias("updated_date"),
-        F.lit(None).cast("string").alias("timeline_url"),
-        timeline.alias("events"),
-    )
+    iso = lambda ts: f"date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ssXXX\")"
+    after = lambda days, hours: f"l_shipdate + {_shift(days, hours)}"
+    none = "CAST(NULL AS string)"
+    event = lambda kind, author, ts: (
+        f"struct('{kind}' AS event_type, concat('u', {author}) AS author, {none} AS actor, "
+        f"{iso(ts)} AS event_date, {none} AS created_date, {none} AS label, {none} AS comment)")
+    someone, done = "l_partkey % 100", "l_linestatus = 'F'"
+    return lineitem.selectExpr(
+        "concat('item/', l_orderkey) AS url", "concat('u', l_suppkey) AS creator",
+        _labels({"kind/bug": "l_discount > 0.05", "area/docs": "l_tax > 0.04"}),
+        f"CASE WHEN l_partkey % 101 = 0 THEN 'draft' WHEN {done} THEN 'closed' ELSE 'open' END "
+        "AS state",
+        "CAST(array() AS array<string>) AS assignees",
+        "concat('Item ', l_linenumber) AS title", f"{none} AS text",
+        "if(l_suppkey % 50 = 0, 'n/a', CAST(l_orderkey * 10 + l_linenumber AS string)) AS number",
+        f"if(l_partkey % 89 = 0, 'soon', {iso('l_shipdate')}) AS created_date",
+        f"{iso(after('l_quantity', '3'))} AS updated_date", f"{none} AS timeline_url",
+        f"""filter(array(
+            CASE WHEN l_returnflag = 'A' THEN {event('commented', someone, after('0', '5'))} END,
+            CASE WHEN {done} THEN {event('closed', 'l_suppkey', after('l_quantity', '2'))} END,
+            CASE WHEN {done} AND l_orderkey % 3 = 0
+                 THEN {event('closed', someone, after('l_partkey % 50', '1'))} END),
+            one -> one IS NOT NULL) AS events""")
 
 
 def shipments(spark: SparkSession, folder: str) -> DataFrame:

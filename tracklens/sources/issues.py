@@ -3,12 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklens.functions.columns import micros_between, to_hours
+from tracklens.functions.columns import hours, micros_between, one_of
 from tracklens.schema import RAW_ISSUE, STATES
 
-_ISO = r"^\d{4}-\d{2}-\d{2}"
-
-
 def read_raw_issues(spark: SparkSession, path: str, *, json_lines: bool = False) -> DataFrame:
     """Issues as they stand in the file, all scalars as strings.
 
@@ -21,9 +18,9 @@ def read_raw_issues(spark: SparkSession, path: str, *, json_lines: bool = False)
     return reader.json(path)
 
 
-def _time(text):
-    """ISO 8601 text to a timestamp, NULL when it is not one."""
-    return F.when(text.rlike(_ISO), F.try_to_timestamp(text))
+def _time(text: str) -> str:
+    """ISO 8601 text to a timestamp, NULL when it does not start with a date."""
+    return f"if({text} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}', try_to_timestamp({text}), NULL)"
 
 
 def parse_issues(raw: DataFrame) -> DataFrame:
@@ -32,35 +29,22 @@ def parse_issues(raw: DataFrame) -> DataFrame:
     See ``rejected_issues`` for those. Numbers that do not parse become -1 and
     dates that do not parse become NULL.
     """
-    event = lambda e: F.struct(
-        e["event_type"].alias("event_type"),
-        e["author"].alias("author"),
-        e["actor"].alias("actor"),
-        _time(e["event_date"]).alias("event_date"),
-        _time(e["created_date"]).alias("created_date"),
-        e["label"].alias("label"),
-        e["comment"].alias("comment"),
-    )
-    return raw.filter(F.col("state").isin(STATES)).select(
-        F.coalesce(F.col("number").try_cast("bigint"), F.lit(-1)).alias("number"),
-        "creator",
-        F.coalesce("labels", F.array().cast("array<string>")).alias("labels"),
-        "state",
-        F.coalesce("assignees", F.array().cast("array<string>")).alias("assignees"),
-        "title",
-        "text",
-        "url",
-        _time(F.col("created_date")).alias("created_date"),
-        _time(F.col("updated_date")).alias("updated_date"),
-        "timeline_url",
-        F.transform(F.coalesce("events", F.expr("array()").cast(
-            RAW_ISSUE["events"].dataType)), event).alias("events"),
-    )
+    listed = lambda name: f"coalesce({name}, CAST(array() AS array<string>)) AS {name}"
+    nested = RAW_ISSUE["events"].dataType.simpleString()
+    return raw.filter(one_of('state', STATES)).selectExpr(
+        "coalesce(try_cast(number AS bigint), -1) AS number", "creator", listed("labels"), "state",
+        listed("assignees"), "title", "text", "url",
+        f"{_time('created_date')} AS created_date", f"{_time('updated_date')} AS updated_date",
+        "timeline_url", f"""
+        transform(coalesce(events, CAST(array() AS {nested})), e -> struct(
+            e.event_type AS event_type, e.author AS author, e.actor AS actor,
+            {_time('e.event_date')} AS event_date, {_time('e.created_date')} AS created_date,
+            e.label AS label, e.comment AS comment)) AS events""")
 
 
 def rejected_issues(raw: DataFrame) -> DataFrame:
     """Raw rows whose state is missing or unknown."""
-    return raw.filter(~F.coalesce(F.col("state").isin(STATES), F.lit(False)))
+    return raw.filter(f"NOT {one_of('state', STATES)}")
 
 
 def read_issues(spark: SparkSession, path: str, *, json_lines: bool = False) -> DataFrame:
@@ -70,11 +54,9 @@ def read_issues(spark: SparkSession, path: str, *, json_lines: bool = False) ->
 
 def issue_events(issues: DataFrame) -> DataFrame:
     """One row per nested event; issues without events give none."""
-    return issues.select(
-        F.col("number").alias("issue_number"), F.posexplode("events").alias("pos", "e")
-    ).select("issue_number", F.col("pos").cast("bigint").alias("pos"), "e.event_type",
-             "e.author", "e.actor", "e.event_date",
-             F.col("e.created_date").alias("event_created_date"), "e.label", "e.comment")
+    return issues.selectExpr("number AS issue_number", "posexplode(events) AS (pos, e)").selectExpr(
+        "issue_number", "CAST(pos AS bigint) AS pos", "e.event_type", "e.author", "e.actor",
+        "e.event_date", "e.created_date AS event_created_date", "e.label", "e.comment")
 
 
 def issue_table(issues: DataFrame, events: DataFrame | None = None) -> DataFrame:
@@ -85,41 +67,34 @@ def issue_table(issues: DataFrame, events: DataFrame | None = None) -> DataFrame
     aggregation of ``events``.
     """
     if events is None:
-        closed = F.filter("events", lambda e: e["event_type"] == "closed")
-        table = issues.withColumns({
-            "closure_date": F.array_min(F.transform(closed, lambda e: e["event_date"])),
-            "comment_count": F.size(F.filter(
-                "events", lambda e: e["event_type"] == "commented")).cast("bigint"),
-            "event_count": F.size("events").cast("bigint"),
-        })
+        table = issues.selectExpr(
+            "*",
+            "array_min(transform(filter(events, e -> e.event_type = 'closed'), e -> e.event_date))"
+            " AS closure_date",
+            "CAST(size(filter(events, e -> e.event_type = 'commented')) AS bigint) AS comment_count",
+            "CAST(size(events) AS bigint) AS event_count")
     else:
-        per_issue = events.groupBy(F.col("issue_number").alias("number")).agg(
-            F.min(F.when(F.col("event_type") == "closed", F.col("event_date"))).alias(
-                "closure_date"),
-            F.count_if(F.col("event_type") == "commented").alias("comment_count"),
-            F.count(F.lit(1)).alias("event_count"),
-        )
-        table = issues.join(per_issue, "number", "left").withColumns({
-            "comment_count": F.coalesce("comment_count", F.lit(0).cast("bigint")),
-            "event_count": F.coalesce("event_count", F.lit(0).cast("bigint")),
-        })
-    micros = micros_between(F.col("created_date"), F.col("closure_date"))
-    return table.select(
-        "number", "creator", "labels", "state", "created_date", "updated_date",
-        "closure_date", micros.alias("resolution_micros"),
-        to_hours(micros).alias("resolution_hours"), "comment_count", "event_count")
+        per_issue = events.groupBy("issue_number").agg(
+            F.expr("min(if(event_type = 'closed', event_date, NULL)) AS closure_date"),
+            F.expr("count_if(event_type = 'commented') AS comment_count"),
+            F.expr("count(1) AS event_count")).withColumnRenamed("issue_number", "number")
+        table = issues.join(per_issue, "number", "left")
+    micros = micros_between("created_date", "closure_date")
+    return table.selectExpr(
+        "number", "creator", "labels", "state", "created_date", "updated_date", "closure_date",
+        f"{micros} AS resolution_micros", f"{hours(micros)} AS resolution_hours",
+        "coalesce(comment_count, 0) AS comment_count", "coalesce(event_count, 0) AS event_count")
 
 
 def validate_issues(issues: DataFrame) -> DataFrame:
     """One row of counts: rows, and rows failing each check."""
-    bad = {
-        "bad_number": F.col("number").isNull() | (F.col("number") < 0),
-        "bad_state": ~F.coalesce(F.col("state").isin(STATES), F.lit(False)),
-        "no_created_date": F.col("created_date").isNull(),
-        "no_creator": F.col("creator").isNull(),
+    checks = {
+        "bad_number": "number IS NULL OR number < 0",
+        "bad_state": f"NOT {one_of('state', STATES)}",
+        "no_created_date": "created_date IS NULL",
+        "no_creator": "creator IS NULL",
     }
     return issues.agg(
-        F.count(F.lit(1)).alias("issues"),
-        *[F.count_if(check).alias(name) for name, check in bad.items()],
-        (F.count_if(F.col("number").isNull()) == 0).alias("numbers_present"),
-    )
+        F.expr("count(1) AS issues"),
+        *[F.expr(f"count_if({check}) AS {name}") for name, check in checks.items()],
+        F.expr("count_if(number IS NULL) = 0 AS numbers_present"))

@@ -95,7 +95,8 @@ def contributor_lifecycle(feed: DataFrame, *, reference_ts=None, new_days: int =
     users = feed.filter("user IS NOT NULL").groupBy("user").agg(
         F.expr("min(ts) AS first_activity"), F.expr("max(ts) AS last_activity"))
     if reference_ts is None:
-        now = users.agg(F.max("last_activity")).scalar()
+        # Both dates, so that the subquery reads the shuffle of the main query.
+        now = users.agg(F.expr("max(struct(last_activity, first_activity)).last_activity")).scalar()
     else:
         now = F.lit(reference_ts).cast("timestamp")
     since_first = whole_days("first_activity", "reference_ts")

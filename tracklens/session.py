@@ -43,3 +43,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal a scan's rows to all cores when it comes in fewer splits than cores.
+
+    For costly work per row on few or unsplittable files. Large tables have more
+    splits than cores and are left as they are. Only for plain scans, whose
+    number of splits is known without running anything.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -10,7 +10,7 @@ projections.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklens.session import configure
+from tracklens.session import configure, spread
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -108,7 +108,7 @@ def shipment_issues(lineitem: DataFrame) -> DataFrame:
     The two closed events stand in either date order; some states, numbers and
     dates are not valid.
     """
-    iso = lambda ts: f"date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ssXXX\")"
+    iso = lambda ts: f"concat(CAST({ts} AS string), '+00:00')"
     after = lambda days, hours: f"l_shipdate + {_shift(days, hours)}"
     none = "CAST(NULL AS string)"
     event = lambda kind, author, ts: (
@@ -134,7 +134,7 @@ def shipment_issues(lineitem: DataFrame) -> DataFrame:
 
 
 def shipments(spark: SparkSession, folder: str) -> DataFrame:
-    return shipment_issues(load(spark, folder, "lineitem"))
+    return shipment_issues(spread(load(spark, folder, "lineitem")))
 
 
 def history(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -143,5 +143,5 @@ def history(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 
 def text(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    documents, events = load(spark, folder, "documents"), load(spark, folder, "events")
+    documents, events = spread(load(spark, folder, "documents")), load(spark, folder, "events")
     return text_issues(documents), text_events(documents, events)

@@ -5,17 +5,19 @@ from pyspark.sql import functions as F
 
 from tracklens.functions.columns import hours, micros_between, one_of
 from tracklens.schema import RAW_ISSUE, STATES
+from tracklens.session import spread
 
 def read_raw_issues(spark: SparkSession, path: str, *, json_lines: bool = False) -> DataFrame:
     """Issues as they stand in the file, all scalars as strings.
 
-    A JSON array is one task per file. Export large trackers as JSON Lines
-    (``json_lines=True``), which Spark splits, or as many array files.
+    A JSON array is read by one task per file and its rows are then dealt to all
+    cores. Export large trackers as JSON Lines (``json_lines=True``), which Spark
+    splits, or as many array files.
     """
     reader = spark.read.schema(RAW_ISSUE)
     if not json_lines:
         reader = reader.option("multiLine", True)
-    return reader.json(path)
+    return spread(reader.json(path))
 
 
 def _time(text: str) -> str:

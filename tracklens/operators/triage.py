@@ -27,13 +27,15 @@ def timeline_facts(issues: DataFrame, events: DataFrame, *, actor_col: str = "au
     gathers an issue holding a large part of all events.
     """
     time = event_time(events)
+    closed = f"{IS_CLOSE} AND time IS NOT NULL"
     per_actor = events.selectExpr(
         "issue_number", f"{actor_col} AS actor", "event_type", "pos", f"{time} AS time"
     ).groupBy("issue_number", "actor").agg(
         F.expr("count(1) AS events"),
         F.expr(f"count_if({IS_COMMENT}) AS comments"),
         F.expr("min(if(event_type IN ('commented', 'labeled'), time, NULL)) AS reply"),
-        F.expr(f"min(if({IS_CLOSE} AND time IS NOT NULL, struct(pos, time), NULL)) AS close"))
+        F.expr(f"min(if({closed}, pos, NULL)) AS close_pos"),
+        F.expr(f"min_by(time, if({closed}, pos, NULL)) AS close_time"))
     creators = issues.selectExpr("number AS issue_number", "creator AS actor", "true AS created")
     marked = per_actor.join(creators, ["issue_number", "actor"], "left")
     return marked.groupBy("issue_number").agg(
@@ -41,7 +43,7 @@ def timeline_facts(issues: DataFrame, events: DataFrame, *, actor_col: str = "au
         F.expr("sum(comments) AS num_comments"),
         F.expr("count_if(actor <> '') AS num_participants"),
         F.expr("min(if(actor <> '' AND created IS NULL, reply, NULL)) AS first_response"),
-        F.expr("min(close).time AS closure_dated"),
+        F.expr("min_by(close_time, close_pos) AS closure_dated"),
     ).withColumnRenamed("issue_number", "number")
 
 

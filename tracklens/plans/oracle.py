@@ -314,7 +314,7 @@ people AS (SELECT issue_number, date_trunc('month', event_date) AS month, count(
         f"round(avg(abs({m} - hours)) / 24, 6) AS mae_days, "
         f"round(sqrt(avg(({m} - hours) * ({m} - hours))), 6) AS rmse_hours, "
         f"round(1 - avg(({m} - hours) * ({m} - hours)) / var_pop(hours), 6) AS r2_score FROM guessed"
-        for m in ("by_labels", "by_month", "averaged"))
+        for m in ("by_kind", "by_month", "averaged"))
 
     return {
         "issue_table": _history(
@@ -534,10 +534,10 @@ FROM texts LEFT JOIN scores USING (number) ORDER BY coalesce(s, 0) DESC, number
         "split_train_test": _history("""
 SELECT number, CASE WHEN CAST(concat('0x', substr(md5(concat(number, ':42')), 1, 8)) AS BIGINT) % 100 < 80
   THEN 'train' ELSE 'test' END AS part FROM issues"""),
-        "regression_report": _history(_RESOLVED, """
-guess AS (SELECT hours, avg(hours) OVER (PARTITION BY len(labels)) AS by_labels,
+        "regression_report": _history(_RESOLVED, f"""
+guess AS (SELECT hours, avg(hours) OVER (PARTITION BY {_has('bug')}) AS by_kind,
   avg(hours) OVER (PARTITION BY month(created_date)) AS by_month FROM resolved),
-guessed AS (SELECT *, (by_labels + by_month) / 2 AS averaged FROM guess)""", report_rows),
+guessed AS (SELECT *, (by_kind + by_month) / 2 AS averaged FROM guess)""", report_rows),
         "classification_report": _text(_TIMELINE, """
 judged AS (SELECT urgency AS truth, early AS guess FROM urgent WHERE state = 'closed' AND micros IS NOT NULL),
 names AS (SELECT truth AS class FROM judged UNION SELECT guess FROM judged),

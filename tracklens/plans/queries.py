@@ -556,15 +556,18 @@ def q_split_train_test(spark, folder):
 
 @_query
 def q_regression_report(spark, folder):
-    """On simple predictors: the mean by number of labels and by month."""
+    """On simple predictors: the mean with and without a bug label, and by month."""
     times = resolution.closed_resolutions(*bindings.history(spark, folder))
-    rows = resolution.label_features(times).select("number", "num_labels", "month", "resolution_hours")
-    mean = lambda key, name: rows.groupBy(key).agg(F.avg("resolution_hours").alias(name))
-    scored = rows.join(mean("num_labels", "by_labels"), "num_labels").join(
+    rows = resolution.label_features(times).select(
+        "number", "has_bug_label", "month", "resolution_hours")
+    # Two rows and twelve.
+    mean = lambda key, name: F.broadcast(
+        rows.groupBy(key).agg(F.avg("resolution_hours").alias(name)))
+    scored = rows.join(mean("has_bug_label", "by_kind"), "has_bug_label").join(
         mean("month", "by_month"), "month").withColumn(
-        "averaged", (F.col("by_labels") + F.col("by_month")) / 2)
+        "averaged", (F.col("by_kind") + F.col("by_month")) / 2)
     return models.regression_report(scored, label="resolution_hours", predictions={
-        "by_labels": "by_labels", "by_month": "by_month", "averaged": "averaged"})
+        "by_kind": "by_kind", "by_month": "by_month", "averaged": "averaged"})
 
 
 @_query

@@ -199,10 +199,14 @@ complex AS (
 _SCORED = _COMPLEX + """,
 scored AS (SELECT number, urgency AS predicted_priority, complexity_score FROM urgent JOIN complex USING (number))"""
 
+_WORDS_LEFT_OUT = ", ".join(f"'{word}'" for word in STOP_WORDS)
+
+_CLOSED_TEXTS = """
+texts AS (SELECT number, title, url, labels, concat(title, ' ', text) AS feature_text FROM issues WHERE state = 'closed')"""
+
 _WEIGHTS = f"""
-texts AS (SELECT number, title, url, labels, concat(title, ' ', text) AS feature_text FROM issues WHERE state = 'closed'),
 words AS (SELECT number, unnest(regexp_extract_all(lower(feature_text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM texts),
-kept AS (SELECT * FROM words WHERE term NOT IN ({", ".join(f"'{w}'" for w in STOP_WORDS)})),
+kept AS (SELECT * FROM words WHERE term NOT IN ({_WORDS_LEFT_OUT})),
 vocab AS (SELECT term FROM kept GROUP BY term ORDER BY count(*) DESC, term LIMIT 300),
 tf AS (SELECT number, term, count(*) AS tf FROM kept WHERE term IN (SELECT term FROM vocab) GROUP BY 1, 2),
 idf AS (SELECT term, ln((1.0 + (SELECT count(*) FROM texts)) / (1.0 + count(*))) + 1.0 AS idf FROM tf GROUP BY term),
@@ -316,6 +320,10 @@ people AS (SELECT issue_number, date_trunc('month', event_date) AS month, count(
         f"round(1 - avg(({m} - hours) * ({m} - hours)) / var_pop(hours), 6) AS r2_score FROM guessed"
         for m in ("by_kind", "by_month", "averaged"))
 
+    scaled = " + ".join(
+        f"coalesce(power(({n} - avg({n}) OVER ()) / nullif(stddev_samp({n}) OVER (), 0), 2), 0)"
+        for n in TRIAGE_FEATURES)
+
     return {
         "issue_table": _history(
             "tally AS (SELECT issue_number AS number, count(*) AS event_count, count(*) FILTER (event_type = 'commented') "
@@ -337,6 +345,7 @@ SELECT number, creator, array_to_string(labels, '|') AS labels, state, created_d
 FROM closed"""),
         "parse_issues": _with(_SHIPMENTS, f"SELECT {parsed} FROM parsed"),
         "read_issues": _with(_SHIPMENTS, f"SELECT {parsed} FROM parsed"),
+        "write_results": _history("SELECT creator, count(*) AS n FROM issues GROUP BY 1"),
         "rejected_issues": _with(_SHIPMENTS, """
 SELECT CASE WHEN number = -1 THEN 'n/a' ELSE CAST(number AS VARCHAR) END AS number, creator, state,
   concat('Item ', l_linenumber) AS title FROM raw WHERE state = 'draft'"""),
@@ -384,6 +393,10 @@ FROM (SELECT *, coalesce(closed_at, updated_date) AS c FROM issues LEFT JOIN clo
 SELECT number, epoch_us(closed_at) - epoch_us(created_date) AS resolution_micros,
   round((epoch_us(closed_at) - epoch_us(created_date)) / 3.6e9, 6) AS resolution_hours
 FROM issues LEFT JOIN closing USING (number)"""),
+        "resolution_hours": _text(_TIMELINE, """
+SELECT number, round(hours, 6) AS resolution_hours FROM partial WHERE state = 'closed' AND micros IS NOT NULL"""),
+        "event_count": _history("""
+SELECT number, count(issue_number) AS event_count FROM issues LEFT JOIN events ON issue_number = number GROUP BY number"""),
         "comment_count": _text(_TIMELINE, "SELECT number, num_comments AS comment_count, num_events AS event_count FROM timeline"),
         "num_participants": _text(_TIMELINE, "SELECT number, num_participants, num_comments, num_events FROM timeline"),
         "first_response_hours": _text(_TIMELINE, """
@@ -394,6 +407,11 @@ SELECT number, round(frh, 6) AS first_response_hours, round(hours, 6) AS resolut
             _TIMELINE, "SELECT number, md5(concat(title, ' ', text)) AS text_md5, "
             + ", ".join(f"{triage_flags[n]} AS {n}" for n in TRIAGE_FEATURES) + " FROM timeline"),
         "urgency": _text(_TIMELINE, "SELECT number, urgency_score, urgency FROM urgent"),
+        "urgency_score": _text(_TIMELINE, "SELECT number, base AS urgency_score, early AS urgency FROM urgent"),
+        "complexity_band": _text(_COMPLEX, """
+SELECT CASE WHEN complexity_score < 25 THEN 'Simple' WHEN complexity_score < 50 THEN 'Moderate'
+  WHEN complexity_score < 75 THEN 'Complex' ELSE 'Highly Complex' END AS complexity_band,
+  count(*) AS n, min(complexity_score) AS lowest, max(complexity_score) AS highest FROM complex GROUP BY 1"""),
         "complexity_score": _text(_COMPLEX, """
 SELECT number, complexity_score, CASE WHEN complexity_score < 25 THEN 'Simple' WHEN complexity_score < 50 THEN 'Moderate'
   WHEN complexity_score < 75 THEN 'Complex' ELSE 'Highly Complex' END AS complexity_band FROM complex"""),
@@ -523,14 +541,23 @@ SELECT number, predicted_priority, complexity_score FROM scored WHERE predicted_
         "top_predictions": _text(
             _TIMELINE, _SCORED, f"SELECT number, predicted_priority, complexity_score FROM scored ORDER BY {order} LIMIT 15"),
 
-        "tfidf": _text(_WEIGHTS, "SELECT number, term, tf, round(weight, 6) AS weight FROM weights"),
-        "find_similar_issues": _text(_WEIGHTS, f"""
+        "tfidf": _text(_CLOSED_TEXTS, _WEIGHTS, "SELECT number, term, tf, round(weight, 6) AS weight FROM weights"),
+        "find_similar_issues": _text(_CLOSED_TEXTS, _WEIGHTS, f"""
 asked AS (SELECT term, count(*) * max(idf) AS raw FROM (VALUES {tokens}) AS v(place, term) JOIN idf USING (term) GROUP BY term),
 wanted AS (SELECT term, raw / sqrt((SELECT sum(raw * raw) FROM asked)) AS asked_weight FROM asked),
 scores AS (SELECT number, round(sum(weight * asked_weight), 9) AS s FROM weights JOIN wanted USING (term) GROUP BY 1)""", f"""
 SELECT number, title, url, array_to_string(labels, '|') AS labels, round(coalesce(s, 0), 6) AS similarity
 FROM texts LEFT JOIN scores USING (number) ORDER BY coalesce(s, 0) DESC, number LIMIT 5"""),
 
+        # Text vectors have unit length, or none without a known term.
+        "triage_matrix": _text(_TIMELINE, """
+texts AS (SELECT *, concat(title, ' ', text) AS feature_text FROM partial WHERE state = 'closed' AND micros IS NOT NULL)""",
+            _WEIGHTS, "numbers AS (SELECT number, "
+            + ", ".join(f"{triage_flags[n].replace('round(coalesce(frh, 0), 6)', 'coalesce(frh, 0)')} AS {n}"
+                        for n in TRIAGE_FEATURES) + " FROM texts)", f"""
+SELECT number, (SELECT count(*) FROM vocab) + {len(TRIAGE_FEATURES)} AS width,
+  round(CASE WHEN number IN (SELECT number FROM tf) THEN 1 ELSE 0 END + {scaled}, 6) AS square_sum FROM numbers"""),
+
         "split_train_test": _history("""
 SELECT number, CASE WHEN CAST(concat('0x', substr(md5(concat(number, ':42')), 1, 8)) AS BIGINT) % 100 < 80
   THEN 'train' ELSE 'test' END AS part FROM issues"""),

@@ -5,7 +5,6 @@ columns the types both engines share.
 """
 
 from collections.abc import Callable
-from functools import lru_cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -129,6 +128,14 @@ def q_read_issues(spark, folder):
         F.size("events").alias("event_count"))
 
 
+@_query
+def q_write_results(spark, folder):
+    """Statistics per creator, written as JSON Lines to the shared folder."""
+    path = f"{checkpoint_folder(spark)}/results-{uuid4().hex}"
+    write_results(contributors.issues_per_user(bindings.history(spark, folder)[0]), path)
+    return spark.read.schema("creator string, n bigint").json(path)
+
+
 @_query
 def q_validate_issues(spark, folder):
     return source.validate_issues(source.parse_issues(bindings.shipments(spark, folder)))
@@ -245,6 +252,17 @@ def q_resolution_time(spark, folder):
         "number", "resolution_micros", "resolution_hours")
 
 
+@_query
+def q_resolution_hours(spark, folder):
+    """Of resolved issues in triage: closed, positive time."""
+    return triage.resolved(_timeline(spark, folder)).select("number", "resolution_hours")
+
+
+@_query
+def q_event_count(spark, folder):
+    return source.issue_table(*bindings.history(spark, folder)).select("number", "event_count")
+
+
 @_query
 def q_comment_count(spark, folder):
     return source.issue_table(*bindings.text(spark, folder)).select(
@@ -279,6 +297,21 @@ def q_urgency(spark, folder):
         "number", "urgency_score", "urgency")
 
 
+@_query
+def q_urgency_score(spark, folder):
+    """As it could be judged while open, without the resolution time."""
+    return triage.with_urgency(_timeline(spark, folder), use_resolution=False).select(
+        "number", "urgency_score", "urgency")
+
+
+@_query
+def q_complexity_band(spark, folder):
+    scored = triage.with_complexity(bindings.text(spark, folder)[0])
+    return scored.groupBy(F.expr(f"{C.complexity_band('complexity_score')} AS complexity_band")).agg(
+        F.expr("count(1) AS n"), F.expr("min(complexity_score) AS lowest"),
+        F.expr("max(complexity_score) AS highest"))
+
+
 @_query
 def q_complexity_score(spark, folder):
     return triage.with_complexity(bindings.text(spark, folder)[0]).select(
@@ -579,16 +612,22 @@ def q_classification_report(spark, folder):
     return models.classification_report(both, label="truth", prediction="urgency")
 
 
-# A fitted model serves several queries of one session.
-@lru_cache(maxsize=4)
-def _resolution_model(application: str, folder: str) -> models.ResolutionModel:
-    spark = SparkSession.active()
-    times = resolution.closed_resolutions(*bindings.history(spark, folder))
-    return models.train_resolution_model(resolution.label_features(times))
+# A fitted model serves several queries of one application.
+_FITTED: dict[tuple[str, str, str], object] = {}
 
 
-def _regressor(spark, folder):
-    return _resolution_model(spark.sparkContext.applicationId, folder)
+def _fitted(kind: str, spark, folder, fit):
+    key = (kind, spark.sparkContext.applicationId, folder)
+    if key not in _FITTED:
+        _FITTED[key] = fit()
+    return _FITTED[key]
+
+
+def _regressor(spark, folder) -> models.ResolutionModel:
+    def fit():
+        times = resolution.closed_resolutions(*bindings.history(spark, folder))
+        return models.train_resolution_model(resolution.label_features(times))
+    return _fitted("resolution", spark, folder, fit)
 
 
 @_query
@@ -617,7 +656,15 @@ def q_rank_open_predictions(spark, folder):
 
 
 @_query
-def q_save_load_model(spark, folder):
+def q_save_model(spark, folder):
+    """Saved to the shared folder; the saved metrics as they stand there."""
+    path = f"{checkpoint_folder(spark)}/model-{uuid4().hex}"
+    models.save_resolution_model(_regressor(spark, folder), path)
+    return spark.read.parquet(f"{path}/metrics")
+
+
+@_query
+def q_load_model(spark, folder):
     """Saved to the shared folder, loaded from it, and applied."""
     path = f"{checkpoint_folder(spark)}/model-{uuid4().hex}"
     models.save_resolution_model(_regressor(spark, folder), path)
@@ -629,14 +676,9 @@ def _training(spark, folder):
     return triage.triage_features(timeline)
 
 
-@lru_cache(maxsize=4)
-def _priority_model(application: str, folder: str) -> models.PriorityModel:
-    return models.train_priority_model(
-        _training(SparkSession.active(), folder), stop_words=STOP_WORDS)
-
-
-def _classifier(spark, folder):
-    return _priority_model(spark.sparkContext.applicationId, folder)
+def _classifier(spark, folder) -> models.PriorityModel:
+    return _fitted("priority", spark, folder, lambda: models.train_priority_model(
+        _training(spark, folder), stop_words=STOP_WORDS))
 
 
 @_query

@@ -12,6 +12,7 @@ def make_session(cores: str = "8") -> SparkSession:
     settings = SETTINGS | {
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tracklens-"),

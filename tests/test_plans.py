@@ -1,5 +1,7 @@
 """What the plans must look like to hold on large tables."""
 
+import re
+
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
@@ -38,14 +40,35 @@ def test_scans_read_only_what_is_needed(spark):
 
 
 def test_events_are_combined_before_each_shuffle(spark):
-    """Aggregations have a partial side, so a hot issue or user leaves each task
-    as one row."""
+    """Every grouping has its partial side, so a hot issue or user leaves each
+    task as few rows."""
     issues, events = bindings.history(spark, FOLDER)
     for df in (triage.timeline_facts(issues, events),
                contributors.contributor_profile(contributors.activity(issues, events)),
-               contributors.unique_commenters(issues, events),
-               resolution.label_resolution_stats(issues, events)):
-        assert "partial_" in plan_of(df) or "HashAggregate" in plan_of(df)
+               contributors.bug_closures_by_closer(issues, events)):
+        aggregates = re.findall(r"HashAggregate\(keys=.*?functions=\[(.*?)\]", plan_of(df))
+        assert aggregates
+        assert sum("partial_" in one for one in aggregates) * 2 == len(aggregates)
+
+
+def test_filters_and_columns_reach_the_files(spark, tmp_path):
+    issues, events = contributors_case(spark)
+    issues.write.parquet(f"{tmp_path}/issues")
+    events.write.parquet(f"{tmp_path}/events")
+    issues, events = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("issues", "events"))
+    plan = plan_of(resolution.label_resolution_stats(issues, events))
+    assert "EqualTo(state,closed)" in plan and "EqualTo(event_type,closed)" in plan
+    assert "ReadSchema: struct<number:bigint,labels:array<string>,state:string,created_date:timestamp>" in plan
+    assert "text:string" not in plan and "author" not in plan
+
+
+def test_one_shuffle_serves_all_steps_of_ranking(spark):
+    """The joins and groupings below the ranks run once, whatever is built on them."""
+    issues, events = contributors_case(spark)
+    df = resolution.label_resolution_stats(issues.repartition(3), events.repartition(3))
+    df.collect()
+    plan = plan_of(df).split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") >= 4
 
 
 def test_same_rows_for_any_partitioning(spark):

@@ -406,8 +406,8 @@ SELECT number, round(frh, 6) AS first_response_hours, round(hours, 6) AS resolut
         "triage_features": _text(
             _TIMELINE, "SELECT number, md5(concat(title, ' ', text)) AS text_md5, "
             + ", ".join(f"{triage_flags[n]} AS {n}" for n in TRIAGE_FEATURES) + " FROM timeline"),
-        "urgency": _text(_TIMELINE, "SELECT number, urgency_score, urgency FROM urgent"),
-        "urgency_score": _text(_TIMELINE, "SELECT number, base AS urgency_score, early AS urgency FROM urgent"),
+        "urgency": _text(_TIMELINE, "SELECT number, CAST(urgency_score AS BIGINT) AS urgency_score, urgency FROM urgent"),
+        "urgency_score": _text(_TIMELINE, "SELECT number, CAST(base AS BIGINT) AS urgency_score, early AS urgency FROM urgent"),
         "complexity_band": _text(_COMPLEX, """
 SELECT CASE WHEN complexity_score < 25 THEN 'Simple' WHEN complexity_score < 50 THEN 'Moderate'
   WHEN complexity_score < 75 THEN 'Complex' ELSE 'Highly Complex' END AS complexity_band,

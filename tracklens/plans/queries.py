@@ -7,6 +7,7 @@ columns the types both engines share.
 from collections.abc import Callable
 from uuid import uuid4
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +15,11 @@ from tracklens.functions import columns as C
 from tracklens.operators import (
     closures, contributors, filters, models, predictions, resolution, similarity, triage,
 )
-from tracklens.sources import bindings, issues as source
-from tracklens.sources.sinks import write_results
 from tracklens.schema import RESOLUTION_FEATURES, TRIAGE_FEATURES
 from tracklens.session import checkpoint_folder, cut_lineage
+from tracklens.sources import bindings
+from tracklens.sources import issues as source
+from tracklens.sources.sinks import write_results
 
 STOP_WORDS = [
     "a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on",
@@ -234,16 +236,24 @@ def q_label_state_counts(spark, folder):
 
 # --- derived columns ---------------------------------------------------------------
 
-def _closure(rule):
-    def query(spark, folder):
-        return closures.with_resolution(*bindings.history(spark, folder), rule).select(
-            "number", "closure_date", "resolution_micros", "resolution_hours")
-    return query
+def _closure(rule, spark, folder):
+    return closures.with_resolution(*bindings.history(spark, folder), rule).select(
+        "number", "closure_date", "resolution_micros", "resolution_hours")
+
+
+@_query
+def q_closure_min(spark, folder):
+    return _closure("min", spark, folder)
+
 
+@_query
+def q_closure_first(spark, folder):
+    return _closure("first", spark, folder)
 
-for _name, _rule in [("closure_min", "min"), ("closure_first", "first"),
-                     ("closure_or_updated", "updated")]:
-    _QUERIES[_name] = lambda spark, folder, rule=_rule: _present(_closure(rule)(spark, folder))
+
+@_query
+def q_closure_or_updated(spark, folder):
+    return _closure("updated", spark, folder)
 
 
 @_query
@@ -683,8 +693,6 @@ def _classifier(spark, folder) -> models.PriorityModel:
 
 @_query
 def q_triage_matrix(spark, folder):
-    from pyspark.ml.functions import vector_to_array
-
     matrix = models.triage_matrix(_training(spark, folder), stop_words=STOP_WORDS)
     values = vector_to_array("features")
     return matrix.select("number", F.size(values).alias("width"), F.aggregate(

@@ -100,8 +100,8 @@ def train_resolution_model(features: DataFrame, *, feature_names: list[str] = RE
     scaler_model = scaler.fit(assembler.transform(rows))
     prepare = PipelineModel([assembler, scaler_model])
     train = rows.filter("part = 'train'")
-    cells = train.groupBy(*feature_names).agg(
-        F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("rows"))
+    cells = cut_lineage(train.groupBy(*feature_names).agg(
+        F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("rows")))
 
     # All features at every split, as the averaged single trees would use.
     forest = RandomForestRegressor(
@@ -273,7 +273,8 @@ def train_priority_model(training: DataFrame, *, stop_words: list[str], label: s
     if rows.isEmpty():
         raise NotEnoughRows("no resolved issue to train on")
     encoder, names = _encoder(rows, size=size, stop_words=stop_words)
-    encoded = encoder.transform(rows).select("number", "part", label, "features")
+    # Read several times by the forest; texts are encoded once.
+    encoded = cut_lineage(encoder.transform(rows).select("number", "part", label, "features"))
     indexer = StringIndexer(inputCol=label, outputCol="label_index",
                             stringOrderType="alphabetAsc").fit(encoded)
     indexed = indexer.transform(encoded)

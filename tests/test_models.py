@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.frames import resolution_case, rows_by
-from tracklens.operators import models, resolution, similarity, triage
+from tracklens.operators import models, resolution, similarity
 from tracklens.operators.filters import filter_by_state
 from tracklens.schema import TRIAGE_FEATURES
 

@@ -4,8 +4,9 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tracklens.llm import setsketch, substrings
+from tracklens.llm import setsketch, substrings, toxicity
 from tracklens.llm.storage import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +44,12 @@ def op5_minhash_near_dedup(spark, folder):
 @_query
 def op6_substring_dedup(spark, folder):
     return substrings.without_repeats(_table(spark, folder, "documents"), length=50).drop("kept_text")
+
+
+@_query
+def op1_toxicity(spark, folder):
+    docs = _table(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = toxicity.fit(docs, _table(spark, folder, "labels"), learn=~held_out)
+    return toxicity.scored(docs.select("doc_id", "text"), model, score_col="score").select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

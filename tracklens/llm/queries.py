@@ -6,7 +6,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklens.llm import setsketch, substrings, toxicity
+from tracklens.llm import multi_index, setsketch, substrings, toxicity
 from tracklens.llm.storage import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,8 @@ def op1_toxicity(spark, folder):
     model = toxicity.fit(docs, _table(spark, folder, "labels"), learn=~held_out)
     return toxicity.scored(docs.select("doc_id", "text"), model, score_col="score").select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query
+def op3_embedding_near_dedup(spark, folder):
+    return multi_index.near_duplicates(_table(spark, folder, "embeddings"), cosine=0.9)

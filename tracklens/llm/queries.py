@@ -6,7 +6,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklens.llm import multi_index, setsketch, substrings, toxicity
+from tracklens.llm import forest, multi_index, setsketch, substrings, toxicity
 from tracklens.llm.storage import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,9 @@ def op1_toxicity(spark, folder):
 @_query
 def op3_embedding_near_dedup(spark, folder):
     return multi_index.near_duplicates(_table(spark, folder, "embeddings"), cosine=0.9)
+
+
+@_query
+def op7_nearest_neighbours(spark, folder):
+    rows = _table(spark, folder, "embeddings")
+    return forest.search(rows, rows.filter("vec_id % 100 = 0"), k=10)

@@ -2,12 +2,17 @@
 
 from collections.abc import Callable
 from functools import wraps
+from uuid import uuid4
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklens.llm import forest, multi_index, setsketch, substrings, toxicity
+from tracklens.llm import (
+    byte_bpe, forest, huffman, licences, multi_index, setsketch, substrings, toxicity,
+)
 from tracklens.llm.storage import importable
+from tracklens.session import checkpoint_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -64,3 +69,38 @@ def op3_embedding_near_dedup(spark, folder):
 def op7_nearest_neighbours(spark, folder):
     rows = _table(spark, folder, "embeddings")
     return forest.search(rows, rows.filter("vec_id % 100 = 0"), k=10)
+
+
+@_query
+def op2_license_scan(spark, folder):
+    found = licences.scan(_table(spark, folder, "documents"))
+    base = F.transform("phrases", lambda x: x.label)
+    every = F.concat(base, F.transform("spans", lambda x: x.label))
+    first = F.transform("phrases", lambda x: x.first)
+
+    def joined(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    covered = F.array_max(F.transform("spans", lambda x: F.least(x.covered, F.lit(1.0))))
+    return found.select(
+        "doc_id", "n_words", F.size("phrases").cast("bigint").alias("n_base"),
+        F.array_min(first).alias("first_word"), F.array_max(first).alias("last_word"),
+        joined(base).alias("base_labels"), joined(every).alias("labels"),
+        F.when(F.size("phrases") > 0, 1.0).otherwise(F.coalesce(covered, F.lit(0.0))).alias("score"))
+
+
+@_query
+def op4_token_id_output(spark, folder):
+    path = f"{checkpoint_folder(spark)}/token-ids-{uuid4().hex}"
+    huffman.write_ids(_table(spark, folder, "documents"), path,
+                      tokenizer=public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return huffman.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@_query
+def op10_byte_level_bpe(spark, folder):
+    found = byte_bpe.tokens(_table(spark, folder, "documents"), decode=True,
+                            path=public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                            pattern=public_tokenizers.PATTERN)
+    return found.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

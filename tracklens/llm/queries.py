@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklens.llm import (
-    byte_bpe, forest, huffman, licences, multi_index, setsketch, substrings, toxicity,
+    byte_bpe, forest, huffman, licences, mixing, multi_index, secrets, setsketch, substrings, toxicity,
 )
 from tracklens.llm.storage import importable
 from tracklens.session import checkpoint_folder
@@ -104,3 +104,17 @@ def op10_byte_level_bpe(spark, folder):
                             pattern=public_tokenizers.PATTERN)
     return found.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query
+def op8_secret_scan(spark, folder):
+    found = secrets.without_secrets(_table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.size("findings").alias("n_candidates"), "n_secrets",
+                        F.transform("findings", lambda f: f.score).alias("scores"),
+                        F.sha2(F.coalesce("redacted", F.lit("")).cast("binary"), 256).alias("redacted_sha256"))
+
+
+@_query
+def op9_source_mixing(spark, folder):
+    docs = _table(spark, folder, "documents")
+    return mixing.mixed(docs.select("doc_id", "text", "source"), repetition=1.25).drop("text")

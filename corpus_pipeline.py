@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), learn=~held_out)
-    return toxicity.scored(docs, model, score_col="_toxicity").filter("_toxicity < 0.5").select(*docs.columns)
+    return docs.filter(toxicity.scorer(docs, model)("text") < 0.5)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,12 +34,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets masked in their texts."""
-    found = secrets.scan(docs.select("text", F.struct(*docs.columns).alias("_row")),
-                         secrets.train(secrets.labelled_findings(docs)))
-    changed = {"text": F.col("redacted"), "n_chars": F.when(F.col("n_secrets") > 0, F.char_length("redacted"))
-               .otherwise(F.col("_row.n_chars")) if "n_chars" in docs.columns else None}
-    return found.select(*[changed[c].cast(kind).alias(c) if c in changed else F.col(f"_row.{c}").alias(c)
-                          for c, kind in docs.dtypes])
+    packed = docs.select("text", F.struct(*docs.columns).alias("row"))
+    found = secrets.scan(packed, secrets.train(secrets.labelled_findings(docs)))
+
+    def column(name):
+        if name == "text":
+            return F.col("redacted").alias(name)
+        old = F.col("row").getField(name)
+        if name == "n_chars":
+            old = F.when(F.col("n_secrets") > 0, F.char_length("redacted")).otherwise(old)
+        return old.cast(docs.schema[name].dataType).alias(name)
+
+    return found.select(*map(column, docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

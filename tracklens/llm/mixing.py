@@ -24,13 +24,13 @@ WORDS = r"[^ \t-\r]+"
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """Add ``_source``, ``_tokens`` (words) and ``_pos``, the document's place in every pass, 0 to 1."""
+    """``_row`` (all columns), ``_source``, ``_tokens`` (words) and ``_pos``, the place in every pass, 0 to 1."""
     digest = F.md5(F.concat_ws("\x01", F.col("doc_id").cast("string"), F.col("text")).cast("binary"))
     place = F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint") / float(1 << 48)
-    return docs.withColumns({
-        "_source": F.coalesce(F.col("source").cast("string"), F.lit(NONE)),
-        "_tokens": F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("bigint"),
-        "_pos": place})
+    return docs.select(
+        F.struct(*docs.columns).alias("_row"), F.coalesce(F.col("source").cast("string"), F.lit(NONE)).alias("_source"),
+        F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("bigint").alias("_tokens"),
+        place.alias("_pos"))
 
 
 def exponent(sizes: DataFrame, total: int, *, entropy: float | None, repetition: float | None,
@@ -131,5 +131,4 @@ def mixed(docs: DataFrame, *, entropy: float | None = None, repetition: float |
     copies = joined.withColumn("_times", times).filter("_times > 0").withColumn(
         "pass_no", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     spans = F.greatest(F.col("quota") / F.greatest("tokens", F.lit(1)), F.col("passes") + F.lit(0.0), F.col("pass_no") + F.lit(0.0))
-    return copies.withColumn("place", (F.col("pass_no") - 1 + F.col("_pos")) / spans).drop(
-        "_source", "_tokens", "_pos", "passes", "until", "quota", "tokens", "_times")
+    return copies.select("_row.*", "pass_no", ((F.col("pass_no") - 1 + F.col("_pos")) / spans).alias("place"))

@@ -127,15 +127,15 @@ def scan(docs: DataFrame, score: str, *, threshold: float = 0.5, mask: str = "[S
     rated = F.expr(f"transform(_found, c -> named_struct('at', c.at, 'value', c.value, 'score', {score}))")
     redacted = F.expr("array_join(transform(_parts, (part, i) -> CASE WHEN exists(findings, "
                       f"f -> f.at = i AND f.score >= {threshold}D) THEN '{mask}' ELSE part END), '')")
-    base = docs.drop("findings", "n_secrets", "redacted", "_parts", "_found")
-    full = marked(base, **words).withColumn("findings", F.when(F.col("_found").isNotNull(), rated))
-    full = full.withColumn("n_secrets", F.coalesce(F.size(F.filter(
-        "findings", lambda f: f.score >= threshold)), F.lit(0)).cast("int"))
-    full = full.withColumn("n_secrets", F.greatest("n_secrets", F.lit(0)))
+    others = [c for c in docs.columns if c not in ("findings", "n_secrets", "redacted")]
+    full = marked(docs.select("text", F.struct(*others).alias("_row")), **words).withColumn("findings", F.when(F.col("_found").isNotNull(), rated))
+    full = full.withColumn("n_secrets", F.when(F.col("findings").isNotNull(), F.size(F.filter(
+        "findings", lambda f: f.score >= threshold))).otherwise(0).cast("int"))
     full = full.withColumn("redacted", F.when(F.col("n_secrets") > 0, redacted).otherwise(F.col("text")))
     plain = F.transform("findings", lambda f: F.struct(f.value.alias("value"), f.score.alias("score")))
-    return full.withColumn("findings", F.coalesce(plain, F.expr("cast(array() AS array<struct<value:string,score:double>>)"))
-                           ).drop("_parts", "_found")
+    none = F.expr("cast(array() AS array<struct<value:string,score:double>>)")
+    return full.select(*[F.col("_row").getField(c).alias(c) for c in others],
+                       F.coalesce(plain, none).alias("findings"), "n_secrets", "redacted")
 
 
 def without_secrets(docs: DataFrame) -> DataFrame:

@@ -184,11 +184,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, most: tuple[int, int] = (6000, 20
     return train([lowered(x) for x in rows["text"]], rows["toxic"].to_numpy(), **options)
 
 
-def scored(docs: DataFrame, model: Model, *, text_col: str = "text", score_col: str = "toxicity") -> DataFrame:
-    """Add each whole text's score, 0 to 1. Null counts as empty; no other column is looked at.
-
-    An existing column of the name ``score_col`` is replaced.
-    """
+def scorer(docs: DataFrame, model: Model):
+    """A function from a text column to its score, 0 to 1. Null counts as empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -196,4 +193,12 @@ def scored(docs: DataFrame, model: Model, *, text_col: str = "text", score_col:
         model = shared.value
         return pd.Series([model.score(lowered(x)) for x in texts], dtype="float64")
 
-    return docs.withColumn(score_col, score(F.col(text_col)))
+    return score
+
+
+def scored(docs: DataFrame, model: Model, *, score_col: str = "toxicity") -> DataFrame:
+    """Add each whole text's score; no column but ``text`` is looked at.
+
+    An existing column of the name ``score_col`` is replaced.
+    """
+    return docs.withColumn(score_col, scorer(docs, model)("text"))

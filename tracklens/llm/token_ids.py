@@ -5,7 +5,7 @@ from functools import lru_cache
 
 from tokenizers import Tokenizer
 
-REMEMBERED = 400_000  # words, and pieces of words, kept per worker
+REMEMBERED = 700_000  # words, and pieces of words, kept per worker
 
 
 @lru_cache(maxsize=2)
@@ -27,6 +27,7 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
@@ -68,17 +69,25 @@ class WordEncoder:
             self.words.update(zip(batch, map(b"".join, found), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as little-endian integers of the kind's width."""
+        """Ids of each text as little-endian integers of the kind's width.
+
+        Once too many words are known, only those seen since the last time are kept.
+        """
         out = []
         for text in texts:
             words = text.split()
-            missing = {w for w in words if w not in self.words}
-            if len(self.words) + len(missing) > REMEMBERED:
-                self.words.clear()
-                missing = set(words)
-            if len(self.pieces) > REMEMBERED:
-                self.pieces.clear()
-            if missing:
-                self._learn(list(missing))
-            out.append(b"".join(map(self.words.__getitem__, words)))
+            ids = list(map(self.words.get, words))
+            if None in ids:
+                missing = {w for w, known in zip(words, ids, strict=True) if known is None}
+                if len(self.words) + len(missing) > REMEMBERED:
+                    self.older, self.words = self.words, {}
+                    missing = set(words)
+                if len(self.pieces) > REMEMBERED:
+                    self.pieces = {}
+                known = missing & self.older.keys()
+                self.words.update({w: self.older[w] for w in known})
+                if len(known) < len(missing):
+                    self._learn(list(missing - known))
+                ids = map(self.words.__getitem__, words)
+            out.append(b"".join(ids))
         return out

@@ -47,6 +47,8 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.token = {rank: token for token, rank in ranks.items()}
+        self.shorter = {rank: next((ranks[token[:k]] for k in range(len(token) - 1, 0, -1) if token[:k] in ranks), -1)
+                        for token, rank in ranks.items()}  # the longest token that this one starts with
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), (rank, len(token)))
@@ -68,30 +70,29 @@ class Encoder:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        options: list[list] = [[] for _ in piece]
+        # per place, the longest token not yet tried; later ends, so longer tokens, come last
+        untried = array.array("i", [-1]) * len(piece)
         for end, (rank, size) in self.automaton.iter(piece.decode("latin-1")):
-            options[end + 1 - size].append((size, rank))
-        for some in options:
-            some.sort()
+            untried[end + 1 - size] = rank
         closed = bytearray(len(piece) + 1)  # places found to be no token boundary
-        ids, starts, at = [], [], 0
-        left = [len(some) for some in options]
+        ids, at = array.array("I"), 0
         while at < len(piece):
-            while left[at]:
-                left[at] -= 1
-                size, rank = options[at][left[at]]
-                if not closed[at + size] and (not ids or self._fit(ids[-1], rank)):
-                    ids.append(rank)
-                    starts.append(at)
-                    at += size
+            rank = untried[at]
+            while rank >= 0:
+                after = at + len(self.token[rank])
+                if not closed[after] and (not ids or self._fit(ids[-1], rank)):
                     break
-            else:
-                if not ids:
-                    return merged(piece, self.ranks)
+                rank = self.shorter[rank]
+            if rank >= 0:
+                untried[at] = self.shorter[rank]
+                ids.append(rank)
+                at = after
+            elif ids:
                 closed[at] = 1
-                ids.pop()
-                at = starts.pop()
-        return ids
+                at -= len(self.token[ids.pop()])
+            else:
+                return merged(piece, self.ranks)
+        return ids.tolist()
 
     def _word(self, word: str) -> bytes:
         """Ids of a word with the space before it: pieces of the pattern, one by one."""

@@ -1,7 +1,7 @@
 """Byte-level BPE in linear time by backtracking (operator 10).
 
-Bytes are mapped to Latin-1 characters, so that one Aho-Corasick automaton over the
-vocabulary finds all tokens in a piece of text. The piece is covered from the left with the
+Bytes are mapped to Latin-1 characters, so that the trie of an Aho-Corasick automaton over
+the vocabulary finds the longest token at a place. A piece is covered from the left with the
 longest token first, going back to shorter ones where two neighbours don't fit. Two tokens
 fit if merging their joined bytes by rank yields just these two; that is remembered per
 pair. A cover whose neighbours all fit is what merging the whole piece by rank gives, and a
@@ -10,6 +10,7 @@ place once found to be no token boundary never is one, so each is tried once.
 
 import array
 import base64
+import re
 from functools import lru_cache
 
 import ahocorasick
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from tracklens.llm.storage import encoded, text_batches
 
 REMEMBERED = 400_000  # words, and pairs of tokens, kept per worker
-_GAP = regex.compile(r"(?<=\S) (?=\S)")
+_GAP = re.compile(r"(?<=\S) (?=\S)")  # re takes all for space that regex does, and quicker
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -47,52 +48,64 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.token = {rank: token for token, rank in ranks.items()}
+        self.size = {rank: len(token) for token, rank in ranks.items()}
+        self.longest = max(map(len, ranks))
         self.shorter = {rank: next((ranks[token[:k]] for k in range(len(token) - 1, 0, -1) if token[:k] in ranks), -1)
                         for token, rank in ranks.items()}  # the longest token that this one starts with
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), (rank, len(token)))
-        self.automaton.make_automaton()
+            self.automaton.add_word(token.decode("latin-1"), rank)
         self.words: dict[str, bytes] = {}
         self.fits: dict[tuple[int, int], bool] = {}
 
     def _fit(self, left: int, right: int) -> bool:
-        known = self.fits.get((left, right))
-        if known is None:
-            if len(self.fits) >= REMEMBERED:
-                self.fits.clear()
-            known = merged(self.token[left] + self.token[right], self.ranks) == [left, right]
-            self.fits[left, right] = known
-        return known
+        if len(self.fits) >= REMEMBERED:
+            self.fits.clear()
+        fit = merged(self.token[left] + self.token[right], self.ranks) == [left, right]
+        self.fits[left, right] = fit
+        return fit
+
+    def _first(self, letters: str, at: int) -> int:
+        """The longest token at a place, -1 without any."""
+        part = letters[at:at + self.longest]
+        size, get = self.automaton.longest_prefix(part), self.automaton.get
+        rank = -1
+        while size and rank < 0:  # a path of the trie may end inside a token
+            rank = get(part[:size], -1)
+            size -= 1
+        return rank
 
     def piece(self, piece: bytes) -> list[int]:
         """Ids of one piece of text."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        # per place, the longest token not yet tried; later ends, so longer tokens, come last
-        untried = array.array("i", [-1]) * len(piece)
-        for end, (rank, size) in self.automaton.iter(piece.decode("latin-1")):
-            untried[end + 1 - size] = rank
+        letters, size, shorter, known = piece.decode("latin-1"), self.size, self.shorter, self.fits
         closed = bytearray(len(piece) + 1)  # places found to be no token boundary
-        ids, at = array.array("I"), 0
-        while at < len(piece):
-            rank = untried[at]
+        ids, at, rank = array.array("I"), 0, self._first(letters, 0)
+        while True:
             while rank >= 0:
-                after = at + len(self.token[rank])
-                if not closed[after] and (not ids or self._fit(ids[-1], rank)):
-                    break
-                rank = self.shorter[rank]
+                after = at + size[rank]
+                if not closed[after]:
+                    fit = not ids or known.get((ids[-1], rank))
+                    if fit is None:
+                        fit = self._fit(ids[-1], rank)
+                    if fit:
+                        break
+                rank = shorter[rank]
             if rank >= 0:
-                untried[at] = self.shorter[rank]
                 ids.append(rank)
                 at = after
+                if at == len(piece):
+                    return ids.tolist()
+                rank = self._first(letters, at)
             elif ids:
                 closed[at] = 1
-                at -= len(self.token[ids.pop()])
+                rank = ids.pop()
+                at -= size[rank]
+                rank = shorter[rank]
             else:
                 return merged(piece, self.ranks)
-        return ids.tolist()
 
     def _word(self, word: str) -> bytes:
         """Ids of a word with the space before it: pieces of the pattern, one by one."""

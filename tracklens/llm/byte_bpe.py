@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from tracklens.llm.storage import encoded, text_batches
 
-REMEMBERED = 400_000  # words, and pairs of tokens, kept per worker
+REMEMBERED = 400_000  # words, as many older words, pieces, and pairs of tokens, kept per worker
+NEVER = 1 << 60  # above any rank
 _GAP = re.compile(r"(?<=\S) (?=\S)")  # re takes all for space that regex does, and quicker
 
 
@@ -34,11 +35,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
 def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Merge neighbours of the lowest rank, leftmost first, until none can be."""
     parts = [piece[k:k + 1] for k in range(len(piece))]
-    while len(parts) > 1:
-        low, at = min((ranks.get(a + b, 1 << 60), k) for k, (a, b) in enumerate(zip(parts, parts[1:])))
-        if low == 1 << 60:
-            break
-        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    costs = [ranks.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+    while costs and (low := min(costs)) < NEVER:
+        at = costs.index(low)
+        parts[at] += parts.pop(at + 1)
+        del costs[at]
+        for k in range(max(at - 1, 0), min(at + 1, len(costs))):
+            costs[k] = ranks.get(parts[k] + parts[k + 1], NEVER)
     return [ranks[x] for x in parts]
 
 
@@ -56,6 +59,8 @@ class Encoder:
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), rank)
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.fits: dict[tuple[int, int], bool] = {}
 
     def _fit(self, left: int, right: int) -> bool:
@@ -109,26 +114,36 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of a word with the space before it: pieces of the pattern, one by one."""
-        ids = array.array("I")
+        out = []
         for piece in self.pattern.findall(word):
-            ids.extend(self.piece(piece.encode()))
-        return ids.tobytes()
+            ids = self.pieces.get(piece)
+            if ids is None:
+                ids = array.array("I", self.piece(piece.encode())).tobytes()
+                if len(piece) < 64:
+                    if len(self.pieces) >= REMEMBERED:
+                        self.pieces.clear()
+                    self.pieces[piece] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian uint32.
 
         A single space between two other characters always starts a piece, so a text is cut
-        there, and the ids of such words are remembered.
+        there, and the ids of such words are remembered. Once too many are known, only
+        those met again before as many others are known stay.
         """
-        words, out = self.words, []
-        if len(words) > REMEMBERED:
-            words.clear()
+        if len(self.words) > REMEMBERED:
+            self.older, self.words = self.words, {}
+        words, older, out = self.words, self.older, []
         first, *rest = _GAP.split(text)
         out.append(self._word(first))
         for word in rest:
             ids = words.get(word)
             if ids is None:
-                ids = self._word(" " + word)
+                ids = older.get(word)
+                if ids is None:
+                    ids = self._word(" " + word)
                 if len(word) < 64:
                     words[word] = ids
             out.append(ids)

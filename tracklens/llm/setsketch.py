@@ -8,26 +8,30 @@ candidates; the likelihood of both sketches together rules out pairs that are fa
 threshold; the rest is confirmed on full sets.
 
 Equal sets are one class from the start. Inside a bucket no pairs are formed as long as a
-few links hold it together: all members are compared with one of them, and those that stay
-apart with others in turn. What then remains in different components is compared in full,
-so no link inside a bucket is lost.
+few links hold it together: every member is compared with some first ones of its buckets, and
+those that stay apart with others in turn. What then remains in different components is
+compared in full, in blocks of bounded size, so no link inside a bucket is lost.
 """
 
 import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklens.llm.graph import components
 from tracklens.llm.storage import encoded, stored, text_batches
-from tracklens.llm.words import mix, shingle_hashes, stream, word_hashes
+from tracklens.llm.vectors import blocks
+from tracklens.llm.words import shingle_hashes, stream, word_hashes
 
 BASE, RATE, TOP = 1.2, 20.0, 254  # of the register scale; a register fits a byte
 BANDS, ROWS = 24, 5               # a pair at 0.8 shares no band with a chance of 3e-5
 DOUBT = 18.0                      # log likelihood below the maximum at which a pair is given up
 STEP = 4096                       # shingles per pass
+FIRST = 3                         # members that each one is compared with at first
+BLOCK = 4 << 20                   # bytes of sets on one side of a block
 
 
 def registers(sets: np.ndarray, seeds: np.ndarray) -> np.ndarray:
@@ -154,6 +158,68 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
             .mapInArrow(run, "a bigint, b bigint"))
 
 
+def _full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """(id, shingles as 64-bit hashes) of the documents named, a row for each of their texts."""
+    def run(batches):
+        for batch in text_batches(batches):
+            hashes, counts = word_hashes([x.lower() for x in encoded(batch)])
+            ends = np.cumsum(counts)
+            sets = [shingle_hashes(hashes[e - n:e], shingle).tobytes() for e, n in zip(ends, counts, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "shingles"])
+
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(ids, "id", "left_semi")
+    return texts.mapInArrow(run, "id bigint, shingles binary").filter("octet_length(shingles) > 0")
+
+
+def _links_of_block(table: pa.Table, percent: int, rows: int) -> pa.Table:
+    """Links between visitors and residents of a block, one for each visitor and component."""
+    sides = [table.filter(pa.compute.equal(table.column("role"), role)) for role in "vr"]
+    found = []
+    if all(side.num_rows for side in sides):
+        ids, parts, registers_, sets = ([side.column(name).to_pylist() for side in sides]
+                                        for name in ("id", "c", "registers", "shingles"))
+        registers_ = [np.frombuffer(b"".join(x), np.uint8).reshape(len(x), -1) for x in registers_]
+        sets = [[np.frombuffer(x, np.uint64) for x in side] for side in sets]
+        sizes = [np.array([len(x) for x in side], np.int64) for side in sets]
+        part = np.array(parts[1])
+        for row, one in enumerate(sets[0]):
+            n = len(one)
+            fits = np.flatnonzero((100 * np.minimum(n, sizes[1]) >= percent * np.maximum(n, sizes[1]))
+                                  & (part != parts[0][row]))
+            same = (registers_[1][fits] == registers_[0][row]).reshape(len(fits), registers_[0].shape[1] // rows, rows)
+            fits = fits[same.all(axis=2).any(axis=1)]
+            if not len(fits):
+                continue
+            a, b = np.broadcast_to(registers_[0][row], (len(fits), registers_[0].shape[1])), registers_[1][fits]
+            gap = estimate(a, b, np.full(len(fits), float(n)), sizes[1][fits].astype(np.float64), percent / 100)[1]
+            reached = set()
+            for other in fits[gap <= DOUBT]:
+                if parts[1][other] not in reached:
+                    both = len(np.intersect1d(one, sets[1][other], assume_unique=True))
+                    if 100 * both >= percent * (n + len(sets[1][other]) - both):
+                        reached.add(parts[1][other])
+                        found.append((ids[0][row], ids[1][other]))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def _linked_in_blocks(rest: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int,
+                      rows: int) -> DataFrame:
+    """Links that join components which share a bucket.
+
+    Buckets with the same main component are taken together. All that is apart from it meets
+    all members in blocks of bounded bytes; only links leave a block, so no pairs are written.
+    """
+    ids = rest.select("id").distinct()
+    sized = classes.join(ids, "id", "left_semi").groupBy("id").agg(F.max("n_shingles").alias("n"))
+    members = rest.select(F.col("main").alias("cell"), "id", "c").distinct().join(sized, "id").withColumn("salt", F.col("id"))
+    members = stored(members, "apart")
+    placed = blocks(members, members.filter("c <> cell"), size=BLOCK, weight=8 * F.col("n") + 200)
+    known = classes.select("id", "registers").join(_full_sets(docs, ids, shingle), "id")
+    met = placed.select("cell", "rb", "vb", "role", "id", "c").join(known, "id")
+    return met.groupBy("cell", "rb", "vb").applyInArrow(
+        lambda table: _links_of_block(table, percent, rows), "a bigint, b bigint").distinct()
+
+
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs`` (doc_id, text).
@@ -181,7 +247,9 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
         plausible = stored(_plausible(pairs, classes, percent), "plausible")
         return stored(_confirmed(plausible, docs, shingle, percent), "links")
 
-    links = links_of(members.filter("a <> id").select("a", F.col("id").alias("b")).distinct())
+    near = members.filter("a <> id").groupBy("id").agg(
+        F.slice(F.sort_array(F.collect_set("a")), 1, FIRST).alias("a"))
+    links = links_of(near.select(F.explode("a").alias("a"), F.col("id").alias("b")))
     most = 4 * max(members.count(), 10_000)
     labels, n_links, tries = components(links, "a", "b"), links.count(), 0
     while True:
@@ -198,15 +266,12 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
             break
         exact = work <= most or tries == 6
         if exact:
-            others = rest.select("key", F.col("id").alias("other"), F.col("c").alias("other_c"),
-                                 F.col("main").alias("other_main"))
-            pairs = apart.join(others, "key").filter("c <> other_c").select(
-                F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+            more = stored(_linked_in_blocks(rest, classes, docs, shingle, percent, rows), "links")
         else:
             anchor = rest.filter("c = main").groupBy("key").agg(
                 F.min_by("id", F.xxhash64(F.lit(tries), "id")).alias("other"))
-            pairs = apart.join(anchor, "key").select(F.col("other").alias("a"), F.col("id").alias("b"))
-        more = links_of(pairs.distinct())
+            more = links_of(apart.join(anchor, "key").groupBy("id").agg(
+                F.min_by("other", F.xxhash64(F.lit(tries), "key")).alias("a")).select("a", F.col("id").alias("b")))
         found = more.count()
         if found:
             links = links.union(more)

@@ -39,16 +39,19 @@ def sample(vectors: DataFrame, most: int) -> np.ndarray:
     return matrix(rows.column("embedding"))
 
 
-def blocks(residents: DataFrame, visits: DataFrame, *, size: int) -> DataFrame:
+def blocks(residents: DataFrame, visits: DataFrame, *, size: int, weight: Column | int = 1) -> DataFrame:
     """Residents and visitors of each cell, dealt into pairs of blocks of about ``size`` rows.
 
+    With a ``weight`` of each row, ``size`` is the sum of weights in a block.
+
     Both frames have a column ``cell`` and a number ``salt`` that spreads rows evenly; the
     result is their union by name with ``role`` ('r' or 'v') and ``rb``, ``vb``. Every visitor
     meets every resident of its cell in exactly one (cell, rb, vb). A cell of any popularity
     is so many blocks, never one group.
     """
-    counts = residents.groupBy("cell").agg(F.count("*").alias("nr")).join(
-        visits.groupBy("cell").agg(F.count("*").alias("nv")), "cell")
+    total = F.sum(weight if isinstance(weight, Column) else F.lit(weight))
+    counts = residents.groupBy("cell").agg(total.alias("nr")).join(
+        visits.groupBy("cell").agg(total.alias("nv")), "cell")
     counts = counts.select("cell", *[F.ceil(F.col(n) / size).cast("int").alias(n) for n in ("nr", "nv")])
     kinds = {"r": (residents, "nr", "rb", "nv", "vb"), "v": (visits, "nv", "vb", "nr", "rb")}
     sides = []

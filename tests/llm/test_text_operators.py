@@ -142,6 +142,33 @@ def test_token_files(spark, tmp_path):
     assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)])[:-1].tolist()
 
 
+def test_added_tokens_as_the_library_reads_them(spark, tmp_path):
+    from tokenizers import AddedToken, Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    given = [(1, "a <|endoftext|> b"), (2, "a b"), (3, "pre<|startoftext|>́x<|endoftext|><|endoftext|>. <|EndOfText|>"),
+             (4, None), (5, "<|endoftext|"), (6, "odd\x85<|endoftext|>\x1cé \n" + "y" * 1200 + "<|startoftext|>")]
+    huffman.write_ids(frames.documents(spark, given), f"{tmp_path}/t", tokenizer=path, end_id=1)
+    got = {r.doc_id: r for r in huffman.read_ids(spark, f"{tmp_path}/t").collect()}
+    start = 0
+    for i, text in given:
+        want = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        assert np.frombuffer(got[i].ids, "<u4").tolist() == want and got[i].start == start
+        start += len(want)
+    assert 49407 in np.frombuffer(got[1].ids, "<u4")
+
+    texts = ["A new york NEW YORK xy<b> Xx x<|endoftext|>"]
+    for token in (AddedToken("new york", normalized=False), AddedToken("xx", normalized=True),
+                  AddedToken("york", single_word=True, lstrip=True, normalized=False)):
+        other = Tokenizer.from_file(path)
+        other.add_tokens([token])
+        other.save(f"{tmp_path}/other.json")
+        want = other.encode(texts[0], add_special_tokens=False).ids
+        own = WordEncoder(f"{tmp_path}/other.json", added_tokens=True)
+        assert np.frombuffer(own.encode([texts[0].encode()])[0], "<u2").tolist() == want
+
+
 def test_code_lengths():
     rng = random.Random(6)
     for limit in (5, 8, 20):

@@ -1,6 +1,7 @@
 """Whole texts to token ids with the tokenizers library, remembering words already seen."""
 
 import array
+import re
 from functools import lru_cache
 
 from tokenizers import Tokenizer
@@ -10,8 +11,12 @@ REMEMBERED = 700_000  # words, and pieces of words, kept per worker
 
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> "WordEncoder":
-    """One encoder per worker process, so that its memory serves task after task."""
-    return WordEncoder(path)
+    """One encoder per worker process, so that its memory serves task after task.
+
+    Its ids are those of the library's plain call, ``Tokenizer.from_file(path)`` and
+    ``encode(text, add_special_tokens=False)``: a text that holds an added token gets its id.
+    """
+    return WordEncoder(path, added_tokens=True)
 
 
 class WordEncoder:
@@ -20,11 +25,20 @@ class WordEncoder:
     Only for tokenizers whose normalizer and pre-tokenizer never join or keep such white
     space; then a text's ids are those of its words, one after another. Words are normalised
     and cut by the library's own steps, its model sees each piece of a word once.
+
+    With ``added_tokens`` the file's added tokens are found in texts, as the library does by
+    default; else special ones are read like any other text. Words that hold one, also within
+    a longer word, are left to the library.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, *, added_tokens: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        added = [x for x in self.tokenizer.get_added_tokens_decoder().values() if added_tokens or not x.special]
+        # one with white space goes beyond words, one found after normalising can look otherwise in a word
+        self.whole = any(x.content.encode().split() != [x.content.encode()] for x in added)
+        self.each = any(x.normalized for x in added)
+        self.added = re.compile("|".join(re.escape(x.content) for x in added) or r"(?!)")
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -41,11 +55,11 @@ class WordEncoder:
         return array.array(self.kind, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def _learn(self, missing: list[bytes]) -> None:
-        """Encode words not yet known: together, unless one holds other white space."""
+        """Encode words not yet known: together, unless one holds other white space or an added token."""
         plain, texts = [], []
         for word in missing:
             text = word.decode()
-            if len(text.split()) == 1 and len(text) < 1000:
+            if len(text.split()) == 1 and len(text) < 1000 and not self.each and not self.added.search(text):
                 plain.append(word)
                 texts.append(text)
             else:
@@ -73,6 +87,8 @@ class WordEncoder:
 
         Once too many words are known, only those seen since the last time are kept.
         """
+        if self.whole:
+            return [self._word(text.decode()) for text in texts]
         out = []
         for text in texts:
             words = text.split()

@@ -34,6 +34,35 @@ def test_secrets(spark):
     assert secrets.without_secrets(frames.documents(spark, [])).count() == 0
 
 
+def test_short_punctuated_and_digit_free_secrets(spark):
+    cases = [("password = \"{}\"", "Tr0ub4dor&{}"), ("pwd: {} and more", "hunter{}secret"), ("api_key='{}';", "k{}Xq7"),
+             ("the token is \"{}\".", "a9!b(c)_{}"), ("DB_SECRET_KEY_V2_PROD={}\n", "p@ss,w0rd;{}x"),
+             ("password_hash => `{}`", "$2b$10${}.abc/def"), ("{{\"passwd\": \"{}\"}}", "it's{}#"),
+             ("Password={};User Id=bob", "pa${}word"), ("url?token={}&user=bob", "q{}zT"),
+             ("bearer: \"{}\"", "two w0rds {}"), ("credential = {}", "QwErTyUiOpAsDfGhJkLz"),
+             ("auth = \"{}\"", "ZxCvBnMaSdFgHjKlQw+/" * 20)]
+    rows, want = [], {}
+    for k in range(240):
+        form, value = cases[k % len(cases)]
+        value = value.replace("{}", str(k + 100))
+        text = f"Text before it. {form.format(value)} text after"
+        rows.append((k, text))
+        want[k] = value, text.replace(value, "[SECRET]")
+    rows += [(1000 + k, f"no secret here: \"word{k}\" and author: Mueller{k}, paid with card {4000000000000000 + k}")
+             for k in range(120)]
+    rows += [(2000, "a key QwErTyUiOpAsDfGhJkLz alone"), (2001, "password: ${DB_PASSWORD_1}"), (2002, "token: " + "!" * 50_000),
+             (2003, "token=" + "a&" * 50_000), (2004, "secret=\"" + "x y" * 50_000), (2005, "password: please wait")]
+    docs = frames.documents(spark, rows, extra=False)
+    got = {r.doc_id: r for r in secrets.without_secrets(docs).collect()}
+    for k, (value, redacted) in want.items():
+        assert value in [f.value for f in got[k].findings], (k, got[k])
+    missed = [k for k in want if got[k].redacted != want[k][1]]
+    assert not [k for k in missed if cases[k % len(cases)][1].count("{}")], [got[k] for k in missed][:3]
+    assert all(got[1000 + k].redacted == rows[240 + k][1] for k in range(120))
+    assert [f.value for f in got[2000].findings] == ["QwErTyUiOpAsDfGhJkLz"]
+    assert got[2001].n_secrets == 0 and got[2005].n_secrets == 0
+
+
 def sized(spark):
     rows = [(i, " ".join(["w"] * (i % 7 + 1)), "big") for i in range(3000)]
     rows += [(3000 + i, "a b c d", "mid") for i in range(600)]

@@ -1,6 +1,8 @@
 """Secret scan with a random forest against false positives (operator 8), in SQL functions alone.
 
-A regular expression marks candidates in place. Each gets figures on its length, changes of
+A regular expression marks candidates in place: long runs of key characters with a digit or
+in mixed case, and whatever a cue word is assigned, or is followed by in quotes, of any
+alphabet from 4 characters on. Each gets figures on its length, changes of
 character class, distinct characters, dictionary coverage, paths and neighbouring words. A
 random forest trained on labelled findings then votes; its trees are written as SQL
 conditions, so a whole scan is one pass over the texts without joins or Python.
@@ -16,14 +18,38 @@ from pyspark.sql import functions as F
 from tracklens.llm.storage import stored
 
 _CHAR = "[A-Za-z0-9_+/-]"
-CANDIDATE = f"(?<!{_CHAR})(?:(?=[A-Za-z_+/-]*[0-9]){_CHAR}{{16,}}|[A-Z0-9]{{20,}})(?!{_CHAR})"
+_RUN = (f"(?<!{_CHAR})(?:(?=[A-Za-z_+/-]*[0-9]){_CHAR}{{16,}}|[A-Z0-9]{{20,}}"
+        f"|(?=[A-Z_+/-]*[a-z][a-z_+/-]*[A-Z]){_CHAR}{{16,}})(?!{_CHAR})")
 NEAR = 24  # characters looked at on either side
+LEAD = 96  # characters in which a cue word, the rest of its name and what assigns a value must stand
+
+# After a cue word: the rest of a name, then a sign that assigns, or up to two words before a quote.
+_NAME = r"(?:s|[0-9]{1,4}|[_-][A-Za-z0-9_-]{0,24}|[A-Z][A-Za-z0-9_-]{0,24})?"
+_SIGN = r"[\x22\x27`\])]{0,2}\s{0,3}(?::=|=>|={1,2}|:)[ \t]{0,3}"
+_GAP = r"\s{1,3}(?:[A-Za-z]{1,10}\s(?:[A-Za-z]{1,10}\s)?)?"
+# What is assigned without quotes ends before white space or a quote, closing punctuation, or the next assignment.
+_BARE = (r"[^\s\x22\x27`<>=:][^\s\x22\x27`<>]{3,}?(?=[.,;:)\]}]{0,3}(?:[\s\x22\x27`<>]|$)|[,;&]\w{1,40}(?: \w{1,40})?=)")
 
 # Words that announce a secret, and common parts of words and placeholders.
 CUES = "password passwd pwd secret token credential apikey api_key api-key access_key auth bearer private".split()
 DICTIONARY = ("example sample test dummy placeholder changeme default token secret password public version "
               "number tion ment that with this from the and ing lich ung der ent que ado ion").split()
 
+
+
+def _cue(cues) -> str:
+    return f"(?:(?i:{'|'.join(map(re.escape, cues))}){_NAME})"
+
+
+def candidate(cues=CUES) -> str:
+    """The regular expression that marks candidates; cheap looks behind stand before dear ones."""
+    quoted = "|".join(
+        f"(?<={q})(?<={_cue(cues)}(?:{_SIGN}|{_GAP}){q})(?:[^{q}\\s]{{4,}}+|[^{q}\\r\\n]{{4,64}})(?={q})"
+        for q in (r"\x22", r"\x27", "`"))
+    bare = f"(?<=[=:> \\t])(?<=[=:>][ \\t]{{0,3}})(?<={_cue(cues)}{_SIGN}){_BARE}"
+    return f"{quoted}|{bare}|{_RUN}"
+
+
 # Name and SQL of each figure, in terms of c.value, c.before and c.after.
 FEATURES = {
     "length": "length(c.value)",
@@ -37,15 +63,23 @@ FEATURES = {
     "path": "cast(c.value LIKE '%/%' OR rtrim(c.before) RLIKE '[/.\\\\\\\\]$' OR c.after RLIKE '^[/.]' AS double)",
     "cue": "cast(lower(c.before) RLIKE '({cues})' AS double)",
     "assigned": "cast(c.before RLIKE '[=:] ?[\"'']?$' AS double)",
+    "given": "cast(c.lead RLIKE '{given}' AS double)",
+    "symbols": "length(regexp_replace(c.value, '[A-Za-z0-9_+/-]', '')) / length(c.value)",
     "quoted": "cast(c.before RLIKE '[\"'']$' AND c.after RLIKE '^[\"'']' AS double)",
 }
+# A word that a cue word happens to be assigned, a variable's name and an address are no secrets.
 WEAK_LABEL = ("CASE WHEN c.value RLIKE '^(AKIA|ASIA)[A-Z0-9]{{16}}$' THEN 1 "
-              "WHEN lower(c.before) RLIKE '({cues})[\"'']? ?[=:] ?[\"'']?$' AND NOT c.value RLIKE '^[0-9]+$' THEN 1 "
+              "WHEN (lower(c.before) RLIKE '({cues})[\"'']? ?[=:] ?[\"'']?$' OR c.lead RLIKE '{given}') "
+              "AND NOT c.value RLIKE '^[0-9]+$' AND c.value RLIKE '{keylike}' AND NOT c.value RLIKE '{named}' THEN 1 "
               "ELSE 0 END")
+_KEYLIKE = r"[0-9]|[a-z][A-Z]|^[A-Z]{20,}$|[!#$%^&*+=~?|@][A-Za-z0-9]"
+_NAMED = r"^(?:[$%]?[{(<\[]|%\w+%$|\w+://)|^[^@\s]+@[A-Za-z0-9-]+[.][A-Za-z0-9.-]+$"
 
 
 def _sql(text: str, cues, dictionary) -> str:
+    given = f"{_cue(cues)}(?:{_SIGN}[\\x22\\x27`]?|{_GAP}[\\x22\\x27`])$"
     return text.format(cues="|".join(map(re.escape, cues)).replace("\\", "\\\\"),
+                       given=given.replace("\\", "\\\\"), keylike=_KEYLIKE, named=_NAMED.replace("\\", "\\\\"),
                        words="|".join(sorted(map(re.escape, dictionary), key=len, reverse=True)).replace("\\", "\\\\"))
 
 
@@ -54,11 +88,14 @@ def marked(docs: DataFrame, *, cues=CUES, dictionary=DICTIONARY) -> DataFrame:
     mark = F.when(F.instr("text", "\x01") == 0, F.lit("\x01")).otherwise(
         F.concat(F.lit("\x01"), F.md5(F.col("text").cast("binary"))))
     turns = docs.withColumn("_mark", mark).withColumn("_parts", F.split(
-        F.regexp_replace("text", F.lit(CANDIDATE), F.concat("_mark", F.lit("$0"), "_mark")), F.col("_mark")))
+        F.regexp_replace("text", F.lit(candidate(cues)), F.concat("_mark", F.lit("$0"), "_mark")), F.col("_mark")))
     figures = ", ".join(f"'{name}', cast({_sql(text, cues, dictionary)} AS double)" for name, text in FEATURES.items())
+    # a key's name may be a candidate of its own: what stands before goes back beyond it
+    lead = (f"right(concat(right(coalesce(get(_parts, i - 3), ''), {LEAD}), right(coalesce(get(_parts, i - 2), ''), {LEAD}), "
+            f"right(_parts[i - 1], {LEAD})), {LEAD})")
     raw = F.expr("transform(filter(sequence(0, size(_parts) - 1), i -> i % 2 = 1), "
-                 "i -> named_struct('at', i, 'value', _parts[i], "
-                 f"'before', right(_parts[i - 1], {NEAR}), 'after', left(_parts[i + 1], {NEAR})))")
+                 f"i -> named_struct('at', i, 'value', _parts[i], 'lead', {lead}, "
+                 f"'before', right({lead}, {NEAR}), 'after', left(_parts[i + 1], {NEAR})))")
     found = F.expr(f"transform(_raw, c -> named_struct('at', c.at, 'value', c.value, {figures}, "
                    f"'labelled', {_sql(WEAK_LABEL, cues, dictionary)}))")
     some = F.when(F.size("_parts") > 1, raw)

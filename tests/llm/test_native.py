@@ -98,6 +98,20 @@ def test_mixing_keeps_to_the_budget(spark, budget):
         assert r.quota - 7 <= spent[r._source] <= r.quota or r.tokens == 0
 
 
+@pytest.mark.parametrize("sizes", [
+    (723347347957, 984107995871, 171999863748), (528791346098, 767578651270, 945087558021),
+    (864513224102, 393970699565, 983567286526)])
+def test_mixing_goes_through_huge_sources(spark, sizes):
+    """Rounding of doubles is more than a word here."""
+    parts = [(f"s{k}", n // 4 + (n % 4 if i == 3 else 0), i / 4) for k, n in enumerate(sizes) for i in range(4)]
+    base = spark.createDataFrame(parts, "_source string, _tokens bigint, _pos double")
+    shares = {r._source: r for r in mixing.plan(base, repetition=1.25).collect()}
+    assert [shares[f"s{k}"].tokens for k in range(3)] == list(sizes)
+    assert all(r.passes == 1 and r.tokens <= r.quota <= 1.25 * r.tokens + 1 for r in shares.values())
+    largest = max(shares.values(), key=lambda r: r.tokens)
+    assert largest.quota == largest.tokens and largest.until == 0
+
+
 def test_exponent_brute(spark):
     sizes = spark.createDataFrame([("a", 7000, 1), ("b", 2000, 1), ("c", 1000, 1)], "_source string, tokens bigint, n bigint")
     e = mixing.exponent(sizes, 10_000, entropy=None, repetition=2.0, budget=None)

@@ -90,10 +90,12 @@ def plan(docs: DataFrame, *, entropy: float | None = None, repetition: float | N
     power = F.when(F.col("tokens") > 0, F.pow(p, F.lit(e))).otherwise(0.0)
     scale = sizes.select(F.sum(power).alias("z"), F.min(F.when(F.col("tokens") > 0, power / p)).alias("least")).first()
     spend = float(budget) if budget is not None else total * scale.z / scale.least
-    # a hair more than the quotient, so that rounding doesn't cost the least repeated source a document
+    # a hair more than the quotient, so that rounding doesn't cost a whole multiple its last word
     quota = F.floor(F.lit(spend) * power / scale.z + 1e-6).cast("bigint")
+    if budget is None:  # doubles round by more than that hair at some 1e10 words; a whole pass is due in any case
+        quota = F.greatest(quota, F.col("tokens"))
     share = sizes.select("_source", "tokens", "n", (power / scale.z).alias("weight"), quota.alias("quota")).withColumn(
-        "passes", F.when(F.col("tokens") > 0, F.floor(F.col("quota") / F.col("tokens"))).otherwise(1).cast("bigint"))
+        "passes", F.when(F.col("tokens") > 0, F.expr("quota div tokens")).otherwise(1).cast("bigint"))
     share = share.withColumn("rest", F.when(
         F.col("tokens") > 0, F.col("quota") - F.col("passes") * F.col("tokens")).otherwise(0))
     blocks = F.ceil(F.col("n") / BLOCK)

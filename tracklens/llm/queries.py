@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklens.llm import (
-    byte_bpe, forest, huffman, licences, mixing, multi_index, secrets, setsketch, substrings, toxicity,
+    alignment, byte_bpe, forest, huffman, licences, mixing, multi_index, part_codes, quality, secrets, setsketch,
+    substrings, toxicity,
 )
 from tracklens.llm.storage import importable
 from tracklens.session import checkpoint_folder
@@ -33,8 +34,8 @@ def registered() -> dict[str, Query]:
 
 
 def statements() -> dict[str, str]:
-    """SQL counterparts. None of these operators can be told in SQL; tests use brute force."""
-    return {}
+    """SQL counterparts, where SQL can tell a result whole; tests hold the others against brute force."""
+    return {"op11_vector_codes": part_codes.statement()}
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -118,3 +119,23 @@ def op8_secret_scan(spark, folder):
 def op9_source_mixing(spark, folder):
     docs = _table(spark, folder, "documents")
     return mixing.mixed(docs.select("doc_id", "text", "source"), repetition=1.25).drop("text")
+
+
+@_query
+def op11_vector_codes(spark, folder):
+    return part_codes.compressed(_table(spark, folder, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+
+
+@_query
+def op12_quality(spark, folder):
+    docs = _table(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = quality.fit(docs, _table(spark, folder, "labels"), metadata=["n_chars"], learn=~held_out)
+    return quality.scored(docs, model, metadata=["n_chars"]).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query
+def op13_tokenizer_alignment(spark, folder):
+    return alignment.align(_table(spark, folder, "documents"), path_a=public_tokenizers.path("byte_bpe_50k.json"),
+                           path_b=public_tokenizers.path("piece_bpe_32k.model"))

@@ -1,11 +1,13 @@
 import math
+import random
 import re
 from collections import Counter
 
 import pytest
 
 from tests.frames import rows_by
-from tracklens.operators.similarity import find_similar_issues, tfidf
+from tracklens.operators import similarity
+from tracklens.operators.similarity import find_similar_for_each, find_similar_issues, tfidf
 
 TEXTS = {
     1: "bug in login system authentication failed", 2: "feature request add dark mode to settings",
@@ -64,3 +66,45 @@ def test_nothing_in_common_and_nothing_closed(spark):
     found = find_similar_issues(frame(spark), "zzz", stop_words=STOP, k=2).collect()
     assert [(r.number, r.similarity) for r in found] == [(1, 0.0), (2, 0.0)]
     assert find_similar_issues(frame(spark).limit(0), "login", stop_words=STOP).count() == 0
+
+
+def made(seed, n, words):
+    """Texts of words whose frequencies fall off, some of them copies."""
+    rng = random.Random(seed)
+    common = [f"w{min(int(rng.expovariate(0.08)), words - 1)}" for _ in range(20 * n)]
+    texts = [" ".join(rng.sample(common, rng.randrange(0, 14))) for _ in range(n)]
+    return texts + texts[:3]
+
+
+@pytest.mark.parametrize("size, split, k", [(300, 100_000, 5), (300, 7, 5), (12, 3, 1)])
+def test_many_texts_at_once_equal_the_single_form(spark, size, split, k):
+    closed = spark.createDataFrame([(n, t, f"title {n}") for n, t in enumerate(made(1, 120, 60))],
+                                   "number bigint, feature_text string, title string").cache()
+    asked = [(1000 + n, t) for n, t in enumerate([*made(2, 6, 60), "zzz", "", None])]
+    queries = spark.createDataFrame(asked, "number bigint, feature_text string")
+    found = find_similar_for_each(queries, closed, stop_words=STOP, k=k, size=size, split=split).collect()
+    assert len(found) == k * len(asked)
+    for number, text in asked:
+        single = find_similar_issues(closed, text or "", stop_words=STOP, k=k, size=size).collect()
+        got = sorted((r.rank, r.number, r.similarity) for r in found if r.query == number)
+        assert got == [(place, r.number, pytest.approx(r.similarity, abs=2e-9)) for place, r in enumerate(single, 1)]
+
+
+def test_bounds_leave_terms_out(spark, monkeypatch):
+    """Common terms that cannot matter are not looked up, and results stay the same."""
+    texts = [f"rare{n} rare{n}x common shared" for n in range(40)] + ["common shared"] * 40
+    closed = spark.createDataFrame(list(enumerate(texts)), "number bigint, feature_text string")
+    queries = spark.createDataFrame([(900, texts[3]), (901, texts[8])], "number bigint, feature_text string")
+    seen = {}
+    keep = similarity.written
+    monkeypatch.setattr(similarity, "written", lambda df, name: seen.setdefault(name, keep(df, name)))
+    found = find_similar_for_each(queries, closed, stop_words=STOP, k=1).collect()
+    assert [(r.query, r.number) for r in sorted(found)] == [(900, 3), (901, 8)]
+    idle = {(r.query, r.term) for r in seen["bounds"].filter("idle").collect()}
+    assert {(900, "common"), (900, "shared"), (901, "common")} <= idle
+
+
+def test_many_texts_without_closed_ones(spark):
+    queries = spark.createDataFrame([(1, "login")], "number bigint, feature_text string")
+    assert find_similar_for_each(queries, frame(spark).limit(0), stop_words=STOP).count() == 0
+    assert find_similar_for_each(queries.limit(0), frame(spark), stop_words=STOP).count() == 0

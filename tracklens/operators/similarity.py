@@ -4,8 +4,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklens.functions.columns import one_of, words_of
+from tracklens.session import written
 
 VOCABULARY_SIZE = 300
+SPLIT = 100_000   # texts with a term that one task goes through for it
+MARGIN = 1e-8     # above what rounding to nine places can move a score
 
 
 def terms(texts: DataFrame, *, stop_words: list[str], text_col: str = "feature_text",
@@ -89,3 +92,76 @@ def find_similar_issues(closed: DataFrame, text: str, *, stop_words: list[str],
     # At most k rows, whatever the input.
     found = closed.drop(text_col, "text").join(F.broadcast(nearest), "number")
     return found.orderBy(F.desc("similarity"), "number")
+
+
+def _score_pairs(pairs: DataFrame, wanted: DataFrame, index: DataFrame) -> DataFrame:
+    """Whole scores of (query, number) pairs: a pair meets only the terms of its own texts."""
+    return pairs.join(wanted, "query").join(index, ["number", "term"]).groupBy("query", "number").agg(
+        F.expr("sum(weight * asked_weight) AS score"))
+
+
+def _nearest(scores: DataFrame, n: int) -> DataFrame:
+    """First ``n`` per query; each task keeps ``n`` per query before the shuffle."""
+    return scores.selectExpr("*", "row_number() OVER (PARTITION BY query ORDER BY score DESC, number) "
+                             "AS rank").filter(F.col("rank") <= n)
+
+
+def find_similar_for_each(queries: DataFrame, closed: DataFrame, *, stop_words: list[str], k: int = 5,
+                          size: int = VOCABULARY_SIZE, text_col: str = "feature_text",
+                          split: int = SPLIT) -> DataFrame:
+    """For each row of ``queries`` (number, text) the ``k`` closed issues closest to it: query, rank, number, similarity.
+
+    The same rows as :func:`find_similar_issues` for each text, found through an inverted
+    index: texts and queries meet on terms, never as pairs of all. A term's weight in any
+    text is bounded, and so is what it can add to a query's scores. The rarest terms of a query
+    give it ``k`` good texts and with them a score to beat; its commonest terms that together
+    cannot reach that score are then not looked up, and a text that meets the others but
+    cannot reach it with all the rest is dropped before the rest is added. Nothing that
+    could be among the ``k`` is lost. A term that more than ``split`` texts have is dealt out
+    to several tasks. Texts that share no term with a query have 0 and follow by number;
+    several rows of one query number are one text.
+    """
+    fitted = TermWeights(closed, size=size, stop_words=stop_words, text_col=text_col)
+    index = written(fitted.weights().select("number", "term", "weight"), "index")
+    wanted = fitted.weights_of(queries.select("number", text_col))
+    wanted = wanted.selectExpr("number AS query", "term", "weight AS asked_weight")
+    # At most ``size`` rows: how many texts have a term, and its greatest weight in any.
+    terms_ = F.broadcast(index.groupBy("term").agg(
+        F.expr("count(1) AS df"), F.expr("max(weight) AS most")))
+    wanted = written(wanted.join(terms_, "term").selectExpr(
+        "query", "term", "asked_weight", "df", "asked_weight * most AS bound"), "wanted")
+
+    parts = f"CAST(ceil(df / {split}D) AS int)"
+    dealt = index.join(terms_, "term").selectExpr(
+        "number", "term", "weight", f"pmod(hash(number), {parts}) AS part")
+
+    def meet(chosen: DataFrame) -> DataFrame:
+        """Sums over the chosen terms of each query, per text that has any of them."""
+        sides = chosen.selectExpr("query", "term", "asked_weight", f"explode(sequence(0, {parts} - 1)) AS part")
+        return sides.join(dealt, ["term", "part"]).groupBy("query", "number").agg(
+            F.expr("sum(weight * asked_weight) AS score"))
+
+    # The rarest terms that k texts have between them, and whole scores of the best by those.
+    rarest = wanted.selectExpr("*", "sum(df) OVER (PARTITION BY query ORDER BY df, term) - df AS before").filter(
+        F.col("before") < k)
+    first = _nearest(meet(rarest), 4 * k).select("query", "number")
+    beat = _nearest(_score_pairs(first, wanted.select("query", "term", "asked_weight"), index), k).groupBy(
+        "query").agg(F.expr(f"if(count(1) = {k}, min(score), 0D) AS beat"))
+    beaten = wanted.join(beat, "query", "left").selectExpr(
+        "*", "coalesce(beat, 0D) AS least",
+        "sum(bound) OVER (PARTITION BY query ORDER BY bound, term) AS reach")
+    beaten = written(beaten.selectExpr("*", f"reach < least - {MARGIN} AS idle"), "bounds")
+    rest = beaten.groupBy("query").agg(
+        F.expr("max(least) AS least"), F.expr("coalesce(sum(bound) FILTER (WHERE idle), 0D) AS rest"))
+    met = meet(beaten.filter("NOT idle")).join(rest, "query").filter(f"score + rest >= least - {MARGIN}")
+    idle = beaten.filter("idle").select("query", "term", "asked_weight")
+    more = _score_pairs(met.select("query", "number"), idle, index).select("query", "number", "score")
+
+    # Whoever meets fewer than k texts goes on with the smallest numbers.
+    lowest = closed.select("number").distinct().orderBy("number").limit(k).agg(
+        F.expr("collect_list(number)")).scalar()
+    every = queries.selectExpr("number AS query").distinct().withColumn("number", F.explode(lowest)).selectExpr(
+        "query", "number", "0D AS score")
+    scores = met.select("query", "number", "score").unionByName(more).unionByName(every).groupBy(
+        "query", "number").agg(F.expr("round(sum(score), 9) AS score"))
+    return _nearest(scores, k).selectExpr("query", "rank", "number", "score AS similarity")

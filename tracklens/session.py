@@ -1,6 +1,7 @@
 """Session settings the operators rely on."""
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,10 +40,21 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared checkpoint folder and go on from there.
+
+    Unlike ``checkpoint()``, which computes a frame twice, this runs it once, packs it
+    and lets later reads take single columns. A lost executor loses nothing of it.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/{name}-{uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    return written(df, "cut")
 
 
 def spread(scan: DataFrame) -> DataFrame:

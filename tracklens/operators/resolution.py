@@ -19,40 +19,78 @@ def closed_resolutions(issues: DataFrame, events: DataFrame, *, closure: str = "
         "resolution_micros IS NOT NULL")
 
 
-def label_resolution_stats(issues: DataFrame, events: DataFrame, *, closure: str = "first") -> DataFrame:
+# Fractions at which a quantile sketch gives the values of the exact places: the middle ones,
+# n div 4 and 3n div 4. A hair above the fraction goes to the next place where it falls on one.
+_SKETCHED = {"mid_low": 0.5, "mid_high": 0.5 + 1e-9, "q25": 0.25 + 1e-9, "q75": 0.75 + 1e-9}
+
+
+def _sketch(value: str, accuracy: int) -> str:
+    fractions = ", ".join(f"{fraction!r}D" for fraction in _SKETCHED.values())
+    return f"percentile_approx({value}, array({fractions}), {int(accuracy)})"
+
+
+def _basic(value: str) -> list:
+    return [F.expr("count(1) AS count"),
+            F.expr(f"{hours(mean_micros(value))} AS mean_hours"),
+            F.expr(f"coalesce(stddev_samp({hours(value)}), 0D) AS std_dev_hours"),
+            F.expr(f"{hours(f'min({value})')} AS min_hours"),
+            F.expr(f"{hours(f'max({value})')} AS max_hours")]
+
+
+def _sketched_by_label(times: DataFrame, accuracy: int) -> DataFrame:
+    """Counts and a quantile sketch in one aggregation, combined before its only shuffle."""
+    found = times.groupBy("label").agg(*_basic("resolution_micros"),
+                                       F.expr(f"{_sketch('resolution_micros', accuracy)} AS places"))
+    return found.selectExpr("*", *[f"places[{k}] AS {name}" for k, name in enumerate(_SKETCHED)])
+
+
+def _ranked_by_label(times: DataFrame) -> DataFrame:
+    basic = times.groupBy("label").agg(*_basic("resolution_micros"))
+    ranked = order_statistics(times, ["label"], "resolution_micros", {
+        **MIDDLES, "q25": at_fraction(1, 4), "q75": at_fraction(3, 4)}).withColumnRenamed(
+        "label", "ranked_label")
+    return basic.join(ranked, F.expr("label <=> ranked_label"))
+
+
+def label_resolution_stats(issues: DataFrame, events: DataFrame, *, closure: str = "first",
+                           accuracy: int | None = None) -> DataFrame:
     """Resolution time statistics per label.
 
     A label repeated on an issue counts twice; issues without labels count as
     ``no_label``. p25 and p75 are the values at places n div 4 and 3n div 4.
+
+    With ``accuracy`` the median and quartiles come from a mergeable sketch of bounded
+    size: each is the value of a place at most ``n / accuracy`` from the asked one, and
+    exact while a label has fewer than ``accuracy`` times. All else stays exact.
     """
     times = closed_resolutions(issues, events, closure=closure).selectExpr(
         f"explode({labels_or_none('labels')}) AS label", "resolution_micros")
-    basic = times.groupBy("label").agg(
-        F.expr("count(1) AS count"),
-        F.expr(f"{hours(mean_micros('resolution_micros'))} AS mean_hours"),
-        F.expr(f"coalesce(stddev_samp({hours('resolution_micros')}), 0D) AS std_dev_hours"),
-        F.expr(f"{hours('min(resolution_micros)')} AS min_hours"),
-        F.expr(f"{hours('max(resolution_micros)')} AS max_hours"))
-    ranked = order_statistics(times, ["label"], "resolution_micros", {
-        **MIDDLES, "q25": at_fraction(1, 4), "q75": at_fraction(3, 4)})
-    order = ranked.selectExpr(
-        "label AS ranked_label", f"{hours(MEDIAN)} AS median_hours",
-        f"{hours('q25')} AS percentile_25", f"{hours('q75')} AS percentile_75",
+    found = _ranked_by_label(times) if accuracy is None else _sketched_by_label(times, accuracy)
+    return found.selectExpr(
+        "label", "count", "mean_hours", f"{hours(MEDIAN)} AS median_hours", "std_dev_hours",
+        "min_hours", "max_hours", f"{hours('q25')} AS percentile_25",
+        f"{hours('q75')} AS percentile_75", "mean_hours / 24 AS mean_days",
+        f"{hours(MEDIAN)} / 24 AS median_days",
         # Twice the median is a whole number of microseconds, fit for ranking.
         "mid_low + mid_high AS median_micros_x2")
-    return basic.join(order, F.expr("label <=> ranked_label")).selectExpr(
-        "label", "count", "mean_hours", "median_hours", "std_dev_hours", "min_hours",
-        "max_hours", "percentile_25", "percentile_75", "mean_hours / 24 AS mean_days",
-        "median_hours / 24 AS median_days", "median_micros_x2")
 
 
-def resolution_summary(issues: DataFrame, events: DataFrame, *, closure: str = "first") -> DataFrame:
-    """One row over all closed issues; no row when none has a resolution time."""
+def resolution_summary(issues: DataFrame, events: DataFrame, *, closure: str = "first",
+                       accuracy: int | None = None) -> DataFrame:
+    """One row over all closed issues; no row when none has a resolution time.
+
+    With ``accuracy`` the median comes from a sketch, see :func:`label_resolution_stats`.
+    """
     times = closed_resolutions(issues, events, closure=closure)
     labels = times.selectExpr(f"explode({labels_or_none('labels')}) AS label")
     unique = labels.agg(F.expr("count(DISTINCT struct(label))")).scalar()
-    median = order_statistics(times, [], "resolution_micros", MIDDLES).selectExpr(
-        days(MEDIAN)).scalar()
+    if accuracy is None:
+        median = order_statistics(times, [], "resolution_micros", MIDDLES).selectExpr(
+            days(MEDIAN)).scalar()
+    else:
+        sketch = times.agg(F.expr(f"{_sketch('resolution_micros', accuracy)} AS places"))
+        median = sketch.selectExpr("places[0] AS mid_low", "places[1] AS mid_high").selectExpr(
+            days(MEDIAN)).scalar()
     whole = times.agg(
         F.expr("count(1) AS total_closed_issues"),
         F.expr(f"{days(mean_micros('resolution_micros'))} AS overall_mean_days"),

@@ -1,6 +1,6 @@
 """The registered queries in DuckDB's SQL, over the same tables."""
 
-from tracklens.plans.queries import LIFECYCLE_END, SIMILAR_TO, STOP_WORDS
+from tracklens.plans.queries import LIFECYCLE_END, RANGE, SIMILAR_TO, STOP_WORDS
 from tracklens.schema import (
     COMPONENT_WORDS, DEFECT_WORDS, SCOPE_WORDS, SECURITY_WORDS, SEVERE_WORDS, TRIAGE_FEATURES,
 )
@@ -87,6 +87,20 @@ raw AS (
   FROM lineitem),
 parsed AS (SELECT * FROM raw WHERE state <> 'draft')"""
 
+_LABEL_EVENTS = """
+marks AS (
+  SELECT l_suppkey AS issue_number, (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS pos,
+    CASE WHEN l_returnflag = 'R' THEN 'closed' WHEN l_returnflag = 'A' THEN 'labeled'
+         WHEN l_linenumber % 3 = 0 THEN 'reopened' ELSE 'unlabeled' END AS event_type,
+    concat('u', l_partkey % 100) AS author,
+    l_shipdate + to_hours(CAST(l_orderkey % 24 AS INT)) + to_minutes(CAST(l_partkey % 60 AS INT)) AS event_date,
+    CASE WHEN l_returnflag <> 'R' THEN concat('kind/', l_partkey % 7) END AS label
+  FROM lineitem)"""
+
+_SPANS = """
+spans AS (SELECT number, creator, created_date AS opened_at, closed_at FROM issues LEFT JOIN closing USING (number)
+          WHERE created_date IS NOT NULL AND (closed_at IS NULL OR closed_at > created_date))"""
+
 _FEED = """
 feed AS (
   SELECT * FROM (
@@ -324,7 +338,7 @@ people AS (SELECT issue_number, date_trunc('month', event_date) AS month, count(
         f"coalesce(power(({n} - avg({n}) OVER ()) / nullif(stddev_samp({n}) OVER (), 0), 2), 0)"
         for n in TRIAGE_FEATURES)
 
-    return {
+    found = {
         "issue_table": _history(
             "tally AS (SELECT issue_number AS number, count(*) AS event_count, count(*) FILTER (event_type = 'commented') "
             "AS comment_count, min(event_date) FILTER (event_type = 'closed') AS closure_date FROM events GROUP BY 1)",
@@ -549,6 +563,19 @@ scores AS (SELECT number, round(sum(weight * asked_weight), 9) AS s FROM weights
 SELECT number, title, url, array_to_string(labels, '|') AS labels, round(coalesce(s, 0), 6) AS similarity
 FROM texts LEFT JOIN scores USING (number) ORDER BY coalesce(s, 0) DESC, number LIMIT 5"""),
 
+        "similar_issues_of_open": _text(_CLOSED_TEXTS, _WEIGHTS, f"""
+asked_words AS (SELECT number AS query, unnest(regexp_extract_all(lower(concat(title, ' ', text)), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term
+  FROM issues WHERE state = 'open'),
+asked AS (SELECT query, term, count(*) * max(idf) AS raw FROM asked_words JOIN idf USING (term) GROUP BY 1, 2),
+wanted AS (SELECT query, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY query)) AS asked_weight FROM asked),
+met AS (SELECT query, number, sum(weight * asked_weight) AS s FROM wanted JOIN weights USING (term) GROUP BY 1, 2),
+lowest AS (SELECT number FROM texts ORDER BY number LIMIT 5),
+all_pairs AS (SELECT query, number, s FROM met UNION ALL
+  SELECT i.number, l.number, 0 FROM issues i, lowest l WHERE state = 'open'),
+scores AS (SELECT query, number, round(sum(s), 9) AS similarity FROM all_pairs GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY similarity DESC, number) AS rank FROM scores)""", """
+SELECT query, rank, number, round(similarity, 6) AS similarity FROM ranked WHERE rank <= 5"""),
+
         # Text vectors have unit length, or none without a known term.
         "triage_matrix": _text(_TIMELINE, """
 texts AS (SELECT *, concat(title, ' ', text) AS feature_text FROM partial WHERE state = 'closed' AND micros IS NOT NULL)""",
@@ -558,6 +585,86 @@ texts AS (SELECT *, concat(title, ' ', text) AS feature_text FROM partial WHERE
 SELECT number, (SELECT count(*) FROM vocab) + {len(TRIAGE_FEATURES)} AS width,
   round(CASE WHEN number IN (SELECT number FROM tf) THEN 1 ELSE 0 END + {scaled}, 6) AS square_sum FROM numbers"""),
 
+        "labels_at_closings": _with(_LABEL_EVENTS, """
+closings AS (SELECT issue_number, pos, event_date AS closed_at FROM marks WHERE event_type = 'closed'),
+stood AS (SELECT c.issue_number, c.pos, c.closed_at, arg_max(CASE event_type WHEN 'closed' THEN 'closed' ELSE 'open' END,
+    (m.event_date, m.pos)) AS state
+  FROM closings c LEFT JOIN marks m ON m.issue_number = c.issue_number AND m.event_date < c.closed_at
+    AND event_type IN ('closed', 'reopened') GROUP BY ALL),
+held AS (SELECT c.issue_number, c.pos, c.closed_at, m.label, arg_max(event_type, (m.event_date, m.pos)) AS kind
+  FROM closings c JOIN marks m ON m.issue_number = c.issue_number AND m.event_date < c.closed_at
+    AND event_type IN ('labeled', 'unlabeled') GROUP BY ALL),
+listed AS (SELECT issue_number, pos, closed_at, string_agg(label, '|' ORDER BY label) AS labels FROM held WHERE kind = 'labeled' GROUP BY ALL)""", """
+SELECT issue_number, pos, closed_at, coalesce(state, 'open') AS state, coalesce(labels, '') AS labels
+FROM stood LEFT JOIN listed USING (issue_number, pos, closed_at)"""),
+        "open_together": _history(_CLOSING, _SPANS, """
+moments AS (SELECT creator, moment, sum(opened) AS opened, sum(opened - ended) AS net FROM (
+    SELECT creator, opened_at AS moment, 1 AS opened, 0 AS ended FROM spans UNION ALL
+    SELECT creator, closed_at, 0, 1 FROM spans WHERE closed_at IS NOT NULL) GROUP BY 1, 2),
+swept AS (SELECT *, sum(net) OVER (PARTITION BY creator ORDER BY moment) AS running FROM moments),
+pairs AS (SELECT a.creator, count(*) AS n FROM spans a JOIN spans b ON a.creator = b.creator AND a.number < b.number
+  AND a.opened_at < coalesce(b.closed_at, TIMESTAMP '9999-01-01') AND b.opened_at < coalesce(a.closed_at, TIMESTAMP '9999-01-01')
+  GROUP BY 1)""", """
+SELECT creator, CAST(sum(opened) AS BIGINT) AS issues, CAST(coalesce(any_value(n), 0) AS BIGINT) AS overlapping_pairs,
+  CAST(max(running) AS BIGINT) AS peak, min(moment) FILTER (running = top) AS peak_from
+FROM (SELECT *, max(running) OVER (PARTITION BY creator) AS top FROM swept) LEFT JOIN pairs USING (creator) GROUP BY creator"""),
+        "open_alongside": _history(_CLOSING, _SPANS, """
+SELECT a.number, a.creator, count(b.number) AS alongside FROM spans a LEFT JOIN spans b ON a.creator = b.creator
+  AND a.number <> b.number AND b.opened_at <= a.opened_at AND coalesce(b.closed_at, TIMESTAMP '9999-01-01') > a.opened_at
+GROUP BY 1, 2"""),
+        "working_sessions": _history(_FEED, """
+gaps AS (SELECT "user", ts, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) <= 12 * 3600000000 THEN 0 ELSE 1 END AS fresh
+  FROM feed WHERE "user" IS NOT NULL AND ts IS NOT NULL WINDOW w AS (PARTITION BY "user" ORDER BY ts)),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY "user" ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM gaps)""", """
+SELECT "user", min(ts) AS started, max(ts) AS ended, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 6e7, 6) AS minutes,
+  count(*) AS acts FROM numbered GROUP BY "user", run"""),
+        "rolling_backlog": _history(_CLOSING, """
+labelled AS (SELECT unnest(CASE WHEN len(labels) > 0 THEN labels ELSE ['no_label'] END) AS label, created_date, closed_at
+  FROM issues LEFT JOIN closing USING (number)),
+daily AS (SELECT label, day, sum(o) AS opened, sum(c) AS closed FROM (
+    SELECT label, CAST(created_date AS DATE) AS day, 1 AS o, 0 AS c FROM labelled WHERE created_date IS NOT NULL UNION ALL
+    SELECT label, CAST(closed_at AS DATE), 0, 1 FROM labelled WHERE closed_at IS NOT NULL) GROUP BY 1, 2),
+lately AS (SELECT *, sum(opened) OVER w AS o, sum(closed) OVER w AS c FROM daily
+  WINDOW w AS (PARTITION BY label ORDER BY day RANGE BETWEEN INTERVAL 27 DAYS PRECEDING AND CURRENT ROW))""", """
+SELECT label, day, CAST(opened AS BIGINT) AS opened, CAST(closed AS BIGINT) AS closed, CAST(o AS BIGINT) AS opened_lately,
+  CAST(c AS BIGINT) AS closed_lately, CAST(o - c AS BIGINT) AS backlog_change FROM lately"""),
+        "event_gaps": _with(_LABEL_EVENTS, """
+gaps AS (SELECT issue_number, (epoch_us(event_date) - epoch_us(lag(event_date) OVER (PARTITION BY issue_number ORDER BY event_date)))
+  / 3.6e9 AS gap FROM marks)""", """
+SELECT issue_number, count(*) AS events, round(avg(gap), 6) AS mean_hours, round(min(gap), 6) AS min_hours,
+  round(max(gap), 6) AS max_hours FROM gaps GROUP BY 1"""),
+        "closures_cube": _history(_RESOLVED, """
+rows_ AS (SELECT year(closed_at) AS year, month(closed_at) AS month, micros,
+    unnest(CASE WHEN len(labels) > 0 THEN labels ELSE ['no_label'] END) AS label FROM resolved JOIN closing USING (number))""", """
+SELECT year, month, label, CASE GROUPING(year, month, label) WHEN 0 THEN 'year+month+label' WHEN 1 THEN 'year+month'
+    WHEN 3 THEN 'year' WHEN 6 THEN 'label' ELSE 'all' END AS level, count(*) AS closures,
+  round(CAST(sum(micros) AS DOUBLE) / count(*) / 864e8, 6) AS mean_days
+FROM rows_ GROUP BY GROUPING SETS ((year, month, label), (year, month), (year), (label), ())"""),
+        # Sketches hold few values as they are.
+        "participants_by_label_year": _history("""
+acts_ AS (SELECT DISTINCT issue_number, date_trunc('month', event_date) AS month, author FROM events
+  WHERE author IS NOT NULL AND event_date IS NOT NULL),
+labelled AS (SELECT number AS issue_number, unnest(CASE WHEN len(labels) > 0 THEN labels ELSE ['no_label'] END) AS label FROM issues)""", """
+SELECT label, year(month) AS year, count(DISTINCT author) AS participants, count(*) AS participations
+FROM acts_ JOIN labelled USING (issue_number) GROUP BY 1, 2"""),
+        "resolution_quantiles_by_year": _history(_RESOLVED, """
+rows_ AS (SELECT year(closed_at) AS year, hours, unnest(CASE WHEN len(labels) > 0 THEN labels ELSE ['no_label'] END) AS label
+  FROM resolved JOIN closing USING (number))""", """
+SELECT year, count(*) AS count, round(quantile_disc(hours, 0.25), 6) AS p25, round(quantile_disc(hours, 0.5), 6) AS p50,
+  round(quantile_disc(hours, 0.75), 6) AS p75 FROM rows_ GROUP BY 1"""),
+        "busiest_of_range": _history(_FEED, f"""
+counts AS (SELECT date_trunc('month', ts) AS month, "user", count(*) AS acts FROM feed WHERE "user" IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2),
+placed AS (SELECT *, row_number() OVER (PARTITION BY month ORDER BY acts DESC, "user") AS place FROM counts),
+months AS (SELECT month, coalesce(max(acts) FILTER (place = 41), 0) AS missed FROM placed
+  WHERE month >= TIMESTAMP '{RANGE[0]}' AND month < TIMESTAMP '{RANGE[1]}' GROUP BY 1)""", """
+SELECT "user", CAST(sum(acts) AS BIGINT) AS acts, CAST((SELECT sum(missed) FROM months) - sum(missed) AS BIGINT) AS error
+FROM placed JOIN months USING (month) WHERE place <= 40 GROUP BY 1 ORDER BY sum(acts) DESC, "user" LIMIT 20"""),
+        "stream_daily_activity": _with(_LABEL_EVENTS, """
+SELECT date_trunc('day', event_date) AS day, author AS "user", count(*) AS acts FROM marks GROUP BY 1, 2"""),
+        "stream_first_responses": _history("""
+SELECT issue_number, min(event_date) AS responded_at FROM events JOIN issues ON issue_number = number
+WHERE event_type IN ('commented', 'labeled') AND author <> creator GROUP BY 1"""),
+
         "split_train_test": _history("""
 SELECT number, CASE WHEN CAST(concat('0x', substr(md5(concat(number, ':42')), 1, 8)) AS BIGINT) % 100 < 80
   THEN 'train' ELSE 'test' END AS part FROM issues"""),
@@ -580,3 +687,7 @@ UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f),
 UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6),
   round(sum(f * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM scores"""),
     }
+    # Exact while a label has fewer times than the accuracy.
+    for name in ("label_resolution_stats", "resolution_summary"):
+        found[f"{name}_sketched"] = found[name]
+    return found

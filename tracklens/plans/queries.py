@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 
 from tracklens.functions import columns as C
 from tracklens.operators import (
-    closures, contributors, filters, models, predictions, resolution, similarity, triage,
+    closures, contributors, filters, models, predictions, resolution, rollups, similarity, timeline,
+    triage,
 )
 from tracklens.schema import RESOLUTION_FEATURES, TRIAGE_FEATURES
 from tracklens.session import checkpoint_folder, cut_lineage
 from tracklens.sources import bindings
 from tracklens.sources import issues as source
 from tracklens.sources.sinks import write_results
+from tracklens.streaming import activity as streams
 
 STOP_WORDS = [
     "a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on",
@@ -27,6 +29,8 @@ STOP_WORDS = [
 ]
 SIMILAR_TO = "error and exception in the plugin cache, traceback from the venv resolver"
 LIFECYCLE_END = "2001-08-01 00:00:00"
+RANGE = ("1994-03-01", "1995-09-01")
+ACCURACY = 100_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -590,6 +594,122 @@ def q_find_similar_issues(spark, folder):
         "number", "title", "url", "labels", "similarity")
 
 
+@_query
+def q_similar_issues_of_open(spark, folder):
+    """The closed issues closest to each open one."""
+    issues, _ = bindings.text(spark, folder)
+    asked = filters.filter_by_state(issues, "open").withColumn("feature_text", F.concat("title", F.lit(" "), "text"))
+    return similarity.find_similar_for_each(asked, _closed_texts(spark, folder), stop_words=STOP_WORDS, k=5)
+
+
+# --- sketches, subtotals and time ----------------------------------------------------------
+
+@_query
+def q_label_resolution_stats_sketched(spark, folder):
+    return resolution.label_resolution_stats(*bindings.history(spark, folder), accuracy=ACCURACY).drop("median_micros_x2")
+
+
+@_query
+def q_resolution_summary_sketched(spark, folder):
+    return resolution.resolution_summary(*bindings.history(spark, folder), accuracy=ACCURACY)
+
+
+@_query
+def q_labels_at_closings(spark, folder):
+    return timeline.labels_at_closings(bindings.label_events(bindings.load(spark, folder, "lineitem")))
+
+
+def _spans(spark, folder):
+    return timeline.open_spans(*bindings.history(spark, folder), closure="min")
+
+
+@_query
+def q_open_together(spark, folder):
+    return timeline.open_together(_spans(spark, folder))
+
+
+@_query
+def q_open_alongside(spark, folder):
+    return timeline.open_alongside(_spans(spark, folder))
+
+
+@_query
+def q_working_sessions(spark, folder):
+    return timeline.working_sessions(_feed(spark, folder), gap_minutes=12 * 60)
+
+
+@_query
+def q_rolling_backlog(spark, folder):
+    return timeline.rolling_backlog(*bindings.history(spark, folder), days=28, closure="min")
+
+
+@_query
+def q_event_gaps(spark, folder):
+    return timeline.event_gaps(bindings.label_events(bindings.load(spark, folder, "lineitem")))
+
+
+@_query
+def q_closures_cube(spark, folder):
+    return rollups.closures_cube(*bindings.history(spark, folder), closure="min")
+
+
+def _stored(df, name):
+    path = f"{checkpoint_folder(df.sparkSession)}/{name}-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@_query
+def q_participants_by_label_year(spark, folder):
+    """From the stored sketches of months."""
+    sketches = _stored(rollups.participant_sketches(*bindings.history(spark, folder)), "participants")
+    return rollups.merged_participants(sketches, ["label", "year"])
+
+
+@_query
+def q_resolution_quantiles_by_year(spark, folder):
+    """From the stored sketches of months."""
+    sketches = _stored(rollups.resolution_sketches(*bindings.history(spark, folder), closure="min", k=1 << 15), "times")
+    return rollups.merged_quantiles(sketches, ["year"])
+
+
+@_query
+def q_busiest_of_range(spark, folder):
+    """From the stored counters of months."""
+    counters = _stored(rollups.monthly_counters(_feed(spark, folder), kept=40), "counters")
+    return rollups.busiest_of_range(counters, *RANGE, n=20)
+
+
+def _arriving(spark, folder, events, runs):
+    """Events as files that arrive in two parts, the older one first and again in part with the other."""
+    path = f"{checkpoint_folder(spark)}/arriving-{uuid4().hex}"
+    middle = events.agg(F.expr("timestamp_micros(CAST(avg(unix_micros(event_date)) AS bigint))")).scalar()
+    halves = events.withColumn("middle", middle)
+    parts = [halves.filter("event_date <= middle"),
+             halves.filter("event_date > middle OR (event_date > middle - INTERVAL 30 DAYS AND pos % 3 = 0)")]
+    for part in parts:
+        part.drop("middle").write.mode("append").parquet(path)
+        runs(path)
+
+
+@_query
+def q_stream_daily_activity(spark, folder):
+    """Kept up in two runs, with repeated events in the second."""
+    store = f"{checkpoint_folder(spark)}/daily-{uuid4().hex}"
+    events = bindings.label_events(bindings.load(spark, folder, "lineitem")).drop("label")
+    _arriving(spark, folder, events, lambda path: streams.keep_daily_activity(spark, path, store, delay="60 days"))
+    return streams.daily_activity(spark, store).drop("sealed")
+
+
+@_query
+def q_stream_first_responses(spark, folder):
+    """Kept up in two runs, with repeated events in the second."""
+    store = f"{checkpoint_folder(spark)}/responses-{uuid4().hex}"
+    issues, events = bindings.history(spark, folder)
+    _arriving(spark, folder, events, lambda path: streams.keep_first_responses(spark, path, store, issues))
+    return streams.first_responses(spark, store)
+
+
 # --- models ------------------------------------------------------------------------------------
 
 @_query

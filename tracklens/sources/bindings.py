@@ -62,6 +62,17 @@ def history_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                  "event_date")
 
 
+def label_events(lineitem: DataFrame) -> DataFrame:
+    """Line items as label and state events of their supplier's issue."""
+    return lineitem.selectExpr(
+        "l_suppkey AS issue_number", "(l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS pos",
+        "CASE WHEN l_returnflag = 'R' THEN 'closed' WHEN l_returnflag = 'A' THEN 'labeled' "
+        "WHEN l_linenumber % 3 = 0 THEN 'reopened' ELSE 'unlabeled' END AS event_type",
+        "concat('u', l_partkey % 100) AS author",
+        f"l_shipdate + {_shift('0', 'l_orderkey % 24', 'l_partkey % 60')} AS event_date",
+        "if(l_returnflag <> 'R', concat('kind/', l_partkey % 7), NULL) AS label")
+
+
 def text_issues(documents: DataFrame) -> DataFrame:
     """Documents carry no code or traces, so marks are added after their text."""
     return documents.selectExpr(

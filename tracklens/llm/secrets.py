@@ -106,10 +106,12 @@ def marked(docs: DataFrame, *, cues=CUES, dictionary=DICTIONARY) -> DataFrame:
 def labelled_findings(docs: DataFrame, *, most: int = 20_000, **words) -> DataFrame:
     """Findings with figures and ``labelled`` (1 secret, 0 not), about ``most`` chosen by a hash.
 
-    Labels follow strict rules: keys of a known make, and what a cue word is assigned.
+    Labels follow strict rules: keys of a known make, and what a cue word is assigned. The
+    marked findings are written before anything filters them: a filter in the same plan is
+    pushed below the columns it reads and repeats the candidate expression in each.
     """
-    found = marked(docs.select("text"), **words).filter("_found IS NOT NULL").select(
-        F.explode("_found").alias("c")).select("c.*")
+    once = stored(marked(docs.select("text"), **words).select("_found"), "marked")
+    found = once.filter("_found IS NOT NULL").select(F.explode("_found").alias("c")).select("c.*")
     counts = {row.labelled: row.n for row in
               found.groupBy("labelled").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("labelled") == 1, min(1.0, most / 2 / max(counts.get(1, 0), 1))).otherwise(

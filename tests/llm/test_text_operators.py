@@ -43,11 +43,9 @@ def test_near_duplicates_split_bucket(spark):
 
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(2)
-    seeds = setsketch.stream(5, 512)
     a, b = (rng.integers(0, 2**63, 900).astype(np.uint64) for _ in range(2))
     b[:600] = a[:600]
-    both = setsketch.registers(np.union1d(a, b), seeds)
-    one, two = (setsketch.registers(x, seeds) for x in (a, b))
+    both, one, two = setsketch.registers([np.union1d(a, b), a, b], 512)
     assert np.array_equal(both, np.maximum(one, two))
     guess, gap = setsketch.estimate(one[None], two[None], np.array([900.0]), np.array([900.0]), 0.8)
     assert abs(guess[0] - 0.5) < 0.1 and gap[0] > setsketch.DOUBT
@@ -62,7 +60,7 @@ def test_substrings(spark, length):
 
 
 def test_licences(spark):
-    given = [*frames.awkward_texts(), (9000, licences.TEMPLATES[0][1]), (9001, "no " + licences.TEMPLATES[6][1] + " at all"),
+    given = [*frames.awkward_texts(), (9000, licences.TEMPLATES[0][1]), (9001, "no " + dict(licences.TEMPLATES)["isc"] + " at all"),
              *frames.texts(spark)]
     found = {}
     for r in licences.scan(frames.documents(spark, given)).collect():
@@ -74,7 +72,31 @@ def test_licences(spark):
         got = found[i, len(words)][0]
         assert sorted((x.first, x.label) for x in got.phrases) == want
         if i in (9000, 9001):
-            assert {"mit", "bsd"} & {x.label for x in got.spans} and max(x.covered for x in got.spans) == 1.0
+            assert {"mit", "isc"} & {x.label for x in got.spans} and max(x.covered for x in got.spans) == 1.0
+
+
+@pytest.mark.parametrize("label", sorted({label for label, _ in licences.TEMPLATES}))
+def test_licence_texts_are_told_apart(label):
+    """Every longest wording carries its own label and no relative's, also with words changed or left out."""
+    text = max((t for x, t in licences.TEMPLATES if x == label), key=len)
+    scan = licences.scanner()
+    rng = random.Random(label)
+    whole = text.split()
+    changed = [w if rng.random() > 0.02 else "other" for w in whole if rng.random() > 0.01] if len(whole) > 60 else whole
+    for words in (whole, ["before", "it", *whole, "and", "after"], changed):
+        n, _, runs = scan.scan(" ".join(words).encode())
+        spans = scan.spans(runs)
+        relatives = {"gpl-2": {"gpl"}, "gpl-3": {"gpl"}, "bsd-2": {"bsd"}, "bsd-3": {"bsd"}, "gpl": {"gpl-2", "gpl-3"}}
+        assert label in {x[0] for x in spans} and {x[0] for x in spans} <= {label} | relatives.get(label, set())
+        assert all(0 <= first <= last < n and covered <= 1 for _, first, last, covered in spans)
+
+
+def test_spans_of_unlike_words():
+    scan = licences.scanner([("x", "a b c d e f g h i j")], {})
+    for text, want in (("a b c d e f g h i j", [("x", 0, 9, 1.0)]), ("a b c d z z e f g h i j", [("x", 0, 11, 1.0)]),
+                       ("a b c d e z", []), ("a b c d " + "z " * 20 + "e f g h i j", [("x", 24, 29, 0.6)]),
+                       ("g h i j a b c d e f", [("x", 4, 9, 0.6)])):
+        assert scan.spans(scan.scan(text.encode())[2]) == want
 
 
 def test_matching_statistics_brute():

@@ -141,3 +141,17 @@ def test_matrix_agrees_with_long_form(spark):
     assert {r["features"].size for r in matrix.values()} == {width}
     columns = [[r["numbers"][i] for r in matrix.values()] for i in range(len(TRIAGE_FEATURES))]
     assert all(sum(c) == pytest.approx(0, abs=1e-9) for c in columns)
+
+
+def test_fitted_models_follow_their_tables(spark, tmp_path):
+    """A query fits again once a table it reads has changed."""
+    from tracklens.plans import queries
+
+    for table in ("orders", "lineitem"):
+        spark.range(5).write.parquet(f"{tmp_path}/{table}.parquet")
+    calls = []
+    fit = lambda: calls.append(1) or len(calls)
+    ask = lambda: queries._fitted("test", spark, str(tmp_path), ("orders", "lineitem"), fit)
+    assert [ask(), ask()] == [1, 1]
+    spark.range(3).write.mode("append").parquet(f"{tmp_path}/lineitem.parquet")
+    assert [ask(), ask()] == [2, 2]

@@ -742,22 +742,33 @@ def q_classification_report(spark, folder):
     return models.classification_report(both, label="truth", prediction="urgency")
 
 
-# A fitted model serves several queries of one application.
-_FITTED: dict[tuple[str, str, str], object] = {}
+# A fitted model serves several queries of one application, as long as its tables' files stay the same.
+_FITTED: dict[tuple, object] = {}
 
 
-def _fitted(kind: str, spark, folder, fit):
+def _files(spark, folder, tables):
+    """A digest of the tables' files and when they were written."""
+    parts = []
+    for table in tables:
+        files = bindings.load(spark, folder, table, hidden=["_metadata"]).selectExpr(
+            "_metadata.file_path AS path", "_metadata.file_size AS size", "_metadata.file_modification_time AS changed").distinct()
+        parts.append(tuple(files.agg(F.expr("count(1)"), F.expr("sum(CAST(xxhash64(path, size, changed) AS decimal(38, 0)))")).first()))
+    return tuple(parts)
+
+
+def _fitted(kind: str, spark, folder, tables, fit):
     key = (kind, spark.sparkContext.applicationId, folder)
-    if key not in _FITTED:
-        _FITTED[key] = fit()
-    return _FITTED[key]
+    now = _files(spark, folder, tables)
+    if key not in _FITTED or _FITTED[key][0] != now:
+        _FITTED[key] = (now, fit())
+    return _FITTED[key][1]
 
 
 def _regressor(spark, folder) -> models.ResolutionModel:
     def fit():
         times = resolution.closed_resolutions(*bindings.history(spark, folder))
         return models.train_resolution_model(resolution.label_features(times))
-    return _fitted("resolution", spark, folder, fit)
+    return _fitted("resolution", spark, folder, ("orders", "lineitem"), fit)
 
 
 @_query
@@ -807,7 +818,7 @@ def _training(spark, folder):
 
 
 def _classifier(spark, folder) -> models.PriorityModel:
-    return _fitted("priority", spark, folder, lambda: models.train_priority_model(
+    return _fitted("priority", spark, folder, ("documents", "events"), lambda: models.train_priority_model(
         _training(spark, folder), stop_words=STOP_WORDS))
 
 
@@ -833,3 +844,20 @@ def q_priority_importance(spark, folder):
 def q_predict_priority(spark, folder):
     timeline = filters.filter_by_state(_timeline(spark, folder), "open")
     return models.predict_priority(_classifier(spark, folder), timeline)
+
+
+@_query
+def q_save_priority_model(spark, folder):
+    """Saved to the shared folder; the saved report as it stands there."""
+    path = f"{checkpoint_folder(spark)}/priority-{uuid4().hex}"
+    models.save_priority_model(_classifier(spark, folder), path)
+    return spark.read.parquet(f"{path}/report")
+
+
+@_query
+def q_load_priority_model(spark, folder):
+    """Saved to the shared folder, loaded from it, and applied."""
+    path = f"{checkpoint_folder(spark)}/priority-{uuid4().hex}"
+    models.save_priority_model(_classifier(spark, folder), path)
+    timeline = filters.filter_by_state(_timeline(spark, folder), "open")
+    return models.predict_priority(models.load_priority_model(spark, path), timeline)

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from tracklens.session import configure, spread
 
 
-def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A table by name; times become TIMESTAMP, read as UTC."""
+def load(spark: SparkSession, folder: str, table: str, hidden: list[str] = []) -> DataFrame:
+    """A table by name; times become TIMESTAMP, read as UTC. ``hidden``: columns of the files themselves to add."""
     df = configure(spark).read.parquet(f"{folder}/{table}.parquet")
     return df.selectExpr(*[
         f"CAST({name} AS timestamp) AS {name}" if kind == "timestamp_ntz" else name
-        for name, kind in df.dtypes])
+        for name, kind in df.dtypes], *hidden)
 
 
 def _labels(rules: dict[str, str]) -> str:

@@ -13,13 +13,15 @@ its own pairs. Links themselves never move.
 """
 
 import hashlib
+import json
 import os
-import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,13 +29,10 @@ from tokenizers import Tokenizer
 
 from tracklens.llm.storage import encoded, importable, lists, stored, text_batches
 
-LANE = 256            # A tokens after which a document may start another pair of pointers
-REMEMBERED = 300_000  # words kept per worker
-HELD = 48 << 20       # bytes of words kept per worker, about
-BATCH = 4 << 20       # bytes of text aligned at once
-BLOCK = 32 << 20      # bytes of text whose pairs of ids are written together
-SPACE = "▁"      # stands for a space in B's pieces
-_GAP = re.compile(r"(?<=\S) (?=\S)")
+LANE = 256        # A tokens after which a document may start another pair of pointers
+BATCH = 4 << 20   # bytes of text aligned at once
+BLOCK = 8 << 20   # bytes of text whose pairs of ids are written together
+SPACE = "▁"  # stands for a space in B's pieces
 
 
 def _letters() -> dict[str, int]:
@@ -43,27 +42,29 @@ def _letters() -> dict[str, int]:
     return {chr(x): x for x in plain} | {chr(256 + k): x for k, x in enumerate(rest)}
 
 
-def _ragged(flat: np.ndarray, ends: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lists ``slots`` of a flat array, one after another, and their sizes."""
-    starts = np.concatenate(([0], ends))[slots]
-    sizes = ends[slots] - starts
-    place = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-    return flat[place + np.arange(len(place))], sizes
+def _quick(path: str, pattern: str, letters: dict[str, int]) -> tiktoken.Encoding | None:
+    """The file's merges in the quicker library, where ids follow merges and pieces follow ``pattern``; else None."""
+    with open(path, encoding="utf-8") as lines:
+        data = json.load(lines)
+    model, cut = data["model"], data["pre_tokenizer"]
+    vocab, merges = model["vocab"], [x.split(" ") if isinstance(x, str) else x for x in model.get("merges", [])]
+    if (data["normalizer"] or cut != {**cut, "type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+            or any(vocab[a + b] != 256 + k for k, (a, b) in enumerate(merges))):
+        return None
+    ranks = {bytes(map(letters.__getitem__, token)): i for token, i in vocab.items() if i < 256 + len(merges)}
+    return tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 class Tokenizers:
-    """Both tokenizers, and the ids of words already seen.
+    """Both tokenizers, what bytes their tokens stand for, and how ids are written."""
 
-    Neither joins anything across a single space between two other characters, so a text's
-    ids are those of its words, each with the space before it.
-    """
-
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, pattern: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
+        letters = _letters()
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
+        self.quick = _quick(path_a, pattern, letters) if pattern else None
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        letters = _letters()
         bytes_a = {i: bytes(letters[x] for x in token) if set(token) <= letters.keys() else token.encode()
                    for token, i in self.a.get_vocab(with_added_tokens=True).items()}
         self.bytes = [[bytes_a.get(i, b"") for i in range(max(bytes_a) + 1)], []]
@@ -76,60 +77,27 @@ class Tokenizers:
         # an id as it is written inside a group, and at the end of the group's A or B part
         self.written = [np.array([x + b"," for x in own] + [x + end for x in own], object)
                         for own, end in zip(numbers, (b"|", b";"), strict=True)]
-        self._forget()
-
-    def _forget(self) -> None:
-        self.words: dict[str, int] = {}
-        self.flat = [np.empty(0, np.int32), np.empty(0, np.int32)]
-        self.ends = [np.empty(0, np.int64), np.empty(0, np.int64)]
-        self.same = np.empty(0, bool)
-        self.held = 0
-
-    def _learn(self, missing: list[str]) -> None:
-        found = [[], []]
-        for at in range(0, len(missing), 5000):
-            part = missing[at:at + 5000]
-            found[0] += [x.ids for x in self.a.encode_batch_fast([" " + x for x in part], add_special_tokens=False)]
-            found[1] += self.b.encode(part, num_threads=1)
-        same = np.ones(len(missing), bool)
-        for side, tokens in enumerate(self.bytes):
-            same &= [b"".join(map(tokens.__getitem__, ids)) == b" " + word.encode()
-                     for ids, word in zip(found[side], missing, strict=True)]
-            sizes = np.array(list(map(len, found[side])), np.int64)
-            new = np.fromiter((i for ids in found[side] for i in ids), np.int32, int(sizes.sum()))
-            self.ends[side] = np.concatenate([self.ends[side], len(self.flat[side]) + np.cumsum(sizes)])
-            self.flat[side] = np.concatenate([self.flat[side], new])
-        self.words.update(zip(missing, range(len(self.same), len(self.same) + len(missing)), strict=True))
-        self.same = np.concatenate([self.same, same])
-        self.held += sum(map(len, missing))
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+
+    def _encode_a(self, texts: list[str]) -> list[list[int]]:
+        if self.quick:
+            return [self.quick.encode_ordinary(x) for x in texts]
+        return [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of all texts by A and by B, and how many each text has.
 
         A text whose tokens' bytes differ from a space and the text has none on either side.
         """
-        if len(self.words) > REMEMBERED or self.held > HELD:
-            self._forget()
-        units, sizes = [], np.zeros(len(texts), np.int64)
+        plain = [x.decode() for x in texts]
+        found = [self._encode_a([" " + x for x in plain]), self.b.encode(plain, num_threads=1)]
         for row, text in enumerate(texts):
-            if text and SPACE not in text:  # B can't tell that sign from a space
-                part = _GAP.split(text)
-                units += part
-                sizes[row] = len(part)
-        missing = sorted(set(units) - self.words.keys())
-        if missing:
-            self._learn(missing)
-        slots = np.fromiter(map(self.words.__getitem__, units), np.int64, len(units))
-        owner = np.repeat(np.arange(len(texts)), sizes)
-        wrong = np.zeros(len(texts), bool)
-        wrong[owner[~self.same[slots]]] = True
-        slots, owner = slots[~wrong[owner]], owner[~wrong[owner]]
-        ids, counts = [], []
-        for flat, ends in zip(self.flat, self.ends, strict=True):
-            found, own = _ragged(flat, ends, slots)
-            ids.append(found)
-            counts.append(np.bincount(owner, own, len(texts)).astype(np.int64))
-        return ids, counts
+            whole = b" " + text
+            if not text or any(b"".join(map(tokens.__getitem__, own[row])) != whole
+                               for tokens, own in zip(self.bytes, found, strict=True)):
+                found[0][row], found[1][row] = [], []
+        counts = [np.array(list(map(len, own)), np.int64) for own in found]
+        return [np.fromiter(chain.from_iterable(own), np.int32, int(n.sum()))
+                for own, n in zip(found, counts, strict=True)], counts
 
 
 def lockstep(end_a: np.ndarray, end_b: np.ndarray, last: np.ndarray, lane: int = LANE) -> tuple[np.ndarray, ...]:
@@ -178,16 +146,16 @@ def _written(tokenizers: Tokenizers, ids, counts, ends_group) -> list[str]:
 
 
 @lru_cache(maxsize=2)
-def tokenizers_of(path_a: str, path_b: str) -> Tokenizers:
+def tokenizers_of(path_a: str, path_b: str, pattern: str | None = None) -> Tokenizers:
     """Both tokenizers, once per worker process."""
-    return Tokenizers(path_a, path_b)
+    return Tokenizers(path_a, path_b, pattern)
 
 
 _ALIGNED = ("block bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
             "places binary, times binary, pair array<bigint>, seen array<bigint>")
 
 
-def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def aligned(docs: DataFrame, path_a: str, path_b: str, pattern: str | None = None) -> DataFrame:
     """A row for each document, and one for each block of them with its pairs of ids.
 
     A document's ``places`` say which pairs of its block it holds (each as the step from the
@@ -216,11 +184,11 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         return [*out, pa.RecordBatch.from_arrays(own, width)]
 
     def run(batches):
-        tokenizers = tokenizers_of(path_a, path_b)
+        tokenizers = tokenizers_of(path_a, path_b, pattern)
         names = [x.split()[0] for x in _ALIGNED.split(", ")]
         part, number, size, rows, held = TaskContext.get().partitionId(), 0, 0, [], []
         for batch in text_batches(batches, most=BATCH):
-            texts = [x.decode() for x in encoded(batch)]
+            texts = encoded(batch)
             ids, counts = tokenizers.encode(texts)
             ends = [np.cumsum(width[own]) for width, own in zip(tokenizers.width, ids, strict=True)]
             last = np.cumsum(counts[0])[counts[0] > 0] - 1
@@ -271,19 +239,20 @@ def _weighed(docs: pa.Table, pairs: pa.Table) -> pa.Table:
         "count_sum", pa.array(sums[1], pa.int64()))
 
 
-def align(docs: DataFrame, *, path_a: str, path_b: str) -> DataFrame:
+def align(docs: DataFrame, *, path_a: str, path_b: str, pattern: str | None = None) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, groups_sha256, n_best, count_sum) for each row of ``docs`` (doc_id, text).
 
     ``path_a``: a byte-level file of the tokenizers library, which encodes a space and the
     text; ``path_b``: a sentencepiece model, which adds that space itself. Neither takes
-    special tokens out of texts. A null or empty text, or one that either side's tokens don't
+    special tokens out of texts. ``pattern``: what A cuts texts by, if known; then tiktoken
+    does A's merges, to the same ids in a third of the time. A null or empty text, or one that either side's tokens don't
     give back byte by byte, has no tokens: zeros and an empty ``groups_sha256``. A pair of ids
     counts once for each row that links it; rows that repeat, or share a doc_id, are documents
     of their own, and a null doc_id stays. Very long texts take several pairs of pointers.
     Other columns play no part. An empty table gives an empty one.
     """
     importable(docs.sparkSession)
-    found = stored(aligned(docs, path_a, path_b), "aligned")
+    found = stored(aligned(docs, path_a, path_b, pattern), "aligned")
     n_b = sentencepiece.SentencePieceProcessor(model_file=path_b).get_piece_size()
     # pairs of ids of a block, once for each block, whatever the number of its documents
     entries = found.filter("pair IS NOT NULL").select(

@@ -77,8 +77,14 @@ def structure(text: bytes, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
         counts.max() / n, np.log1p(n_lines), len(text) / n_lines, 1 - len(seen) / max(size, 1)])
 
 
-def described(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Coordinates and values of all texts' words, how many each text has, and its statistics."""
+Described = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def described(texts: list[bytes], bits: int = BITS) -> Described:
+    """Coordinates and values of all texts' words, how many each text has, and its statistics.
+
+    However long a text, it has each coordinate at most once.
+    """
     lowered = [x.lower() for x in texts]
     hashes, sizes = word_hashes(lowered)
     ids, values, own, rows, at = [], [], [], [], 0
@@ -86,10 +92,12 @@ def described(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndar
         words = hashes[at:at + size]
         at += size
         different, counts = np.unique(words, return_counts=True)
-        weight = 1 + np.log(counts)
-        ids.append((different >> np.uint64(64 - bits)).astype(np.int64))
+        bucket = (different >> np.uint64(64 - bits)).astype(np.int64)  # in order, as the hashes are
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        weight = np.add.reduceat(1 + np.log(counts), first) if size else np.empty(0)
+        ids.append(bucket[first])
         values.append(weight / np.sqrt((weight * weight).sum()) if size else weight)
-        own.append(len(different))
+        own.append(len(first))
         rows.append(structure(text, words, counts))
     flat = [np.concatenate(x) if x else np.empty(0, kind) for x, kind in ((ids, np.int64), (values, np.float64))]
     return *flat, np.array(own, np.int64), np.array(rows).reshape(len(texts), len(STATISTICS))
@@ -125,18 +133,19 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.bias + once + pairs, -60, 60)))
 
 
-def train(texts: list[bytes], label: np.ndarray, metadata: np.ndarray, *, examples: int = 48_000, rate: float = 0.1,
+def train(texts: Described, label: np.ndarray, metadata: np.ndarray, *, examples: int = 48_000, rate: float = 0.1,
           decay: float = 1e-5, size: int = 32, seed: int = 11) -> Model:
     """Fit weights and vectors together, by stochastic gradients with step sizes per coordinate.
 
     Goes over the texts as often as it takes to see ``examples`` of them, 60 times at most.
-    ``metadata``: a row of numbers for each text, NaN where there is none. Without examples of
+    ``texts`` come from :func:`described`; ``metadata``: a row of numbers for each text, NaN
+    where there is none. Without examples of
     both labels there is nothing to tell apart: every score is then the share of label 1, a
     half without any.
     """
     label = np.asarray(label, np.float64)
-    ids, values, own, rows = described(texts)
-    numbers = np.concatenate([rows, metadata.reshape(len(texts), -1)], axis=1)
+    ids, values, own, rows = texts
+    numbers = np.concatenate([rows, np.asarray(metadata, np.float64).reshape(len(own), np.shape(metadata)[1])], axis=1)
     edges = []
     for column in numbers.T:
         known = column[~np.isnan(column)]
@@ -205,12 +214,33 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, metadata: list[str], *,
 
 def fit(docs: DataFrame, labels: DataFrame, *, metadata: list[str] | None = None, most: tuple[int, int] = (2000, 4000),
         learn: Column | None = None, **options) -> Model:
-    """Train on a bounded sample (about ``most`` rows of label 0 and 1) on the driver."""
+    """Train on a bounded sample (about ``most`` rows of label 0 and 1) on the driver.
+
+    Texts stay in the workers; the driver gets their coordinates and statistics, which are
+    bounded for texts of any length.
+    """
+    importable(docs.sparkSession)
     metadata = metadata or []
-    rows = labelled_sample(docs, labels, metadata, most=most, learn=learn).toPandas()
-    rows = rows.sort_values(["doc_id", "text"], kind="stable")
-    numbers = rows[[f"_m{k}" for k in range(len(metadata))]].to_numpy(np.float64)
-    return train([x.encode() for x in rows["text"]], rows["label"].to_numpy(), numbers, **options)
+    extra = [f"_m{k}" for k in range(len(metadata))]
+
+    def run(batches):
+        for batch in text_batches(batches):
+            for row in range(batch.num_rows):
+                one = batch.slice(row, 1)
+                ids, values, _, numbers = described(encoded(one))
+                yield pa.RecordBatch.from_arrays([
+                    one.column("doc_id"), one.column("label"), pa.array([ids.astype("<i4").tobytes()], pa.binary()),
+                    pa.array([values.tobytes()], pa.binary()), pa.array([numbers.tobytes()], pa.binary()),
+                    *(one.column(c) for c in extra)], ["doc_id", "label", "ids", "values", "numbers", *extra])
+
+    rows = labelled_sample(docs, labels, metadata, most=most, learn=learn).mapInArrow(
+        run, "doc_id bigint, label int, ids binary, values binary, numbers binary" + "".join(f", {c} double" for c in extra))
+    rows = rows.toPandas().sort_values(["doc_id", "ids", "values"], kind="stable")
+    ids, values, numbers = (np.frombuffer(b"".join(map(bytes, rows[c])), kind) for c, kind in (
+        ("ids", "<i4"), ("values", np.float64), ("numbers", np.float64)))
+    own = np.array([len(x) // 4 for x in rows["ids"]], np.int64)
+    texts = ids.astype(np.int64), values, own, numbers.reshape(len(rows), len(STATISTICS))
+    return train(texts, rows["label"].to_numpy(), rows[extra].to_numpy(np.float64), **options)
 
 
 def scored(docs: DataFrame, model: Model, *, metadata: list[str] | None = None, key: str = "doc_id") -> DataFrame:

@@ -138,4 +138,4 @@ def op12_quality(spark, folder):
 @_query
 def op13_tokenizer_alignment(spark, folder):
     return alignment.align(_table(spark, folder, "documents"), path_a=public_tokenizers.path("byte_bpe_50k.json"),
-                           path_b=public_tokenizers.path("piece_bpe_32k.model"))
+                           path_b=public_tokenizers.path("piece_bpe_32k.model"), pattern=public_tokenizers.PATTERN)

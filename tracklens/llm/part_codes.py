@@ -18,12 +18,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklens.llm.storage import importable, lists, stored, text_batches
+from tracklens.llm.storage import importable, lists, stored, text_batches, with_keys
 from tracklens.llm.vectors import matrix
 
 LEAVES = 256    # of the trie, gone through together
 LIMIT = 1 << 30  # of a component's whole number
-HOT = 1000      # a label with more than one in so many of the rows is joined by broadcast
 
 
 def whole() -> Column:
@@ -212,10 +211,7 @@ def compressed(embeddings: DataFrame, *, parts: int = 4, entries: int = 256, rou
     # a label in a struct, so that null ones join
     codes = codes.withColumn("_label", F.struct("label"))
     sums = stored(codes.groupBy("_label").agg(F.sum("error").alias("label_error"), F.count("*").alias("_n")), "labels")
-    total = sums.agg(F.sum("_n")).first()[0] or 0
-    hot = F.broadcast(sums.filter(F.col("_n") * HOT > total).drop("_n"))  # fewer than HOT labels
-    rare = sums.filter(F.col("_n") * HOT <= total).drop("_n")
-    found = codes.join(hot, "_label").unionByName(codes.join(hot, "_label", "left_anti").join(rare, "_label"))
+    found = with_keys(codes, sums, "_label")
     return found.select("vec_id", "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
 
 

@@ -8,15 +8,21 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tracklens.session import checkpoint_folder
 
+BATCH = 8 << 20  # bytes of an Arrow batch handed to a worker
+HOT = 1000       # a key with more than one in so many of all rows is hot; there are fewer than HOT of them
+
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from any working folder.
+    """Let Python workers on this machine import the package from any working folder, and keep their batches small.
 
-    A cluster gets the package by ``--py-files`` or its image, as usual.
+    A cluster gets the package by ``--py-files`` or its image, as usual. Texts and sets vary in
+    size, so Arrow batches are bounded in bytes as well as in rows.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(":"):
@@ -35,6 +41,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_keys(rows: DataFrame, keyed: DataFrame, key: str) -> DataFrame:
+    """Inner join of ``rows`` with a row for each key; ``keyed`` has the number of rows of each key as ``_n``.
+
+    The few hot keys are broadcast, so their rows stay where they lie; of the others, none
+    has more than a small share of all rows.
+    """
+    total = keyed.agg(F.sum("_n")).first()[0] or 0
+    hot = F.broadcast(keyed.filter(F.col("_n") * HOT > total).drop("_n"))  # fewer than HOT rows
+    rare = keyed.filter(F.col("_n") * HOT <= total).drop("_n")
+    return rows.join(hot, key).unionByName(rows.join(hot, key, "left_anti").join(rare, key))
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], column: str = "text",
                  most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches to about ``most`` bytes of text each, at least one row."""

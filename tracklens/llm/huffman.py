@@ -18,12 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tracklens.llm.storage import encoded, stored, text_batches
+from tracklens.llm.storage import encoded, importable, stored, text_batches
 from tracklens.llm.token_ids import word_encoder
 
 LIMIT = 20          # bits of a code word, at most
 EVERY = 512         # ids between checkpoints
 BLOCK = 1 << 16     # ids in a block, at least, but for the last of a task
+PART = 1 << 24      # ids in a part, about
 
 
 def lengths(counts: dict[int, int], limit: int = LIMIT) -> dict[int, int]:
@@ -122,27 +123,18 @@ class Code:
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(part, place, offset, doc_id, n_tokens, ids) in ascending doc_id order; ids in the encoder's width."""
+    """(doc_id, mark, n_tokens, ids) where the texts lie; ids in the encoder's width, ``mark`` a hash of the text."""
     def run(batches):
-        encoder, part, place, offset = word_encoder(path), TaskContext.get().partitionId(), 0, 0
+        encoder = word_encoder(path)
         end = np.array([end_id], encoder.kind).tobytes()
         for batch in text_batches(batches):
             ids = [x + end for x in encoder.encode(encoded(batch))]
-            sizes = np.array([len(x) // len(end) for x in ids], np.int64)
-            ends = np.cumsum(sizes) + offset
-            n = batch.num_rows
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(n, part, np.int32)), pa.array(np.arange(place, place + n)),
-                pa.array(ends - sizes), batch.column("doc_id"), pa.array(sizes), pa.array(ids, pa.binary())],
-                ["part", "place", "offset", "doc_id", "n_tokens", "ids"])
-            place, offset = place + n, int(ends[-1])
+                batch.column("doc_id"), batch.column("mark"), pa.array([len(x) // len(end) for x in ids], pa.int64()),
+                pa.array(ids, pa.binary())], ["doc_id", "mark", "n_tokens", "ids"])
 
-    parts = max(docs.sparkSession.sparkContext.defaultParallelism, 2 * docs.rdd.getNumPartitions())
-    ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").repartitionByRange(
-        parts, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    return ordered.mapInArrow(run, "part int, place bigint, offset bigint, doc_id bigint, "
-                                   "n_tokens bigint, ids binary")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), "text").mapInArrow(
+        run, "doc_id bigint, mark bigint, n_tokens bigint, ids binary")
 
 
 def counted(tokens: DataFrame, width: str) -> DataFrame:
@@ -167,31 +159,31 @@ _BLOCK = ("part int, offset bigint, doc_ids array<bigint>, n_tokens array<bigint
 
 
 def _blocks(tokens: DataFrame, code, width: str) -> DataFrame:
+    """Blocks of the rows of each task, in their order."""
     numbers = pa.list_(pa.int64())
     kinds = {"part": pa.int32(), "offset": pa.int64(), "doc_ids": numbers, "n_tokens": numbers,
              "bits": pa.binary(), "checkpoints": numbers}
 
-    def block(rows):
-        part, _, offset, *_ = rows[0]
-        _, _, _, docs, sizes, raw = zip(*rows, strict=True)
+    def block(part, offset, rows):
+        docs, sizes, raw = zip(*rows, strict=True)
         bits, checkpoints = code.value.pack(np.frombuffer(b"".join(raw), width))
         made = (part, offset, docs, sizes, bits, checkpoints.tolist())
         return pa.RecordBatch.from_arrays(
             [pa.array([x], kind) for x, kind in zip(made, kinds.values(), strict=True)], list(kinds))
 
     def run(batches):
-        rows, n = [], 0
+        part, offset, rows, n = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in batch.schema.names), strict=True):
-                if rows and (n >= BLOCK or row[0] != rows[-1][0] or row[1] != rows[-1][1] + 1):
-                    yield block(rows)
-                    rows, n = [], 0
+                if n >= BLOCK:
+                    yield block(part, offset, rows)
+                    offset, rows, n = offset + n, [], 0
                 rows.append(row)
-                n += row[4]
+                n += row[1]
         if rows:
-            yield block(rows)
+            yield block(part, offset, rows)
 
-    return tokens.select("part", "place", "offset", "doc_id", "n_tokens", "ids").mapInArrow(run, _BLOCK)
+    return tokens.select("doc_id", "n_tokens", "ids").mapInArrow(run, _BLOCK)
 
 
 def write_ids(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, limit: int = LIMIT) -> None:
@@ -201,6 +193,7 @@ def write_ids(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, limit:
     document ends with ``end_id``. A null text counts as empty. Null doc_ids come first; rows
     that share a doc_id follow each other in the order of a hash of their texts.
     """
+    importable(docs.sparkSession)
     width = "<u2" if word_encoder(tokenizer).kind == "H" else "<u4"
     tokens = stored(tokenized(docs, tokenizer, end_id), "tokens")
     counts = {row.id: row.n for row in counted(tokens, width).collect()}  # at most the vocabulary
@@ -208,7 +201,11 @@ def write_ids(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, limit:
     spark = docs.sparkSession
     spark.createDataFrame(sorted(size.items()), "id bigint, length int").coalesce(1).write.parquet(f"{path}/code")
     code = spark.sparkContext.broadcast(Code(np.array(list(size), np.int64), np.array(list(size.values()), np.int64)))
-    _blocks(tokens, code, width).write.option("compression", "none").parquet(f"{path}/blocks")
+    # only ids are put in order, texts stay where they are
+    parts = max(spark.sparkContext.defaultParallelism, sum(counts.values()) // PART + 1)
+    place = [F.col("doc_id").asc_nulls_first(), F.col("mark")]
+    ordered = tokens.repartitionByRange(parts, *place).sortWithinPartitions(*place)
+    _blocks(ordered, code, width).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -220,6 +217,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     code = spark.sparkContext.broadcast(
         Code(np.array([r.id for r in rows], np.int64), np.array([r.length for r in rows], np.int64)))
     blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks")
+    importable(spark)
     own = F.aggregate("n_tokens", F.lit(0).cast("bigint"), lambda total, n: total + n)
     parts = blocks.groupBy("part").agg(F.sum(own).alias("n"))
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
@@ -244,6 +242,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                     part.column("n_tokens").flatten(), pa.array(ids, pa.binary())],
                     ["doc_id", "start", "n_tokens", "ids"])
 
-    placed = blocks.join(parts, "part").select(
+    # a row for each part of the file, so the bits stay where they are read
+    placed = blocks.join(F.broadcast(parts), "part").select(
         "doc_ids", "n_tokens", "bits", "checkpoints", (F.col("before") + F.col("offset")).alias("start"))
     return placed.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")

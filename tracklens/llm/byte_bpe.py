@@ -164,7 +164,9 @@ def tokens(docs: DataFrame, *, path: str, pattern: str, decode: bool = False) ->
 
     ``ids``: binary, little-endian uint32, as merging each match of ``pattern`` by the ranks
     of the vocabulary file ``path`` gives them, without special tokens. ``decoded``: bytes of
-    the ids. A null text counts as empty and has no ids. Other columns play no part.
+    the ids. A null text counts as empty and has no ids. A very long text is encoded whole, in
+    memory of a few bytes per byte of its longest word and its ids; repeated rows each have a
+    row. Other columns play no part.
     """
     def run(batches):
         encoder = byte_encoder(path, pattern)

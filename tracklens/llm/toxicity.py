@@ -20,6 +20,7 @@ BITS = 17             # of a bucket
 DIM = 8
 PASSAGE = 12          # words
 SLICE = 1 << 20       # bytes worked on at once
+STRETCH = 1 << 15     # characters of a text that training sees, at most
 
 _WORD = np.zeros(256, bool)
 _WORD[0x80:] = _WORD[ord("0"):ord("9") + 1] = _WORD[ord("a"):ord("z") + 1] = True
@@ -160,7 +161,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, most: tuple[int, int]
 
     ``learn`` says which doc_ids may be learnt from (a Column of doc_id; default all). Labels
     other than 0 and 1, and rows without text, are left out. The choice depends on doc_ids
-    alone, not on partitioning.
+    alone, not on partitioning. Of a text of more than ``STRETCH`` characters training sees
+    one stretch, chosen by the hash, so the sample is bounded in bytes too.
     """
     known = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -173,12 +175,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, most: tuple[int, int]
         share = F.when(F.col("toxic") == label, min(1.0, most[label] / n)).otherwise(share)
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) / float(1 << 20)
     chosen = known.filter(place < share)  # about sum(most) rows of two numbers at any size
+    stretch = F.expr(f"substring(text, int(pmod(xxhash64(doc_id), ceil(length(text) / {STRETCH}D)) * {STRETCH}) + 1, {STRETCH})")
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter(
-        "text IS NOT NULL").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
+        "text IS NOT NULL").join(F.broadcast(chosen), "doc_id").select(
+        "doc_id", F.when(F.length("text") > STRETCH, stretch).otherwise(F.col("text")).alias("text"), "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, most: tuple[int, int] = (6000, 2000), learn=None, **options) -> Model:
-    """Train on a bounded sample (about ``most`` clean and toxic rows) on the driver."""
+    """Train on a bounded sample (about ``most`` clean and toxic rows) on the driver.
+
+    Rows that share a doc_id share its label and are each an example; of several labels of a
+    doc_id the larger holds.
+    """
     rows = labelled_sample(docs, labels, most=most, learn=learn).toPandas()
     rows = rows.sort_values(["doc_id", "text"], kind="stable")
     return train([lowered(x) for x in rows["text"]], rows["toxic"].to_numpy(), **options)

@@ -29,6 +29,11 @@ def _query(function: Query) -> Query:
     return run
 
 
+def _held_out():
+    """Rows that nothing is learnt from; a null doc_id is none of them."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
 def registered() -> dict[str, Query]:
     return dict(_QUERIES)
 
@@ -55,7 +60,7 @@ def op6_substring_dedup(spark, folder):
 @_query
 def op1_toxicity(spark, folder):
     docs = _table(spark, folder, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    held_out = _held_out()
     model = toxicity.fit(docs, _table(spark, folder, "labels"), learn=~held_out)
     return toxicity.scored(docs.select("doc_id", "text"), model, score_col="score").select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
@@ -129,7 +134,7 @@ def op11_vector_codes(spark, folder):
 @_query
 def op12_quality(spark, folder):
     docs = _table(spark, folder, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    held_out = _held_out()
     model = quality.fit(docs, _table(spark, folder, "labels"), metadata=["n_chars"], learn=~held_out)
     return quality.scored(docs, model, metadata=["n_chars"]).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -70,7 +70,8 @@ STAGES = [
     ("encode", encode),
 ]
 
-# Trained models decide in two stages; tests hold the result against brute force instead.
+# Trained models decide in two stages; tests/llm/test_queries.py holds the whole run against its stages,
+# toxicity, near duplicates and encoding in plain Python.
 ORACLE_SQL = None
 
 

@@ -43,6 +43,31 @@ def test_near_duplicates(spark):
     assert len(found) == len(given) and all(r.kept and r.component_id is None for r in found if r.vec_id is None)
 
 
+def test_links_just_above_the_threshold(spark):
+    """Planted pairs at cosines of 0.90 to 0.93, the hardest to meet, and none below."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(3000, 32))
+    base /= np.sqrt((base**2).sum(1))[:, None]
+    away = rng.normal(size=base.shape)
+    away -= (away * base).sum(1)[:, None] * base
+    away /= np.sqrt((away**2).sum(1))[:, None]
+    near = rng.uniform(0.9005, 0.93, (3000, 1))
+    rows = np.concatenate([base, near * base + np.sqrt(1 - near**2) * away]).astype(np.float32)
+    found = multi_index.near_duplicates(table(spark, [(int(i), row.tolist()) for i, row in enumerate(rows)]), cosine=0.9).collect()
+    x = rows.astype(np.float64)
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    links = (x @ x.T >= 0.9).sum() - len(x)
+    assert 0.95 * links <= sum(r.n_links for r in found) <= links
+
+
+def test_rank_is_the_place_in_the_traversal():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        near, far = rng.random(11), rng.random(6)
+        cells = multi_index.traversal(near, far, 66)
+        assert [multi_index.rank(near, far, i, j) for i, j in cells] == list(range(1, 67))
+
+
 def test_traversal_is_ordered():
     rng = np.random.default_rng(1)
     near, far = rng.random(9), rng.random(7)

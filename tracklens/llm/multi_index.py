@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklens.llm.graph import components
-from tracklens.llm.storage import lists, stored
+from tracklens.llm.storage import importable, lists, stored, with_keys
 from tracklens.llm.vectors import blocks, matrix, sample, takes_part, valid
 
 SAMPLE = 20_000     # vectors that codebooks and calibration see, at most about
@@ -64,6 +64,16 @@ def traversal(near: np.ndarray, far: np.ndarray, most: int) -> list[tuple[int, i
     return out
 
 
+def rank(near: np.ndarray, far: np.ndarray, i: int, j: int) -> int:
+    """How many cells the traversal has visited once it comes to (i, j), equally far ones counted before it.
+
+    Takes one search per codeword, so calibrating needs no list of the grid's cells.
+    """
+    before = np.searchsorted(np.sort(far), near[i] + far[j] - near, side="right")
+    before[i] = (far <= far[j]).sum()  # unharmed by rounding
+    return int(before.sum())
+
+
 @dataclass
 class Index:
     """Codebooks of both halves, and how many cells a vector visits."""
@@ -101,24 +111,24 @@ def build(rows: np.ndarray, total: int, *, cosine: float, recall: float, seed: i
     away -= (away * probes).sum(1, keepdims=True) * probes
     away /= np.maximum(np.sqrt((away**2).sum(1, keepdims=True)), 1e-12)
     others = cosine * probes + np.sqrt(1 - cosine**2) * away
-    grid = len(index.codes[0]) * len(index.codes[1])
-    order, home = index.cells(probes, grid), index.cells(others, 1)[:, 0]
-    ranks = (order == home[:, None]).argmax(axis=1) + 1
+    homes = index.cells(others, 1)[:, 0]
+    ranks = [rank(near, far, *divmod(int(home), len(far))) for near, far, home in zip(*index.halves(probes), homes)]
     index.visits = int(np.quantile(ranks, recall, method="higher"))
     return index
 
 
-def _located(classes: DataFrame, index: Index) -> DataFrame:
+def _located(classes: DataFrame, index: Index, kind: str) -> DataFrame:
+    """Visited cells of each class; vectors go along as they were given, ``kind`` bytes a component."""
     shared = classes.sparkSession.sparkContext.broadcast(index)
 
     def run(batches):
         index = shared.value
         for batch in batches:
             if batch.num_rows:
-                rows = unit(matrix(batch.column("embedding")))
-                cells = index.cells(rows)
+                rows = matrix(batch.column("embedding"))
+                cells = index.cells(unit(rows))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("id"), batch.column("weight"), pa.array([x.tobytes() for x in rows], pa.binary()),
+                    batch.column("id"), batch.column("weight"), pa.array([x.tobytes() for x in rows.astype(kind)], pa.binary()),
                     lists(pa.array(cells.ravel()), [cells.shape[1]] * len(cells))],
                     ["id", "weight", "vector", "visited"])
 
@@ -126,12 +136,12 @@ def _located(classes: DataFrame, index: Index) -> DataFrame:
         run, "id bigint, weight bigint, vector binary, visited array<bigint>")
 
 
-def _compare(table: pa.Table, cosine: float) -> pa.Table:
+def _compare(table: pa.Table, cosine: float, kind: str) -> pa.Table:
     """Partial link counts of one block, and for each vector the smallest one it hangs together with."""
     role = np.array(table.column("role").to_pylist())
     ids, weight = (table.column(c).to_numpy() for c in ("id", "weight"))
     raw = table.column("vector").to_pylist()
-    vectors = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
+    vectors = unit(np.frombuffer(b"".join(raw), kind).astype(np.float64).reshape(len(raw), -1))
     r, v = np.flatnonzero(role == "r"), np.flatnonzero(role == "v")
     out = {name: [] for name in ("id", "links", "root")}
     if len(r) and len(v):
@@ -175,6 +185,7 @@ def near_duplicates(embeddings: DataFrame, *, cosine: float = 0.9, recall: float
     different ones of one vec_id stay apart in counting and are one node of the components.
     Codebooks and calibration see about ``sample_rows`` vectors, the index holds all.
     """
+    importable(embeddings.sparkSession)
     taking = stored(valid(embeddings).filter("vec_id IS NOT NULL"), "vectors")
     classes = taking.groupBy("embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"))
     classes = stored(classes.select("id", "weight", "embedding"), "vector-classes")
@@ -187,20 +198,22 @@ def near_duplicates(embeddings: DataFrame, *, cosine: float = 0.9, recall: float
     if not len(rows):
         rows = matrix(classes.limit(1).toArrow().column("embedding"))
     index = build(rows, n, cosine=cosine, recall=recall)
-    located = stored(_located(classes, index), "located")
+    single = embeddings.schema["embedding"].dataType.elementType.typeName() == "float"
+    kind = "<f4" if single else "<f8"  # single precision loses nothing of what came in it
+    located = stored(_located(classes, index, kind), "located")
     residents = located.select(F.element_at("visited", 1).alias("cell"), "id", "weight", "vector", "visited",
                                F.col("id").alias("salt"))
     visits = located.select(F.explode("visited").alias("cell"), "id", "weight", "vector",
                             F.slice("visited", 1, 1).alias("visited"), F.col("id").alias("salt"))
     met = blocks(residents, visits, size=BLOCK).groupBy("cell", "rb", "vb").applyInArrow(
-        lambda table: _compare(table, cosine), "id bigint, links bigint, root bigint")
+        lambda table: _compare(table, cosine, kind), "id bigint, links bigint, root bigint")
     met = stored(met, "met")
     counted = met.groupBy("id").agg(F.sum("links").alias("links"))
     reached = components(met, "id", "root")
     found = classes.join(counted, "id", "left").join(reached, classes.id == reached.v, "left").select(
         "embedding", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-        F.coalesce("u", "id").alias("component_id"))
-    linked = taking.join(found, "embedding").select("vec_id", "n_links", "component_id")
+        F.coalesce("u", "id").alias("component_id"), F.col("weight").alias("_n"))
+    linked = with_keys(taking, stored(found, "found"), "embedding").select("vec_id", "n_links", "component_id")
     alone = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), takes_part().alias("takes")).filter(
         "vec_id IS NULL OR NOT takes").select(
         "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))

@@ -22,60 +22,60 @@ def events_of(spark, rows):
 
 
 def contributors_case(spark):
-    """3 issues, 8 events."""
+    """4 issues of three people over two years, 10 events; one issue is closed twice."""
     issues = issues_of(spark, [
-        (1, "user1", ["kind/bug", "critical"], "closed", "a", "x", "2023-01-15 10:00", None),
-        (2, "user3", ["feature", "enhancement", "area/docs"], "open", "b", "y", "2023-02-10 09:00", None),
-        (3, "user2", ["area/docs"], "closed", "c", "z", "2024-03-05 08:00", None),
+        (11, "ana", ["type/bug", "docs/api"], "closed", "p", "-", "2021-06-07 09:00", None),
+        (12, "ben", ["feature-idea"], "open", "q", "-", "2021-06-09 13:30", None),
+        (13, "ana", ["Bug", "feature-idea"], "closed", "r", "-", "2022-01-03 08:00", None),
+        (14, "cho", ["docs/guide"], "open", "s", "-", "2022-01-08 22:00", None),
     ])
     events = events_of(spark, [
-        (1, "labeled", "user1", "2023-01-15 10:00"), (1, "commented", "user2", "2023-01-15 11:00"),
-        (1, "closed", "user2", "2023-01-15 14:00"), (2, "labeled", "user3", "2023-02-10 09:00"),
-        (2, "commented", "user1", "2023-02-10 09:15"), (3, "labeled", "user2", "2024-03-05 08:00"),
-        (3, "commented", "user3", "2024-03-06 10:00"), (3, "closed", "user2", "2024-03-10 08:00"),
+        (11, "commented", "ben", "2021-06-07 10:00"), (11, "commented", "cho", "2021-07-01 10:30"),
+        (11, "closed", "cho", "2021-06-08 09:00"), (12, "labeled", "ana", "2021-06-09 14:00"),
+        (12, "commented", "cho", "2021-06-10 09:00"), (13, "closed", "ben", "2022-01-03 20:00"),
+        (13, "commented", "ben", "2022-01-04 08:15"), (14, "commented", "ana", "2022-01-09 22:05"),
+        (14, "commented", "ben", "2022-01-09 23:00"), (13, "closed", "ana", "2022-08-01 08:00"),
     ])
     return issues, events
 
 
-TRACE = "It fails:\n```\nTraceback (most recent call last)\nerror: no\n```\n"
+STEPS = "Steps:\n```\nrun it\n```\nand\n```\nTraceback: x\n```\n"
 
 
 def triage_case(spark):
     """3 issues, 5 events; ``actor`` is empty as in exports that only have authors."""
     issues = issues_of(spark, [
-        (1, "user1", ["kind/bug", "critical", "blocker"], "closed", "Crash", TRACE,
-         "2024-01-01 10:00", "2024-01-01 12:00"),
-        (2, "user4", ["enhancement", "feature"], "open", "Wish", "Please",
-         "2024-01-05 14:00", "2024-01-05 14:30"),
-        (3, "user6", ["area/docs", "status/triage"], "closed", "Docs", "Typo",
-         "2024-01-10 09:00", "2024-01-15 09:00"),
+        (21, "mia", ["bug", "security"], "closed", "Fails", STEPS, "2023-05-01 08:00", "2023-05-03 00:00"),
+        (22, "noa", ["feature"], "open", "Idea", "More colours", "2023-05-03 00:00", "2023-05-03 06:00"),
+        (23, "mia", ["docs/site", "needs-triage"], "closed", "Site", "A word is missing",
+         "2023-05-10 12:00", "2023-05-21 12:00"),
     ])
     events = events_of(spark, [
-        (1, "commented", "user2", "2024-01-01 10:30"), (1, "commented", "user3", "2024-01-01 11:00"),
-        (1, "closed", "user2", "2024-01-01 12:00"), (2, "commented", "user5", "2024-01-05 14:15"),
-        (3, "closed", "user6", "2024-01-15 09:00"),
+        (21, "labeled", "mia", "2023-05-01 08:10"), (21, "commented", "noa", "2023-05-01 09:30"),
+        (21, "closed", "noa", "2023-05-02 20:00"), (22, "commented", "pat", "2023-05-06 00:00"),
+        (23, "closed", "mia", "2023-05-20 12:00"),
     ])
     return issues, events.withColumn("actor", F.lit(None).cast("string"))
 
 
 def resolution_case(spark):
-    """10 closed issues taking 30 + 3i days, and 5 open ones."""
-    at = lambda day: f"date_format(timestamp '2025-06-30 12:00:00' - make_dt_interval({day}), 'yyyy-MM-dd HH:mm:ss')"
-    closed = spark.range(10).selectExpr(
-        "id AS number", "concat('user', id) AS creator",
-        "if(id % 2 = 0, array('bug', 'area/core'), array('feature', 'enhancement')) AS labels",
-        "'closed' AS state", "concat('Issue ', id) AS title", "'' AS text", "'' AS url",
-        f"{at('CAST(30 + 5 * id AS int)')} AS created_date", "CAST(NULL AS string) AS updated_date",
-        f"{at('CAST(2 * id AS int)')} AS closed")
-    opened = spark.range(5).selectExpr(
-        "id + 100 AS number", "'someone' AS creator", "array('bug') AS labels", "'open' AS state",
-        "concat('Open ', id) AS title", "'' AS text", "'' AS url",
-        f"{at('CAST(10 + id AS int)')} AS created_date", "CAST(NULL AS string) AS updated_date",
+    """12 closed issues taking 3, 5, ... 25 days, their labels in turn, and 4 open ones."""
+    closed = spark.range(12).selectExpr(
+        "200 + id AS number", "concat('p', id % 5) AS creator",
+        "CASE id % 3 WHEN 0 THEN array('bug', 'area/net') WHEN 1 THEN array('feature') ELSE array('docs') END AS labels",
+        "'closed' AS state", "concat('Case ', id) AS title", "'' AS text", "'' AS url",
+        "date_format(timestamp '2022-03-01 06:00:00' + make_dt_interval(CAST(7 * id AS int)), 'yyyy-MM-dd HH:mm:ss') "
+        "AS created_date", "CAST(NULL AS string) AS updated_date",
+        "date_format(timestamp '2022-03-01 06:00:00' + make_dt_interval(CAST(9 * id + 3 AS int)), 'yyyy-MM-dd HH:mm:ss') AS closed")
+    opened = spark.range(4).selectExpr(
+        "id + 300 AS number", "'q' AS creator", "array('bug') AS labels", "'open' AS state",
+        "concat('Waiting ', id) AS title", "'' AS text", "'' AS url",
+        "'2022-09-01 00:00:00' AS created_date", "CAST(NULL AS string) AS updated_date",
         "CAST(NULL AS string) AS closed")
     both = closed.unionByName(opened)
     events = both.filter("closed IS NOT NULL").selectExpr(
         "number AS issue_number", "CAST(0 AS bigint) AS pos", "'closed' AS event_type",
-        "'maintainer' AS author", "CAST(closed AS timestamp) AS event_date")
+        "'keeper' AS author", "CAST(closed AS timestamp) AS event_date")
     issues = both.drop("closed").withColumns(
         {c: F.col(c).cast("timestamp") for c in ("created_date", "updated_date")})
     return issues, events
@@ -83,8 +83,8 @@ def resolution_case(spark):
 
 def predictions_case(spark):
     return spark.createDataFrame(
-        [(1, "Critical", 85, 95.0), (2, "High", 60, 88.0), (3, "High", 20, 82.0),
-         (4, "Medium", 45, 75.0), (5, "Low", 15, 70.0)],
+        [(1, "Low", 10, 61.0), (2, "High", 90, 80.5), (3, "High", 24, 92.0), (4, "Critical", 50, 77.0),
+         (5, "Medium", 30, 66.0), (6, "High", 75, 80.5)],
         "number bigint, predicted_priority string, complexity_score int, priority_confidence double")
 
 

@@ -46,7 +46,7 @@ def test_open_issues_are_estimated(spark):
         "random_forest", "gradient_boosting", "ensemble"}
     found = models.rank_open_predictions(
         models.predict_resolution(model, filter_by_state(issues, "open"))).collect()
-    assert len(found) == 5
+    assert len(found) == 4
     for row in found:
         assert row.predicted_days == pytest.approx(
             (row.random_forest_days + row.gradient_boosting_days) / 2)

@@ -11,36 +11,36 @@ def case(spark):
 
 
 @pytest.mark.parametrize("actor_col, participants, responses, scores", [
-    ("author", {1: 2, 2: 1, 3: 1}, {1: 0.5, 2: 0.25, 3: None}, {1: 14, 3: 2}),
-    ("actor", {1: 0, 2: 0, 3: 0}, {1: None, 2: None, 3: None}, {1: 12, 3: 2}),
+    ("author", {21: 2, 22: 1, 23: 1}, {21: 1.5, 22: 72, 23: None}, {21: 13, 22: 3, 23: 0}),
+    ("actor", {21: 0, 22: 0, 23: 0}, {21: None, 22: None, 23: None}, {21: 11, 22: 3, 23: 0}),
 ])
 def test_small_case(case, actor_col, participants, responses, scores):
     timeline = triage.with_timeline(*case, actor_col=actor_col)
     rows = rows_by(triage.with_urgency(timeline), "number")
-    assert {n: r["resolution_hours"] for n, r in rows.items()} == {1: 2, 2: 0.5, 3: 120}
+    assert {n: r["resolution_hours"] for n, r in rows.items()} == {21: 36, 22: 6, 23: 240}
     assert {n: r["num_participants"] for n, r in rows.items()} == participants
     assert {n: r["first_response_hours"] for n, r in rows.items()} == responses
     assert {n: rows[n]["urgency_score"] for n in scores} == scores
-    assert (rows[1]["urgency"], rows[3]["urgency"]) == ("Critical", "Low")
+    assert [rows[n]["urgency"] for n in (21, 22, 23)] == ["Critical", "Low", "Low"]
 
 
 def test_complexity_and_features(case):
     scored = rows_by(triage.with_complexity(case[0]), "number")
-    assert {n: r["complexity_score"] for n, r in scored.items()} == {1: 30, 2: 5, 3: 5}
+    assert {n: r["complexity_score"] for n, r in scored.items()} == {21: 35, 22: 5, 23: 5}
     rows = rows_by(triage.triage_features(triage.with_timeline(*case)), "number")
-    assert (rows[1]["num_code_blocks"], rows[1]["has_stack_trace"]) == (2, 1)
-    assert rows[1]["feature_text"].startswith("Crash It fails")
-    assert [rows[2][c] for c in ("has_bug", "has_feature", "has_docs", "has_critical", "has_triage",
-                                 "num_labels", "num_events", "title_len")] == [0, 1, 0, 0, 0, 2, 1, 4]
-    assert rows[3]["first_response_hours"] == 0 and rows[3]["has_triage"] == 1
+    assert (rows[21]["num_code_blocks"], rows[21]["has_stack_trace"]) == (4, 1)
+    assert rows[21]["feature_text"].startswith("Fails Steps")
+    assert [rows[22][c] for c in ("has_bug", "has_feature", "has_docs", "has_critical", "has_triage",
+                                 "num_labels", "num_events", "title_len")] == [0, 1, 0, 0, 0, 1, 1, 4]
+    assert rows[23]["first_response_hours"] == 0 and rows[23]["has_triage"] == 1
 
 
 def test_statistics(case):
     timeline = triage.with_timeline(*case)
     row = triage.triage_resolution_stats(timeline).first()
     assert row["count"] == 2
-    assert row.median_days == row.mean_days == pytest.approx(61 / 24)
-    assert (row.p75_days, row.p95_days) == (pytest.approx(90.5 / 24), pytest.approx(114.1 / 24))
+    assert row.median_days == row.mean_days == pytest.approx(138 / 24)
+    assert (row.p75_days, row.p95_days) == (pytest.approx(189 / 24), pytest.approx(229.8 / 24))
     shares = rows_by(triage.urgency_distribution(triage.with_urgency(timeline)), "urgency")
     assert {k: (r["n"], r["pct"]) for k, r in shares.items()} == {"Critical": (1, 50), "Low": (1, 50)}
 
@@ -113,17 +113,17 @@ def test_event_creation_date_stands_in(spark):
 def test_prediction_tables(spark):
     df = predictions_case(spark)
     counts = [tuple(r)[:2] for r in predictions.priority_distribution(df).collect()]
-    assert counts == [("Critical", 1), ("High", 2), ("Medium", 1), ("Low", 1)]
+    assert counts == [("Critical", 1), ("High", 3), ("Medium", 1), ("Low", 1)]
     bands = rows_by(predictions.complexity_distribution(df), "band")
-    assert {k: (r["n"], r["pct"]) for k, r in bands.items()} == {
-        "Simple": (2, 40), "Moderate": (1, 20), "Complex": (1, 20), "Highly Complex": (1, 20)}
+    assert {k: (r["n"], round(r["pct"], 4)) for k, r in bands.items()} == {
+        "Simple": (2, 33.3333), "Moderate": (1, 16.6667), "Complex": (1, 16.6667), "Highly Complex": (2, 33.3333)}
     stats = predictions.complexity_stats(df).first()
-    assert tuple(stats)[:4] == (45, 45, 15, 85) and stats.std_dev == pytest.approx(25.884, abs=1e-3)
+    assert tuple(stats)[:4] == (46.5, 40, 10, 90) and stats.std_dev == pytest.approx((4827.5 / 6) ** 0.5)
     matrix = rows_by(predictions.priority_complexity_matrix(df), "predicted_priority")
-    assert (matrix["High"]["simple"], matrix["High"]["complex"], matrix["High"]["total"]) == (1, 1, 2)
-    assert matrix["High"]["simple_pct"] == 50
+    assert (matrix["High"]["simple"], matrix["High"]["complex"], matrix["High"]["total"]) == (1, 0, 3)
+    assert matrix["High"]["simple_pct"] == pytest.approx(100 / 3)
     assert predictions.quick_wins(df).first().number == 3
-    assert [r.number for r in predictions.rank_predictions(df).collect()] == [1, 2, 3, 4, 5]
+    assert [r.number for r in predictions.rank_predictions(df).collect()] == [4, 2, 6, 3, 5, 1]
     assert predictions.rank_predictions(df, n=2).count() == 2
     none = predictions.priority_complexity_matrix(df.limit(0))
     assert {r.total for r in none.collect()} == {0} and none.count() == 4

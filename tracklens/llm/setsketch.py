@@ -1,16 +1,19 @@
 """Near-duplicate documents by SetSketch registers (operator 5).
 
-A document's set holds the hashes of its distinct word shingles. Register i of its sketch
-is ``floor(1 - log_b(x_i))`` for the minimum ``x_i`` over the set of an exponential variate:
-a truncated minimum on an exponential scale. Registers merge by maximum, and two sets agree
-in a register with a chance of about ``log_b(1 + J (b - 1))``. Bands of register values give
-candidates; the likelihood of both sketches together rules out pairs that are far below the
-threshold; the rest is confirmed on full sets.
+A document's set holds the hashes of its distinct word shingles. Each element is the start of
+its own Poisson process of points, rising by exponential steps, and each point falls on a
+register; a register's minimum ``x`` over the set is kept as ``floor(1 - log_b(x))``: a
+truncated minimum on an exponential scale. An element is left once its next point lies above
+every register's minimum, so most are after a step or two. Registers merge by maximum, and two
+sets agree in a register with a chance of about ``log_b(1 + J (b - 1))``. Bands of register
+values give candidates; the likelihood of both sketches together rules out pairs that are
+far below the threshold; the rest is confirmed on full sets.
 
 Equal sets are one class from the start. Inside a bucket no pairs are formed as long as a
 few links hold it together: every member is compared with some first ones of its buckets, and
 those that stay apart with others in turn. What then remains in different components is
-compared in full, in blocks of bounded size, so no link inside a bucket is lost.
+compared in full: sketches in blocks of bounded size first, then the full sets of those that
+have a plausible partner, so no link inside a bucket is lost and no pairs are written.
 """
 
 import hashlib
@@ -22,31 +25,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklens.llm.graph import components
-from tracklens.llm.storage import encoded, stored, text_batches
+from tracklens.llm.storage import encoded, importable, stored, text_batches, with_keys
 from tracklens.llm.vectors import blocks
-from tracklens.llm.words import shingle_hashes, stream, word_hashes
+from tracklens.llm.words import mix, shingle_hashes, word_hashes
 
 BASE, RATE, TOP = 1.2, 20.0, 254  # of the register scale; a register fits a byte
-BANDS, ROWS = 24, 5               # a pair at 0.8 shares no band with a chance of 3e-5
-DOUBT = 18.0                      # log likelihood below the maximum at which a pair is given up
-STEP = 4096                       # shingles per pass
+BANDS, ROWS = 48, 8               # a pair at 0.8 shares no band with a chance of 3e-5
+DOUBT = 12.0                      # log likelihood below the maximum at which a pair is given up: a chance of 5e-7
+TAG = 255                         # bits of a bucket's key that tell its band
+CELLS = 1 << 16                   # registers filled together
+PAIRS = 20_000                    # pairs of sketches looked at together in a task
 FIRST = 3                         # members that each one is compared with at first
-BLOCK = 4 << 20                   # bytes of sets on one side of a block
-
-
-def registers(sets: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """The sketch of one non-empty set of hashes, one byte for each seed."""
-    least = np.full(len(seeds), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(sets), STEP):
-        part = sets[None, at:at + STEP] ^ seeds[:, None]
-        part *= np.uint64(0x9E3779B97F4A7C15)
-        part ^= part >> np.uint64(32)
-        part *= np.uint64(0xD6E8FEB86659FD93)
-        np.minimum(least, part.min(axis=1), out=least)
-    uniform = (least.astype(np.float64) + 1) / 2.0**64
-    smallest = -np.log1p(-np.minimum(uniform, 1 - 2.0**-53)) / RATE
-    scale = np.floor(1 - np.log(smallest) / np.log(BASE))
-    return np.clip(scale, 0, TOP + 1).astype(np.uint8)
+BLOCK = 4 << 20                   # bytes of sketches, and of a quarter of the sets, on one side of a block
+MOST_BITS = 27                    # log of the bits that tell which documents' sets are wanted
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_LOW = np.uint64((1 << 24) - 1)
+
+
+def _minima(state: np.ndarray, owner: np.ndarray, n: int, m: int) -> np.ndarray:
+    """The least point on each of ``m`` registers of ``n`` sets, given all their elements."""
+    least = np.full((n, m), np.inf)
+    flat, x, step = least.reshape(-1), np.zeros(len(state)), 0
+    while len(state):
+        state = state + _STEP
+        drawn = mix(state)
+        x = x - np.log(((drawn >> np.uint64(24)).astype(np.float64) + 0.5) * 2.0**-40) / (m * RATE)
+        slot = ((drawn & _LOW) * np.uint64(m) >> np.uint64(24)).astype(np.int64)
+        np.minimum.at(flat, owner * m + slot, x)
+        step += 1
+        if step % max(1, step // 4) == 0:
+            left = owner[np.flatnonzero(np.diff(owner, prepend=-1))]
+            limit = np.zeros(n)
+            limit[left] = least[left].max(axis=1)
+            going = x < limit[owner]
+            state, x, owner = state[going], x[going], owner[going]
+    return least
+
+
+def registers(sets: list[np.ndarray], m: int) -> np.ndarray:
+    """Sketches of non-empty sets of hashes, ``m`` bytes each."""
+    out = np.empty((len(sets), m), np.uint8)
+    sizes = np.array(list(map(len, sets)), np.int64)
+    order, together = np.argsort(sizes, kind="stable"), max(1, CELLS // m)
+    for at in range(0, len(order), together):  # sets of like sizes take a like number of steps
+        rows = order[at:at + together]
+        least = _minima(np.concatenate([sets[r] for r in rows]), np.repeat(np.arange(len(rows)), sizes[rows]),
+                        len(rows), m)
+        out[rows] = np.clip(np.floor(1 - np.log(least) / np.log(BASE)), 0, TOP + 1)
+    return out
 
 
 def _chance(x: np.ndarray) -> np.ndarray:
@@ -84,22 +111,17 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray,
 
 def sketches(docs: DataFrame, *, shingle: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, set_hash, registers); the last two are null without words."""
-    seeds = stream(5, bands * rows)
-
     def run(batches):
-        for batch in text_batches(batches):
-            texts = [x.lower() for x in encoded(batch)]
-            hashes, counts = word_hashes(texts)
-            sizes, digests, sketch, at = [], [], [], 0
-            for count in counts:
-                found = shingle_hashes(hashes[at:at + count], shingle)
-                at += count
-                sizes.append(len(found))
-                digests.append(hashlib.sha256(found.tobytes()).digest()[:16] if count else None)
-                sketch.append(registers(found, seeds).tobytes() if count else None)
+        for batch in text_batches(batches, most=4 << 20):
+            hashes, counts = word_hashes([x.lower() for x in encoded(batch)])
+            ends = np.cumsum(counts)
+            sets = [shingle_hashes(hashes[e - n:e], shingle) for e, n in zip(ends, counts, strict=True)]
+            sketch = iter(registers([x for x in sets if len(x)], bands * rows))
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                pa.array(sketch, pa.binary())], ["doc_id", "n_shingles", "set_hash", "registers"])
+                batch.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()),
+                pa.array([hashlib.sha256(x.tobytes()).digest()[:16] if len(x) else None for x in sets], pa.binary()),
+                pa.array([next(sketch).tobytes() if len(x) else None for x in sets], pa.binary())],
+                ["doc_id", "n_shingles", "set_hash", "registers"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
         run, "doc_id bigint, n_shingles bigint, set_hash binary, registers binary")
@@ -127,78 +149,158 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def _bitmap(ids: DataFrame) -> tuple[np.ndarray, int]:
+    """Bits that are set for all of ``ids`` and for few others, 16 MB at most, and the log of their number."""
+    size = min(MOST_BITS, max(16, (16 * ids.count()).bit_length()))
+    words = ids.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(1 << size))).selectExpr(
+        "shiftright(slot, 6) AS word", "shiftleft(1L, CAST(slot & 63 AS int)) AS bit")
+    found = words.groupBy("word").agg(F.expr("bit_or(bit) AS bits")).toArrow()
+    bits = np.zeros(1 << (size - 6), np.uint64)
+    bits[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return bits, size
+
+
+def _full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """(id, shingles as sorted 64-bit hashes) of the documents named, a row for each of their texts.
+
+    Texts stay where they are read: a bitmap of the ids leaves out most others, and only the
+    sets of the rest meet the ids themselves.
+    """
+    bits, size = _bitmap(ids)
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        bits = shared.value
+        for batch in text_batches(batches, most=4 << 20):
+            slot = batch.column("slot").to_numpy()
+            hit = (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
+            batch = batch.filter(pa.array(hit.astype(bool)))
+            hashes, counts = word_hashes([x.lower() for x in encoded(batch)])
+            ends = np.cumsum(counts)
+            sets = [shingle_hashes(hashes[e - n:e], shingle).tobytes() for e, n in zip(ends, counts, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "shingles"])
+
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").filter("id IS NOT NULL")
+    texts = texts.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(1 << size)))
+    return texts.mapInArrow(run, "id bigint, shingles binary").filter("octet_length(shingles) > 0").join(
+        ids, "id", "left_semi")
+
+
+def _common(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many elements a sorted set shares with each of several."""
+    sizes = np.array(list(map(len, others)))
+    values = np.concatenate(others)
+    hit = one[np.minimum(np.searchsorted(one, values), len(one) - 1)] == values
+    return np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Pairs whose full sets are similar enough. Only texts of the pairs are moved along."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(ids, "id", "left_semi")
-    texts = stored(texts.dropDuplicates(["id", "text"]), "texts")
+    """Pairs whose full sets are similar enough. Texts don't move, only the sets of the pairs."""
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    sets = stored(_full_sets(docs, ids, shingle).distinct(), "sets")
 
     def run(batches):
-        last, kept = None, None
         for batch in batches:
-            for part in text_batches(text_batches([batch], "t_a"), "t_b"):
-                sides = []
-                for name in ("t_a", "t_b"):
-                    hashes, counts = word_hashes([x.lower() for x in encoded(part, name)])
-                    ends = np.cumsum(counts)
-                    sides.append([hashes[e - n:e] for e, n in zip(ends, counts, strict=True)])
+            for part in text_batches(text_batches([batch], "s_a"), "s_b"):
                 near = []
-                for one, other in zip(*sides, strict=True):
-                    if last is None or not np.array_equal(one, last):
-                        last, kept = one, shingle_hashes(one, shingle)
-                    found = shingle_hashes(other, shingle)
-                    both = len(np.intersect1d(kept, found, assume_unique=True))
-                    near.append(100 * both >= percent * (len(kept) + len(found) - both))
+                for one, other in zip(*(part.column(c).to_pylist() for c in ("s_a", "s_b")), strict=True):
+                    one, other = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
+                    both = int(_common(one, [other])[0])
+                    near.append(100 * both >= percent * (len(one) + len(other) - both))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c).filter(pa.array(near, pa.bool_())) for c in ("a", "b")], ["a", "b"])
 
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("t_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("t_b"))
-    return (pairs.join(right, "b").join(left, "a").select("a", "b", "t_a", "t_b")
-            .mapInArrow(run, "a bigint, b bigint"))
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("s_a"))
+    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("s_b"))
+    return (pairs.join(right, "b").join(left, "a").select("a", "b", "s_a", "s_b")
+            .mapInArrow(run, "a bigint, b bigint").distinct())
 
 
-def _full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """(id, shingles as 64-bit hashes) of the documents named, a row for each of their texts."""
-    def run(batches):
-        for batch in text_batches(batches):
-            hashes, counts = word_hashes([x.lower() for x in encoded(batch)])
-            ends = np.cumsum(counts)
-            sets = [shingle_hashes(hashes[e - n:e], shingle).tobytes() for e, n in zip(ends, counts, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "shingles"])
+_MEMBER = "cell bigint, band int, rb int, vb int, role string, id bigint, c bigint, n bigint, registers binary"
+_BLOCK_KEYS = ["cell", "rb", "vb"]
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(ids, "id", "left_semi")
-    return texts.mapInArrow(run, "id bigint, shingles binary").filter("octet_length(shingles) > 0")
 
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
 
-def _links_of_block(table: pa.Table, percent: int, rows: int) -> pa.Table:
-    """Links between visitors and residents of a block, one for each visitor and component."""
-    sides = [table.filter(pa.compute.equal(table.column("role"), role)) for role in "vr"]
-    found = []
-    if all(side.num_rows for side in sides):
-        ids, parts, registers_, sets = ([side.column(name).to_pylist() for side in sides]
-                                        for name in ("id", "c", "registers", "shingles"))
-        registers_ = [np.frombuffer(b"".join(x), np.uint8).reshape(len(x), -1) for x in registers_]
-        sets = [[np.frombuffer(x, np.uint64) for x in side] for side in sets]
-        sizes = [np.array([len(x) for x in side], np.int64) for side in sets]
-        part = np.array(parts[1])
-        for row, one in enumerate(sets[0]):
-            n = len(one)
-            fits = np.flatnonzero((100 * np.minimum(n, sizes[1]) >= percent * np.maximum(n, sizes[1]))
-                                  & (part != parts[0][row]))
-            same = (registers_[1][fits] == registers_[0][row]).reshape(len(fits), registers_[0].shape[1] // rows, rows)
-            fits = fits[same.all(axis=2).any(axis=1)]
-            if not len(fits):
+
+def _in_blocks(rows: DataFrame, work, schema: str) -> DataFrame:
+    """``work(table, edges)`` on the rows of whole blocks, many small ones or one large one at a time.
+
+    ``edges`` are the first rows of the blocks and the end; residents come before visitors.
+    """
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            if not table.num_rows:
                 continue
-            a, b = np.broadcast_to(registers_[0][row], (len(fits), registers_[0].shape[1])), registers_[1][fits]
-            gap = estimate(a, b, np.full(len(fits), float(n)), sizes[1][fits].astype(np.float64), percent / 100)[1]
-            reached = set()
-            for other in fits[gap <= DOUBT]:
-                if parts[1][other] not in reached:
-                    both = len(np.intersect1d(one, sets[1][other], assume_unique=True))
-                    if 100 * both >= percent * (n + len(sets[1][other]) - both):
-                        reached.add(parts[1][other])
-                        found.append((ids[0][row], ids[1][other]))
+            keys = [table.column(c).to_numpy() for c in _BLOCK_KEYS]
+            edges = np.flatnonzero(np.any([x[1:] != x[:-1] for x in keys], axis=0)) + 1
+            held = table
+            if len(edges):
+                yield from work(table.slice(0, edges[-1]), np.concatenate(([0], edges))).to_batches()
+                held = table.slice(edges[-1])
+        if held is not None:
+            yield from work(held, np.array([0, held.num_rows])).to_batches()
+
+    # few bytes but much work, so the number of tasks is not left to bytes
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS, "role").mapInArrow(run, schema)
+
+
+def _plausible_pairs(table: pa.Table, edges: np.ndarray, percent: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of visitors and of residents that may be near, block by block.
+
+    Members of one component need no comparison. The others must fit by size and by the
+    likelihood of their sketches. A pair that shares several bands is looked at in the first
+    of them, so its other buckets cost next to nothing.
+    """
+    visitor = pa.compute.equal(table.column("role"), "v").to_numpy()
+    sizes, part, band = (table.column(c).to_numpy() for c in ("n", "c", "band"))
+    sketch = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+    bands = np.arange(sketch.shape[1] // rows)
+    block = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    residents = np.bincount(block, ~visitor, len(edges) - 1).astype(np.int64)
+    asks = np.flatnonzero(visitor)
+    many = residents[block[asks]]
+    found, at, upto = [[], []], 0, np.cumsum(many)
+    while at < len(asks):
+        done = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, done + PAIRS, side="right")))
+        v, own = np.repeat(asks[at:end], many[at:end]), many[at:end]
+        r = edges[block[v]] + np.arange(len(v)) - np.repeat(np.cumsum(own) - own, own)
+        at = end
+        fits = (100 * np.minimum(sizes[v], sizes[r]) >= percent * np.maximum(sizes[v], sizes[r])) & (part[v] != part[r])
+        v, r = v[fits], r[fits]
+        same = (sketch[v] == sketch[r]).reshape(len(v), len(bands), rows).all(axis=2)
+        first = ~(same & (bands < band[v][:, None])).any(axis=1)
+        v, r = v[first], r[first]
+        gap = estimate(sketch[v], sketch[r], sizes[v].astype(np.float64), sizes[r].astype(np.float64), percent / 100)[1]
+        found[0].append(v[gap <= DOUBT])
+        found[1].append(r[gap <= DOUBT])
+    empty = np.empty(0, np.int64)
+    return tuple(np.concatenate(x) if x else empty for x in found)
+
+
+def _members_of_blocks(table: pa.Table, edges: np.ndarray, percent: int, rows: int) -> pa.Table:
+    """Members that may be near one of another component across their block."""
+    return table.take(pa.array(np.unique(np.concatenate(_plausible_pairs(table, edges, percent, rows)))))
+
+
+def _links_of_blocks(table: pa.Table, edges: np.ndarray, percent: int, rows: int) -> pa.Table:
+    """Links between visitors and residents of a block, one for each visitor and component."""
+    v, r = _plausible_pairs(table, edges, percent, rows)
+    ids, parts = (table.column(name).to_numpy() for name in ("id", "c"))
+    sets, found = table.column("shingles"), []
+    for some in np.split(np.argsort(v, kind="stable"), np.flatnonzero(np.diff(np.sort(v))) + 1) if len(v) else []:
+        one = np.frombuffer(sets[int(v[some[0]])].as_buffer(), np.uint64)
+        others = [np.frombuffer(sets[int(k)].as_buffer(), np.uint64) for k in r[some]]
+        both = _common(one, others)
+        near = 100 * both >= percent * (len(one) + np.array(list(map(len, others))) - both)
+        reached = {parts[k]: ids[k] for k in r[some][near]}
+        found += [(ids[v[some[0]]], other) for other in reached.values()]
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
@@ -206,18 +308,23 @@ def _linked_in_blocks(rest: DataFrame, classes: DataFrame, docs: DataFrame, shin
                       rows: int) -> DataFrame:
     """Links that join components which share a bucket.
 
-    Buckets with the same main component are taken together. All that is apart from it meets
-    all members in blocks of bounded bytes; only links leave a block, so no pairs are written.
+    In each bucket all that is apart from its main component meets all members, in blocks of
+    bounded bytes: sketches first, then the full sets of members with a plausible partner.
+    What leaves a block is at most its members, then its links, never pairs that fail.
     """
-    ids = rest.select("id").distinct()
-    sized = classes.join(ids, "id", "left_semi").groupBy("id").agg(F.max("n_shingles").alias("n"))
-    members = rest.select(F.col("main").alias("cell"), "id", "c").distinct().join(sized, "id").withColumn("salt", F.col("id"))
+    known = classes.join(rest.select("id").distinct(), "id", "left_semi").select(
+        "id", F.col("n_shingles").alias("n"), "registers")
+    sized = known.groupBy("id").agg(F.max("n").alias("n"))
+    members = rest.select(F.col("key").alias("cell"), "band", "main", "id", "c").distinct().join(sized, "id").withColumn(
+        "salt", F.col("id"))
     members = stored(members, "apart")
-    placed = blocks(members, members.filter("c <> cell"), size=BLOCK, weight=8 * F.col("n") + 200)
-    known = classes.select("id", "registers").join(_full_sets(docs, ids, shingle), "id")
-    met = placed.select("cell", "rb", "vb", "role", "id", "c").join(known, "id")
-    return met.groupBy("cell", "rb", "vb").applyInArrow(
-        lambda table: _links_of_block(table, percent, rows), "a bigint, b bigint").distinct()
+    placed = blocks(members, members.filter("c <> main"), size=BLOCK, weight=2 * F.col("n") + 500)
+    met = placed.select("cell", "band", "rb", "vb", "role", "id", "c").join(known, "id")
+    near = stored(_in_blocks(met.select(*_names(_MEMBER)), lambda table, edges: _members_of_blocks(
+        table, edges, percent, rows), _MEMBER), "plausible")
+    sets = stored(_full_sets(docs, stored(near.select("id").distinct(), "ids"), shingle), "sets")
+    return _in_blocks(near.join(sets, "id"), lambda table, edges: _links_of_blocks(
+        table, edges, percent, rows), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
@@ -231,17 +338,25 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
     as any of its texts is. A row without doc_id is linked with nothing, its component is
     null and it is kept. Other columns play no part.
     """
+    importable(docs.sparkSession)
     sketch = stored(sketches(docs, shingle=shingle, bands=bands, rows=rows), "sketches")
     linkable = sketch.filter("set_hash IS NOT NULL AND doc_id IS NOT NULL")
-    first = linkable.groupBy("set_hash").agg(F.min("doc_id").alias("id"))
-    grouped = stored(linkable.join(first, "set_hash"), "classes")
-    classes = grouped.filter("doc_id = id").select("id", "n_shingles", "registers")
-
-    band = F.explode(F.array(*[
-        F.xxhash64(F.lit(k), F.substring("registers", k * rows + 1, rows)) for k in range(bands)]))
-    banded = classes.select(band.alias("key"), "id")
-    buckets = banded.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z")
-    members = stored(banded.join(buckets.select("key", "a"), "key"), "members")
+    first = stored(linkable.groupBy("set_hash").agg(F.min("doc_id").alias("id"), F.count("*").alias("_n")), "sets-first")
+    # on both keys, so that the copies of one text don't meet in one task
+    classes = linkable.join(first.select("set_hash", F.col("id").alias("doc_id")), ["set_hash", "doc_id"]).dropDuplicates(
+        ["set_hash", "doc_id"])
+    classes = stored(classes.select(F.col("doc_id").alias("id"), "n_shingles", "registers"), "classes")
+
+    # the low bits of a key are its band
+    keys = F.array(*[F.xxhash64(F.lit(k), F.substring("registers", k * rows + 1, rows)).bitwiseAND(F.lit(~TAG)).bitwiseOR(
+        F.lit(k)) for k in range(bands)])
+    dealt = classes.select(F.explode(keys).alias("key"), "id").repartition("key")  # one shuffle for both uses
+    buckets = dealt.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z"), F.count("*").alias("n"),
+                                       F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum")).filter("a < z")
+    # of buckets with the same members the one of the first band stands for all
+    buckets = buckets.groupBy("a", "z", "n", "sum").agg(
+        F.min(F.struct(F.col("key").bitwiseAND(F.lit(TAG)).alias("band"), "key")).alias("x")).select("x.key", "a", "x.band")
+    members = stored(dealt.join(buckets, "key").select("key", "id", "a", F.col("band").cast("int").alias("band")), "members")
 
     def links_of(pairs: DataFrame) -> DataFrame:
         plausible = stored(_plausible(pairs, classes, percent), "plausible")
@@ -250,11 +365,15 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
     near = members.filter("a <> id").groupBy("id").agg(
         F.slice(F.sort_array(F.collect_set("a")), 1, FIRST).alias("a"))
     links = links_of(near.select(F.explode("a").alias("a"), F.col("id").alias("b")))
+    # a doc_id of several texts hangs them together
+    several = linkable.groupBy("doc_id").agg(F.min(F.xxhash64("set_hash")).alias("a"), F.max(F.xxhash64("set_hash")).alias("z"))
+    own = linkable.join(several.filter("a < z").select("doc_id"), "doc_id", "left_semi").join(first, "set_hash")
+    links = stored(links.union(own.select(F.col("id").alias("a"), F.col("doc_id").alias("b")).filter("a <> b")), "links")
     most = 4 * max(members.count(), 10_000)
     labels, n_links, tries = components(links, "a", "b"), links.count(), 0
     while True:
         placed = members.join(labels, members.id == labels.v, "left").select(
-            "key", "id", F.coalesce("u", "id").alias("c"))
+            "key", "band", "id", F.coalesce("u", "id").alias("c"))
         sizes = placed.groupBy("key", "c").agg(F.count("*").alias("n"))
         split = sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("main"), F.sum("n").alias("total"),
                                          F.count("*").alias("parts")).filter("parts > 1")
@@ -281,8 +400,10 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
         if exact:
             break
 
-    linked = grouped.join(labels, grouped.id == labels.v, "left").select(
-        "doc_id", "n_shingles", F.coalesce("u", "id").alias("component_id"))
+    reached = first.join(labels, first.id == labels.v, "left").select(
+        "set_hash", F.coalesce("u", "id").alias("component_id"), "_n")
+    linked = with_keys(linkable.select("doc_id", "n_shingles", "set_hash"), reached, "set_hash").select(
+        "doc_id", "n_shingles", "component_id")
     alone = sketch.filter("set_hash IS NULL OR doc_id IS NULL").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn(

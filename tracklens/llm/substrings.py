@@ -1,12 +1,16 @@
 """Passages that repeat across documents, found by level-wise doubling (operator 6).
 
-Level 1 looks at windows of about a quarter of the asked length. Of those inside one long
-window only the one with the smallest hash, its anchor, is needed: equal long windows have
-equal anchors at equal places. Anchors that only one document has are dropped; the others
-are extended to the whole span of the long windows they stand for, and spans that no other
-document has are extended no further than to their single long windows. A span that a
+Levels look at windows of a quarter of the asked length, of twice that, and so on up to the
+asked length itself. Of the shortest windows inside one long window only the one with the
+smallest hash, its anchor, is needed: equal long windows have equal anchors at equal places.
+A level drops the places whose window only one document has; what survives alone is extended
+to twice the length, to the right where that stays inside the long windows the place stands
+for and else to the left, until the asked length is reached or nothing survives. (Hashes of all
+levels are made while a text is at hand; a level reads them for survivors only.)
+
+At the asked length, places stand for the whole span of their long windows. A span that a
 document with a smaller id also has is settled as a whole, so the thousandth copy of a
-passage costs one row per anchor; single windows are only compared between first
+passage costs one row per place; single windows are only compared between first
 occurrences of spans.
 """
 
@@ -17,22 +21,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklens.llm.storage import encoded, lists, stored, text_batches
+from tracklens.llm.storage import encoded, importable, lists, stored, text_batches, with_keys
 from tracklens.llm.words import Windows, word_hashes
 
 
-def anchors(words: np.ndarray, length: int, short: int) -> tuple[np.ndarray, ...]:
-    """Anchors of a text's windows: hash and span hash, first and last window of each."""
-    windows = Windows(words)
+def levels(length: int) -> list[int]:
+    """Lengths of windows before the asked one, each twice the one before."""
+    found = [max(1, (length + 3) // 4)]
+    while 2 * found[-1] < length:
+        found.append(2 * found[-1])
+    return found
+
+
+def places(words: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Places of a text that stand for its windows: a row of hashes for each level, spans, first and last window.
+
+    Which place stands for a window, and what it is extended to, follows from the window's
+    own words alone.
+    """
+    windows, sizes = Windows(words), levels(length)
+    short = sizes[0]
     at = np.arange(len(words) - short + 1)
     small = windows.hashes(at, at + short)
     view = np.lib.stride_tricks.sliding_window_view(small, length - short + 1)
-    chosen = view.argmin(axis=1) + np.arange(len(view))
-    first = np.flatnonzero(np.diff(chosen, prepend=-1))
-    last = np.append(first[1:], len(chosen)) - 1
-    place = chosen[first]
-    span = windows.hashes(first, last + length) ^ (place - first).astype(np.uint64)
-    return small[place], span, first, last
+    window = np.arange(len(view))
+    starts = [view.argmin(axis=1) + window]
+    for before, size in zip(sizes, sizes[1:]):  # to the right, or else to the left
+        right = starts[-1] + size <= window + length
+        starts.append(np.where(right, starts[-1], starts[-1] + before - size))
+    moved = np.zeros(len(window), bool)
+    for one in starts:
+        moved |= np.diff(one, prepend=-1) != 0
+    first = np.flatnonzero(moved)
+    last = np.append(first[1:], len(window)) - 1
+    place = [one[first] for one in starts]
+    span = windows.hashes(first, last + length) ^ (place[0] - first).astype(np.uint64)
+    return np.stack([windows.hashes(one, one + size) for one, size in zip(place, sizes, strict=True)]), span, first, last
 
 
 def _joined(text: bytes, removed: np.ndarray | None = None) -> tuple[int, str]:
@@ -41,8 +65,10 @@ def _joined(text: bytes, removed: np.ndarray | None = None) -> tuple[int, str]:
     return len(words), hashlib.sha256(b" ".join(kept)).hexdigest()
 
 
-def scan(docs: DataFrame, length: int, short: int) -> DataFrame:
-    """One row per document with its anchors; ``digest`` is of all its words."""
+def scan(docs: DataFrame, length: int) -> DataFrame:
+    """One row per document with its places; ``digest`` is of all its words."""
+    names = [f"level{k}" for k in range(len(levels(length)))] + ["span"]
+
     def run(batches):
         for batch in text_batches(batches):
             texts = encoded(batch)
@@ -50,28 +76,39 @@ def scan(docs: DataFrame, length: int, short: int) -> DataFrame:
             found, sizes, at = [], [], 0
             for count in counts:
                 if count >= length:
-                    found.append(anchors(hashes[at:at + count], length, short)[:2])
-                sizes.append(len(found[-1][0]) if count >= length else 0)
+                    own, span, *_ = places(hashes[at:at + count], length)
+                    found.append([*own, span])
+                sizes.append(len(found[-1][-1]) if count >= length else 0)
                 at += count
-            flat = [np.concatenate(x).view(np.int64) if found else np.empty(0, np.int64)
-                    for x in (zip(*found, strict=True) if found else ((), ()))]
+            flat = ([np.concatenate(x).view(np.int64) for x in zip(*found, strict=True)] if found
+                    else [np.empty(0, np.int64)] * len(names))
             digests = [_joined(x)[1] for x in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts), pa.array(digests),
-                 *(lists(pa.array(x), sizes) for x in flat)],
-                ["doc_id", "n_words", "digest", "anchor", "span"])
+                 *(lists(pa.array(x), sizes) for x in flat)], ["doc_id", "n_words", "digest", *names])
 
-    return docs.mapInArrow(run, "doc_id bigint, n_words bigint, digest string, "
-                                "anchor array<bigint>, span array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, n_words bigint, digest string"
+                           + "".join(f", {name} array<bigint>" for name in names))
 
 
 def _several(df: DataFrame, key: str) -> DataFrame:
-    """Keys that more than one document has, with the smallest doc_id."""
-    return df.groupBy(key).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter(
-        "low < high").select(key, "low")
+    """Keys that more than one document has, with the smallest doc_id and the number of rows."""
+    return stored(df.groupBy(key).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
+                                      F.count("*").alias("_n")).filter("low < high").select(key, "low", "_n"), "several")
+
+
+def survivors(rows: DataFrame, length: int) -> list[DataFrame]:
+    """What is left of ``rows`` (doc_id, level0, level1, ..., span) after each level, until nothing is."""
+    left = []
+    for k in range(len(levels(length))):
+        rows = stored(with_keys(rows, _several(rows, f"level{k}"), f"level{k}").drop(f"level{k}", "low"), "survivors")
+        left.append(rows)
+        if rows.isEmpty():
+            break
+    return left
 
 
-def _windows(texts: DataFrame, length: int, short: int) -> DataFrame:
+def _windows(texts: DataFrame, length: int) -> DataFrame:
     """Single windows of the spans whose first document this is: (doc_id, hash, at)."""
     def run(batches):
         for batch in batches:
@@ -84,7 +121,7 @@ def _windows(texts: DataFrame, length: int, short: int) -> DataFrame:
                     at += count
                     if count < length or not wanted:
                         continue
-                    _, span, first, last = anchors(words, length, short)
+                    _, span, first, last = places(words, length)
                     mine = np.isin(span.view(np.int64), np.array(wanted, np.int64))
                     starts = np.concatenate([np.arange(a, b + 1) for a, b in
                                              zip(first[mine], last[mine], strict=True)] or [first[:0]])
@@ -98,7 +135,7 @@ def _windows(texts: DataFrame, length: int, short: int) -> DataFrame:
     return texts.select("doc_id", "text", "open").mapInArrow(run, "doc_id bigint, hash bigint, at int")
 
 
-def _cut(texts: DataFrame, length: int, short: int) -> DataFrame:
+def _cut(texts: DataFrame, length: int) -> DataFrame:
     """Remove the words of settled spans and of single windows: (doc_id, digest, n_removed, ...)."""
     def run(batches):
         for batch in batches:
@@ -108,15 +145,15 @@ def _cut(texts: DataFrame, length: int, short: int) -> DataFrame:
                 settled, starts = part.column("settled").to_pylist(), part.column("starts").to_pylist()
                 values = part.column("hashes").to_pylist()
                 at, rows = 0, [[], [], [], []]
-                for text, count, spans, places, seen in zip(raw, counts, settled, starts, values, strict=True):
+                for text, count, spans, firsts, seen in zip(raw, counts, settled, starts, values, strict=True):
                     words = hashes[at:at + count]
                     at += count
                     edge = np.zeros(count + 1, np.int64)
                     if count >= length:
-                        _, span, first, last = anchors(words, length, short)
+                        _, span, first, last = places(words, length)
                         gone = np.isin(span.view(np.int64), np.array(spans or [], np.int64))
                         begin, end = first[gone], last[gone] + length
-                        single = np.array(places or [], np.int64)
+                        single = np.array(firsts or [], np.int64)
                         known = np.array(seen or [], np.int64)[single <= count - length]
                         single = single[single <= count - length]
                         same = Windows(words).hashes(single, single + length).view(np.int64) == known
@@ -148,25 +185,25 @@ def without_repeats(docs: DataFrame, *, length: int = 50) -> DataFrame:
     Shorter texts lose nothing. Rows that share a doc_id don't take words from each other;
     rows without doc_id neither take nor lose words.
     """
-    short = max(1, (length + 3) // 4)
+    importable(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    found = stored(scan(docs, length, short), "anchors")
-    rows = found.filter("doc_id IS NOT NULL AND size(anchor) > 0").select(
-        "doc_id", F.explode(F.arrays_zip("anchor", "span")).alias("x")).select("doc_id", "x.anchor", "x.span")
-    repeated = rows.join(_several(rows, "anchor").select("anchor"), "anchor", "left_semi")
-    spans = stored(repeated.select("doc_id", "span"), "spans")
-    low = spans.groupBy("span").agg(F.min("doc_id").alias("low"))
+    found = stored(scan(docs, length), "places")
+    names = [f"level{k}" for k in range(len(levels(length)))] + ["span"]
+    rows = found.filter("doc_id IS NOT NULL AND size(span) > 0").select(
+        "doc_id", F.explode(F.arrays_zip(*names)).alias("x")).select("doc_id", *[f"x.{name}" for name in names])
+    spans = stored(survivors(rows, length)[-1].select("doc_id", "span").distinct(), "spans")
+    low = stored(spans.groupBy("span").agg(F.min("doc_id").alias("low"), F.count("*").alias("_n")), "low")
     first = F.col("low") == F.col("doc_id")
-    per_doc = spans.distinct().join(low, "span").select("doc_id", "span", first.alias("first"))
+    per_doc = with_keys(spans, low, "span").select("doc_id", "span", first.alias("first"))
     marks = per_doc.groupBy("doc_id").agg(
         F.collect_list(F.when(F.col("first"), F.col("span"))).alias("open"),
         F.collect_list(F.when(~F.col("first"), F.col("span"))).alias("settled"))
     texts = stored(docs.join(marks, "doc_id"), "marked")
 
-    single = stored(_windows(texts, length, short), "windows")
-    late = single.join(_several(single, "hash"), "hash").filter("low < doc_id")
-    places = late.groupBy("doc_id").agg(F.collect_list("at").alias("starts"), F.collect_list("hash").alias("hashes"))
-    cut = _cut(texts.join(places, "doc_id", "left"), length, short)
+    single = stored(_windows(texts, length), "windows")
+    late = with_keys(single, _several(single, "hash"), "hash").filter("low < doc_id")
+    settled = late.groupBy("doc_id").agg(F.collect_list("at").alias("starts"), F.collect_list("hash").alias("hashes"))
+    cut = _cut(texts.join(settled, "doc_id", "left"), length)
     cut = stored(cut.dropDuplicates(["doc_id", "digest"]), "cut")
     return found.select("doc_id", "n_words", "digest").join(cut, ["doc_id", "digest"], "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"),

@@ -98,6 +98,44 @@ def test_mixing_keeps_to_the_budget(spark, budget):
         assert r.quota - 7 <= spent[r._source] <= r.quota or r.tokens == 0
 
 
+@pytest.mark.parametrize("budget", [3000, 7000, 30_000])
+def test_mixing_goes_on_past_long_texts(spark, budget):
+    """The whole mixture by brute force, with texts that don't fit in the way of many that do."""
+    rows = [(n, " ".join(["w"] * (n % 9 + 1)), "a") for n in range(400)]
+    rows += [(1000 + n, " ".join(["w"] * 5000), "a") for n in range(6)] + [(2000 + n, "x " * 300, "b") for n in range(8)]
+    docs = spark.createDataFrame([(*r, "?", 7) for r in rows], "doc_id bigint, text string, source string, place string, pass_no int")
+    base = mixing.measured(docs.drop("place", "pass_no"))
+    shares = {r._source: r for r in mixing.plan(base, entropy=0.95, budget=budget).collect()}
+    want, spent = {}, {}
+    for source, share in shares.items():
+        own = sorted((r._pos, r._tokens, r._row.doc_id) for r in base.collect() if r._source == source)
+        times = {doc: share.passes for *_, doc in own}
+        rest, after = share.quota - share.passes * share.tokens, -1.0
+        while rest * mixing.CLOSE > share.quota:
+            fits, total = [(p, t, d) for p, t, d in own if p > after and t <= rest], 0
+            for p, t, d in fits:
+                if total + t > rest:
+                    after = p
+                    break
+                total += t
+                times[d] += 1
+            else:
+                after = 2.0
+            rest -= total
+            if after > 1:
+                break
+        want |= {d: n for d, n in times.items() if n}
+        spent[source] = sum(t * times[d] for _, t, d in own)
+        assert share.spent == spent[source] <= share.quota
+    found = mixing.mixed(docs, entropy=0.95, budget=budget)
+    got = {r.doc_id: r.n for r in found.groupBy("doc_id").count().withColumnRenamed("count", "n").collect()}
+    assert got == want and found.columns == ["doc_id", "text", "source", "pass_no", "place"]
+    short = {n for n, _, _ in rows[:400]}
+    assert spent["a"] >= 0.97 * shares["a"].quota or short <= set(got)
+    for source, share in shares.items():
+        assert share.realised == pytest.approx(spent[source] / sum(spent.values()))
+
+
 @pytest.mark.parametrize("sizes", [
     (723347347957, 984107995871, 171999863748), (528791346098, 767578651270, 945087558021),
     (864513224102, 393970699565, 983567286526)])
@@ -112,6 +150,17 @@ def test_mixing_goes_through_huge_sources(spark, sizes):
     assert largest.quota == largest.tokens and largest.until == 0
 
 
+def test_the_candidate_expression_stands_once_in_a_pass(spark, monkeypatch):
+    """A filter in the same plan would be pushed below the columns and repeat it in each."""
+    plans, keep = [], secrets.stored
+    physical = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(secrets, "stored", lambda df, name: plans.append(physical(df)) or keep(df, name))
+    docs = frames.documents(spark)
+    plans.append(physical(secrets.scan(docs, secrets.train(secrets.labelled_findings(docs)))))
+    mark = secrets.candidate()[:40]
+    assert [plan.count(mark) for plan in plans if mark in plan] == [1, 1]
+
+
 def test_exponent_brute(spark):
     sizes = spark.createDataFrame([("a", 7000, 1), ("b", 2000, 1), ("c", 1000, 1)], "_source string, tokens bigint, n bigint")
     e = mixing.exponent(sizes, 10_000, entropy=None, repetition=2.0, budget=None)

@@ -3,9 +3,10 @@
 A source's weight is its share of tokens to the power of an exponent: 1 keeps the corpus as
 it is, 0 makes all sources equal. The exponent is bisected to the target, six steps at a
 time. Each source then gets a budget of tokens, which is spent on whole passes over its
-documents and one pass that ends early. A pass goes through the documents in the order of a
-hash, and a table of blocks of that order tells where the budget ends, so that only the
-block it ends in is looked at row by row.
+documents and one pass over some of them. A pass goes through the documents in the order of a
+hash. A table of blocks of that order tells where the rest of the budget ends, so that only
+the block it ends in is looked at row by row; from there the pass goes on with documents that
+still fit, so a long one in the way costs a source nothing.
 """
 
 import math
@@ -18,6 +19,8 @@ from tracklens.llm.storage import stored
 BLOCK = 1024    # documents in a block, about
 ROUNDS = 6      # of the search; each narrows the exponent 64 times
 STEPS = 64
+FILLS = 40      # times that the last pass goes on past a document that doesn't fit, at most
+CLOSE = 1000    # it stops once less than one part in so many of a source's quota is left
 NONE = "\x00"   # stands for a null source
 
 WORDS = r"[^ \t-\r]+"
@@ -72,7 +75,10 @@ def exponent(sizes: DataFrame, total: int, *, entropy: float | None, repetition:
 
 def plan(docs: DataFrame, *, entropy: float | None = None, repetition: float | None = None,
          budget: int | None = None) -> DataFrame:
-    """One row per source: tokens, weight, quota, whole passes, and the place where the last one ends.
+    """One row per source: tokens, weight, quota, whole passes, and the runs of the pass after them.
+
+    ``until`` is the place where the first of these runs ends; ``spent`` and ``realised`` are
+    the tokens that come out and their share of all.
 
     ``docs`` comes from :func:`measured`. Without a budget every source is gone through at
     least once, the least repeated one exactly once.
@@ -83,8 +89,10 @@ def plan(docs: DataFrame, *, entropy: float | None = None, repetition: float | N
     sizes = stored(rows.groupBy("_source").agg(F.sum("_tokens").alias("tokens"), F.count("*").alias("n")), "sizes")
     total = sizes.agg(F.sum("tokens")).first()[0] or 0
     if not total:
+        none = F.expr("cast(null AS array<struct<after:double,until:double,most:bigint>>)")
         return sizes.select("_source", "tokens", F.lit(0.0).alias("weight"), F.col("tokens").alias("quota"),
-                            F.lit(1).cast("bigint").alias("passes"), F.lit(-1.0).alias("until"))
+                            F.lit(1).cast("bigint").alias("passes"), F.lit(-1.0).alias("until"), none.alias("runs"),
+                            F.col("tokens").alias("spent"), F.lit(0.0).alias("realised"))
     e = exponent(sizes, total, entropy=entropy, repetition=repetition, budget=budget)
     p = F.col("tokens") / total
     power = F.when(F.col("tokens") > 0, F.pow(p, F.lit(e))).otherwise(0.0)
@@ -98,21 +106,55 @@ def plan(docs: DataFrame, *, entropy: float | None = None, repetition: float | N
         "passes", F.when(F.col("tokens") > 0, F.expr("quota div tokens")).otherwise(1).cast("bigint"))
     share = share.withColumn("rest", F.when(
         F.col("tokens") > 0, F.col("quota") - F.col("passes") * F.col("tokens")).otherwise(0))
+    share = stored(share, "shares")
+    runs = stored(_last_pass(rows, share), "last-pass")
+    taken = runs.groupBy("_source").agg(
+        F.sum("taken").alias("taken"), F.min("until").alias("until"),
+        F.sort_array(F.collect_list(F.struct("after", "until", "most"))).alias("runs"))  # FILLS at most
+    spent = F.col("passes") * F.col("tokens") + F.coalesce("taken", F.lit(0))
+    out = stored(share.join(taken, "_source", "left").withColumn("spent", spent), "plan")
+    all_spent = max(out.agg(F.sum("spent")).first()[0] or 0, 1)
+    return out.select("_source", "tokens", "weight", "quota", "passes", F.coalesce("until", F.lit(0.0)).alias("until"),
+                      "runs", "spent", (F.col("spent") / all_spent).alias("realised"))
+
+
+def _last_pass(rows: DataFrame, share: DataFrame) -> DataFrame:
+    """(_source, after, until, most, taken): runs of the last pass.
+
+    A run takes the documents of at most ``most`` tokens whose place lies between ``after``
+    and ``until``, ``taken`` tokens in all. It ends before the first one that would overrun;
+    what is left of the budget goes to the next run, behind that document.
+    """
     blocks = F.ceil(F.col("n") / BLOCK)
-    placed = rows.join(share.select("_source", "rest", blocks.alias("blocks")), "_source").withColumn(
-        "block", F.floor(F.col("_pos") * F.col("blocks")))
-    sums = placed.groupBy("_source", "block").agg(F.sum("_tokens").alias("tokens"), F.first("rest").alias("rest"))
-    so_far = F.sum("tokens").over(Window.partitionBy("_source").orderBy("block"))
-    ends = sums.withColumn("end", so_far).filter("end > rest").groupBy("_source").agg(
-        F.min(F.struct("block", "end", "tokens")).alias("x")).select(
-        "_source", F.col("x.block").alias("last"), (F.col("x.end") - F.col("x.tokens")).alias("before"))
-    inside = placed.join(ends, "_source").filter("block = last")
-    here = F.sum("_tokens").over(Window.partitionBy("_source").orderBy("_pos"))
-    # places below ``until`` belong to the last pass: those before the first document that is too much
-    until = inside.withColumn("sum", F.col("before") + here).filter("sum > rest").groupBy("_source").agg(
-        F.min("_pos").alias("until"))
-    return share.join(until, "_source", "left").select(
-        "_source", "tokens", "weight", "quota", "passes", F.coalesce("until", F.lit(0.0)).alias("until"))
+    state = share.filter("rest > 0 AND tokens > 0").select(
+        "_source", "quota", blocks.alias("blocks"), "rest", F.lit(-1.0).alias("after"))
+    schema = "_source string, after double, until double, most bigint, taken bigint"
+    found = rows.sparkSession.createDataFrame([], schema)
+    for _ in range(FILLS):
+        state = stored(state, "open")
+        if state.isEmpty():
+            break
+        placed = rows.join(state, "_source").filter("_tokens <= rest AND _pos > after").withColumn(
+            "block", F.floor(F.col("_pos") * F.col("blocks")))
+        sums = placed.groupBy("_source", "block").agg(F.sum("_tokens").alias("here"), F.max("rest").alias("rest"))
+        so_far = F.sum("here").over(Window.partitionBy("_source").orderBy("block"))
+        sums = stored(sums.withColumn("end", so_far), "block-sums")
+        ends = sums.filter("end > rest").groupBy("_source").agg(F.min(F.struct("block", "end", "here")).alias("x")).select(
+            "_source", F.col("x.block").alias("last"), (F.col("x.end") - F.col("x.here")).alias("before"))
+        inside = placed.join(ends, "_source").filter("block = last").groupBy("_source", "_pos").agg(
+            F.sum("_tokens").alias("here"), F.max("rest").alias("rest"), F.max("before").alias("before"))
+        reach = F.col("before") + F.sum("here").over(Window.partitionBy("_source").orderBy("_pos"))
+        stops = inside.withColumn("reach", reach).filter("reach > rest").groupBy("_source").agg(
+            F.min(F.struct("_pos", "reach", "here")).alias("x")).select(
+            "_source", F.col("x._pos").alias("until"), (F.col("x.reach") - F.col("x.here")).alias("taken"))
+        whole = sums.groupBy("_source").agg(F.max("end").alias("whole"))
+        done = stored(state.join(whole, "_source", "left").join(stops, "_source", "left").select(
+            "_source", "quota", "blocks", "rest", "after", F.coalesce("until", F.lit(2.0)).alias("until"),
+            F.coalesce("taken", "whole", F.lit(0)).alias("taken")), "runs")
+        found = found.unionByName(done.select("_source", "after", "until", F.col("rest").alias("most"), "taken"))
+        state = done.withColumn("rest", F.col("rest") - F.col("taken")).filter(
+            f"until <= 1 AND rest * {CLOSE} > quota").select("_source", "quota", "blocks", "rest", F.col("until").alias("after"))
+    return found
 
 
 def mixed(docs: DataFrame, *, entropy: float | None = None, repetition: float | None = None,
@@ -122,14 +164,17 @@ def mixed(docs: DataFrame, *, entropy: float | None = None, repetition: float |
     Adds ``pass_no`` (from 1) and ``place``, 0 to 1: ordered by it, every source is spread
     evenly over the mixture. Existing columns of these names are replaced. A null source is a
     source of its own; a null text has no tokens. Equal rows share a place. A source without
-    tokens is gone through once. Documents that would overrun the budget of a source are left
-    out of its last pass.
+    tokens is gone through once. The last pass of a source leaves out documents that would
+    overrun its budget, such as a very long one, and goes on with those that fit, until less
+    than a thousandth of the budget is left or nothing fits. :func:`plan` has the target
+    (``weight``) and the realised weight of each source. A very long text is one row, whole.
     """
     base = measured(docs.drop("pass_no", "place"))
     shares = stored(plan(base, entropy=entropy, repetition=repetition, budget=budget).select(
-        "_source", "passes", "until", "quota", "tokens"), "plan")
+        "_source", "passes", "runs", "quota", "tokens"), "plan")
     joined = base.join(shares, "_source")
-    times = (F.col("passes") + (F.col("_pos") < F.col("until")).cast("bigint")).cast("int")
+    last = F.coalesce(F.expr("exists(runs, r -> _pos > r.after AND _pos < r.until AND _tokens <= r.most)"), F.lit(False))
+    times = (F.col("passes") + last.cast("bigint")).cast("int")
     copies = joined.withColumn("_times", times).filter("_times > 0").withColumn(
         "pass_no", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     spans = F.greatest(F.col("quota") / F.greatest("tokens", F.lit(1)), F.col("passes") + F.lit(0.0), F.col("pass_no") + F.lit(0.0))

@@ -161,7 +161,8 @@ def scan(docs: DataFrame, score: str, *, threshold: float = 0.5, mask: str = "[S
     ``docs`` needs ``text``; its other columns stay, but for ones of the added names, which
     are replaced. Candidates whose score (SQL from :func:`train`) reaches ``threshold`` are
     secrets and are masked in ``redacted``; nothing else of a text changes. A null text stays
-    null; it and a text without candidates have no findings.
+    null; it and a text without candidates have no findings. A very long text is scanned whole,
+    in one row; repeated rows are scanned each for itself.
     """
     rated = F.expr(f"transform(_found, c -> named_struct('at', c.at, 'value', c.value, 'score', {score}))")
     redacted = F.expr("array_join(transform(_parts, (part, i) -> CASE WHEN exists(findings, "

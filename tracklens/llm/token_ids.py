@@ -3,10 +3,12 @@
 import array
 import re
 from functools import lru_cache
+from itertools import accumulate
 
 from tokenizers import Tokenizer
 
 REMEMBERED = 700_000  # words, and pieces of words, kept per worker
+TOGETHER = 1 << 20    # bytes of text whose unknown words are encoded together
 
 
 @lru_cache(maxsize=2)
@@ -55,32 +57,55 @@ class WordEncoder:
         return array.array(self.kind, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def _learn(self, missing: list[bytes]) -> None:
-        """Encode words not yet known: together, unless one holds other white space or an added token."""
-        plain, texts = [], []
-        for word in missing:
+        """Encode words not yet known, many together."""
+        for at in range(0, len(missing), 2000):
+            batch = missing[at:at + 2000]
+            text = b" ".join(batch).decode()
+            if self.each or self.added.search(text) or len(text.split()) != len(batch) or max(map(len, batch)) > 1000:
+                batch = self._apart(batch)
+                text = b" ".join(batch).decode()
+            if batch:
+                self._learn_plain(batch, text)
+
+    def _apart(self, batch: list[bytes]) -> list[bytes]:
+        """Encode words that hold other white space or an added token, or are long, alone; the others."""
+        plain = []
+        for word in batch:
             text = word.decode()
             if len(text.split()) == 1 and len(text) < 1000 and not self.each and not self.added.search(text):
                 plain.append(word)
-                texts.append(text)
             else:
                 self.words[word] = self._word(text)
-        for at in range(0, len(plain), 2000):
-            normal = self.tokenizer.normalizer.normalize_str(" ".join(texts[at:at + 2000]))
-            cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
-            ends, end = [], -1
-            for part in normal.split(" "):
-                end += len(part) + 1
-                ends.append(end)
-            batch = plain[at:at + 2000]
-            if len(ends) != len(batch):
-                self.words.update({w: self._word(w.decode()) for w in batch})
-                continue
-            found, row = [[] for _ in batch], 0
-            for piece, (_, stop) in cut:
-                while stop > ends[row]:
-                    row += 1
-                found[row].append(self._piece(piece))
-            self.words.update(zip(batch, map(b"".join, found), strict=True))
+        return plain
+
+    def _learn_plain(self, batch: list[bytes], text: str) -> None:
+        normal = self.tokenizer.normalizer.normalize_str(text)
+        parts = normal.split(" ")
+        if len(parts) != len(batch):
+            self.words.update({w: self._word(w.decode()) for w in batch})
+            return
+        ends = list(accumulate(map(len, parts), lambda end, size: end + size + 1))
+        known, found, row, end = self.pieces, [[] for _ in batch], 0, ends[0]
+        own = found[0]
+        for piece, (_, stop) in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal):
+            while stop > end:
+                row += 1
+                end, own = ends[row], found[row]
+            ids = known.get(piece)
+            own.append(self._piece(piece) if ids is None else ids)
+        self.words.update(zip(batch, map(b"".join, found), strict=True))
+
+    def _groups(self, texts: list[bytes]):
+        """The words of some texts at a time, about ``TOGETHER`` bytes."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text.split())
+            size += len(text)
+            if size >= TOGETHER:
+                yield group
+                group, size = [], 0
+        if group:
+            yield group
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian integers of the kind's width.
@@ -90,20 +115,17 @@ class WordEncoder:
         if self.whole:
             return [self._word(text.decode()) for text in texts]
         out = []
-        for text in texts:
-            words = text.split()
-            ids = list(map(self.words.get, words))
-            if None in ids:
-                missing = {w for w, known in zip(words, ids, strict=True) if known is None}
-                if len(self.words) + len(missing) > REMEMBERED:
-                    self.older, self.words = self.words, {}
-                    missing = set(words)
-                if len(self.pieces) > REMEMBERED:
-                    self.pieces = {}
-                known = missing & self.older.keys()
-                self.words.update({w: self.older[w] for w in known})
-                if len(known) < len(missing):
-                    self._learn(list(missing - known))
-                ids = map(self.words.__getitem__, words)
-            out.append(b"".join(ids))
+        for group in self._groups(texts):
+            wanted = set().union(*group)
+            missing = wanted.difference(self.words)
+            if len(self.words) + len(missing) > REMEMBERED:
+                self.older, self.words = self.words, {}
+                missing = wanted
+            if len(self.pieces) > REMEMBERED:
+                self.pieces = {}
+            known = missing & self.older.keys()
+            self.words.update({w: self.older[w] for w in known})
+            self._learn(sorted(missing - known))
+            get = self.words.__getitem__
+            out += [b"".join(map(get, words)) for words in group]
         return out

@@ -2,7 +2,6 @@
 
 from collections.abc import Iterator
 from pathlib import Path
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +9,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklens.session import checkpoint_folder
+from tracklens.session import written
 
 BATCH = 8 << 20  # bytes of an Arrow batch handed to a worker
 HOT = 1000       # a key with more than one in so many of all rows is hot; there are fewer than HOT of them
@@ -30,15 +29,8 @@ def importable(spark: SparkSession) -> None:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared checkpoint folder and go on from there.
-
-    Unlike ``checkpoint()``, which computes a frame twice, this runs it once, packs it
-    and lets later reads take single columns. A lost executor loses nothing of it.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/llm-{name}-{uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write ``df`` once in the shared checkpoint folder and go on from there."""
+    return written(df, f"llm-{name}")
 
 
 def with_keys(rows: DataFrame, keyed: DataFrame, key: str) -> DataFrame:

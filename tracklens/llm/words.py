@@ -11,7 +11,7 @@ import numpy as np
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
-SLICE = 4 << 20  # bytes hashed at once, so that memory doesn't follow the longest text
+SLICE = 1 << 20  # bytes hashed at once, so that memory doesn't follow the longest text
 _GAP = re.compile(rb"[ \t-\r]")
 
 

@@ -58,6 +58,15 @@ def test_cube(case):
     assert plan_of(rollups.closures_cube(*case)).count("Expand") == 1
 
 
+def test_cube_of_times_whose_sum_is_no_bigint(spark):
+    """Forty spans of 9,000 years make more microseconds than 2**63."""
+    issues = issues_of(spark, [(n, "a", ["bug"], "closed", "t", "x", "0900-01-01 00:00", None) for n in range(40)])
+    events = events_of(spark, [(n, "closed", "b", "9900-01-01 00:00") for n in range(40)])
+    days = (datetime(9900, 1, 1) - datetime(900, 1, 1)).days
+    got = rollups.closures_cube(issues, events).collect()
+    assert len(got) == 5 and all((r.closures, r.mean_days) == (40, days) for r in got)
+
+
 @pytest.mark.parametrize("accuracy", [20, 100_000])
 def test_sketched_statistics_are_close_in_rank(case, accuracy):
     """Each sketched place is at most n / accuracy away; all else equals the exact statistics."""

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklens.functions.columns import days, hours, labels_or_none
+from tracklens.functions.columns import days, hours, labels_or_none, mean_micros
 from tracklens.operators.resolution import closed_resolutions
 
 LG_K = 12      # of a distinct-count sketch: 2**12 registers, standard error 1.6 %
@@ -24,11 +24,11 @@ def closures_cube(issues: DataFrame, events: DataFrame, *, closure: str = "first
     sets = [["year", "month", "label"], ["year", "month"], ["year"], ["label"], []]
     counted = rows.groupingSets([[F.col(c) for c in one] for one in sets], "year", "month", "label").agg(
         F.expr("grouping_id(year, month, label) AS gid"), F.expr("count(1) AS closures"),
-        F.expr("sum(resolution_micros) AS micros"))
+        F.expr(f"{mean_micros('resolution_micros')} AS micros"))
     names = " ".join(f"WHEN {sum(1 << (2 - k) for k, c in enumerate(('year', 'month', 'label')) if c not in one)} "
                      f"THEN '{'+'.join(one) or 'all'}'" for one in sets)
     return counted.selectExpr("year", "month", "label", f"CASE gid {names} END AS level", "closures",
-                              f"{days('micros / closures')} AS mean_days")
+                              f"{days('micros')} AS mean_days")
 
 
 def participant_sketches(issues: DataFrame, events: DataFrame, *, lg_k: int = LG_K) -> DataFrame:

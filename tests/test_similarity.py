@@ -90,6 +90,27 @@ def test_many_texts_at_once_equal_the_single_form(spark, size, split, k):
         assert got == [(place, r.number, pytest.approx(r.similarity, abs=2e-9)) for place, r in enumerate(single, 1)]
 
 
+def test_common_terms_are_multiplied_in_blocks(spark, monkeypatch):
+    """Texts that all share many terms meet in blocks, not as joined rows per term; blocks of any size agree."""
+    monkeypatch.setattr(similarity, "CELLS", 40 * 30)
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(30)}"
+    closed = spark.createDataFrame([(n, " ".join(word() for _ in range(60)), "t") for n in range(150)],
+                                   "number bigint, feature_text string, title string").cache()
+    asked = [(1000 + n, " ".join(word() for _ in range(60))) for n in range(50)]
+    queries = spark.createDataFrame(asked, "number bigint, feature_text string")
+    seen = {}
+    keep = similarity.written
+    monkeypatch.setattr(similarity, "written", lambda df, name: seen.setdefault(name, keep(df, name)))
+    found = find_similar_for_each(queries, closed, stop_words=STOP, k=3, size=30).collect()
+    assert seen["asked"].count() == 50 and seen["bounds"].count() == 0
+    assert len(found) == 150
+    for number, text in asked[:4]:
+        single = find_similar_issues(closed, text, stop_words=STOP, k=3, size=30).collect()
+        assert sorted((r.rank, r.number, r.similarity) for r in found if r.query == number) == [
+            (place, r.number, pytest.approx(r.similarity, abs=2e-9)) for place, r in enumerate(single, 1)]
+
+
 def test_bounds_leave_terms_out(spark, monkeypatch):
     """Common terms that cannot matter are not looked up, and results stay the same."""
     texts = [f"rare{n} rare{n}x common shared" for n in range(40)] + ["common shared"] * 40

@@ -1,5 +1,11 @@
 """TF-IDF weights of issue texts and the issues closest to a text."""
 
+from collections.abc import Callable
+from math import ceil
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +15,8 @@ from tracklens.session import written
 VOCABULARY_SIZE = 300
 SPLIT = 100_000   # texts with a term that one task goes through for it
 MARGIN = 1e-8     # above what rounding to nine places can move a score
+DENSE = 4         # terms of a query the average text has, from where on pairs are multiplied in blocks
+CELLS = 2_400_000  # numbers in the matrix of a block of texts
 
 
 def terms(texts: DataFrame, *, stop_words: list[str], text_col: str = "feature_text",
@@ -106,6 +114,65 @@ def _nearest(scores: DataFrame, n: int) -> DataFrame:
                              "AS rank").filter(F.col("rank") <= n)
 
 
+def _matrix(rows: pa.Table, size: int) -> np.ndarray:
+    """Texts with lists of places and weights, one row each."""
+    places = rows["places"].combine_chunks()
+    lengths = pc.list_value_length(places).to_numpy(zero_copy_only=False)
+    out = np.zeros((rows.num_rows, size))
+    out[np.repeat(np.arange(rows.num_rows), lengths), places.flatten().to_numpy()] = (
+        rows["weights"].combine_chunks().flatten().to_numpy())
+    return out
+
+
+def _best_of_block(k: int, size: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def best(asked: pa.Table, texts: pa.Table) -> pa.Table:
+        """The ``k`` best texts of a block for each query of another, ties by number."""
+        texts = texts.take(pc.sort_indices(texts, [("number", "ascending")], null_placement="at_start"))
+        left, right = _matrix(asked, size), _matrix(texts, size).T
+        queries, found, scores = [], [], []
+        step = max(1, CELLS // max(1, texts.num_rows))
+        for start in range(0, len(left), step):
+            block = np.round(left[start:start + step] @ right, 9)
+            last = block.shape[1] - min(k, block.shape[1])
+            least = np.partition(block, last, axis=1)[:, last] if block.shape[1] else []
+            for place, (row, least_) in enumerate(zip(block, least), start):
+                good = np.flatnonzero(row >= least_)
+                good = good[np.argsort(-row[good], kind="stable")[:k]]
+                queries.append(np.full(len(good), place))
+                found.append(good)
+                scores.append(row[good])
+        joined = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
+        return pa.table({"query": asked["query"].take(pa.array(joined(queries, np.int64))),
+                         "number": texts["number"].take(pa.array(joined(found, np.int64))),
+                         "score": pa.array(joined(scores, np.float64))})
+    return best
+
+
+def _best_in_blocks(wanted: DataFrame, index: DataFrame, terms_: DataFrame, *, k: int, size: int) -> DataFrame:
+    """Scores of each query's ``k`` best texts at least, from products of blocks of queries and texts.
+
+    Every pair is scored whole; of a block only ``k`` rows per query leave it.
+    """
+    places = F.broadcast(terms_.selectExpr("term", "row_number() OVER (ORDER BY term) - 1 AS place"))
+
+    def packed(rows: DataFrame, key: str, weight: str, kind: str) -> tuple[DataFrame, int]:
+        texts = written(rows.join(places, "term").groupBy(key).agg(F.expr(
+            f"collect_list(struct(place, {weight} AS weight)) AS held")).selectExpr(
+            key, "held.place AS places", "held.weight AS weights"), kind)
+        return texts, max(1, ceil(texts.count() * size / CELLS))
+
+    asked, asked_blocks = packed(wanted, "query", "asked_weight", "asked")
+    texts, text_blocks = packed(index, "number", "weight", "texts")
+    dealt = lambda key, blocks: f"pmod(xxhash64({key}), {blocks})"
+    left = asked.selectExpr("*", f"{dealt('query', asked_blocks)} AS a",
+                            f"explode(sequence(0L, {text_blocks - 1}L)) AS b")
+    right = texts.selectExpr("*", f"explode(sequence(0L, {asked_blocks - 1}L)) AS a",
+                             f"{dealt('number', text_blocks)} AS b")
+    number, query = texts.schema["number"].dataType, asked.schema["query"].dataType
+    return left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(
+        _best_of_block(k, size), f"query {query.simpleString()}, number {number.simpleString()}, score double")
+
+
 def find_similar_for_each(queries: DataFrame, closed: DataFrame, *, stop_words: list[str], k: int = 5,
                           size: int = VOCABULARY_SIZE, text_col: str = "feature_text",
                           split: int = SPLIT) -> DataFrame:
@@ -120,6 +187,9 @@ def find_similar_for_each(queries: DataFrame, closed: DataFrame, *, stop_words:
     could be among the ``k`` is lost. A term that more than ``split`` texts have is dealt out
     to several tasks. Texts that share no term with a query have 0 and follow by number;
     several rows of one query number are one text.
+
+    A query of common terms meets most texts, on many terms each. Where its terms are held
+    more than ``DENSE`` times per text, it is scored in products of blocks instead of joins.
     """
     fitted = TermWeights(closed, size=size, stop_words=stop_words, text_col=text_col)
     index = written(fitted.weights().select("number", "term", "weight"), "index")
@@ -131,6 +201,12 @@ def find_similar_for_each(queries: DataFrame, closed: DataFrame, *, stop_words:
     wanted = written(wanted.join(terms_, "term").selectExpr(
         "query", "term", "asked_weight", "df", "asked_weight * most AS bound"), "wanted")
 
+    documents = closed.agg(F.expr("count(1)")).scalar()
+    weighed = written(wanted.withColumn("documents", documents).selectExpr(
+        "*", f"sum(df) OVER (PARTITION BY query) > {DENSE} * documents AS dense"), "weighed")
+    dense = _best_in_blocks(weighed.filter("dense AND query IS NOT NULL"), index, terms_, k=k, size=size)
+    wanted = weighed.filter("NOT dense").drop("documents", "dense")
+
     parts = f"CAST(ceil(df / {split}D) AS int)"
     dealt = index.join(terms_, "term").selectExpr(
         "number", "term", "weight", f"pmod(hash(number), {parts}) AS part")
@@ -162,6 +238,6 @@ def find_similar_for_each(queries: DataFrame, closed: DataFrame, *, stop_words:
         F.expr("collect_list(number)")).scalar()
     every = queries.selectExpr("number AS query").distinct().withColumn("number", F.explode(lowest)).selectExpr(
         "query", "number", "0D AS score")
-    scores = met.select("query", "number", "score").unionByName(more).unionByName(every).groupBy(
+    scores = met.select("query", "number", "score").unionByName(more).unionByName(dense).unionByName(every).groupBy(
         "query", "number").agg(F.expr("round(sum(score), 9) AS score"))
     return _nearest(scores, k).selectExpr("query", "rank", "number", "score AS similarity")

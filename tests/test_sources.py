@@ -64,3 +64,11 @@ def test_sinks(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/two").columns == ["k", "v"]
     write_results(df, f"{tmp_path}/p", format="parquet", partition_by=["k"])
     assert spark.read.parquet(f"{tmp_path}/p").filter("k = 2").first().v == "b"
+
+
+def test_packed_json_lines(spark, tmp_path):
+    path, out = tmp_path / "issues.jsonl", f"{tmp_path}/packed"
+    path.write_text("\n".join(json.dumps(r) for r in RECORDS))
+    write_results(source.read_raw_issues(spark, str(path), json_lines=True), out, compression="gzip")
+    assert {f.suffix for f in (tmp_path / "packed").glob("part-*")} == {".gz"}
+    check(spark, out, json_lines=True)

@@ -126,9 +126,9 @@ def q_rejected_issues(spark, folder):
 
 @_query
 def q_read_issues(spark, folder):
-    """Written as JSON Lines to the shared folder and read back."""
+    """Written as packed JSON Lines to the shared folder and read back."""
     path = f"{checkpoint_folder(spark)}/issues-{uuid4().hex}"
-    write_results(bindings.shipments(spark, folder), path)
+    write_results(bindings.shipments(spark, folder), path, compression="gzip")
     return source.read_issues(spark, path, json_lines=True).select(
         "number", "creator", "labels", "state", "title", "url", "created_date", "updated_date",
         F.size("events").alias("event_count"))

@@ -4,6 +4,7 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 from tests.frames import issues_of
+from tracklens.plans import queries
 from tracklens.streaming import activity
 
 T0 = datetime(2024, 3, 1)
@@ -59,3 +60,17 @@ def test_first_responses(spark, tmp_path):
     arrive(spark, folder, [(1, 4, "commented", "b", 3), (1, 3, "labeled", "c", 50), (2, 1, "commented", "a", 900), (2, 2, "commented", None, 1)])
     activity.keep_first_responses(spark, folder, store, issues)
     assert got() == {1: T0 + timedelta(hours=3), 2: T0 + timedelta(hours=900)}
+
+
+def test_arriving_events_are_made_once(spark, tmp_path):
+    """The middle and both parts read the events as first written, not the joins below them again."""
+    made = spark.sparkContext.accumulator(0)
+    rows = spark.createDataFrame([(1, n, "commented", "c", T0 + timedelta(hours=n)) for n in range(20)], activity.EVENTS)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    queries._arriving(spark, str(tmp_path), rows.mapInArrow(counted, activity.EVENTS), lambda path: None)
+    assert made.value == 20

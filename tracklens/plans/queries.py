@@ -683,12 +683,13 @@ def q_busiest_of_range(spark, folder):
 def _arriving(spark, folder, events, runs):
     """Events as files that arrive in two parts, the older one first and again in part with the other."""
     path = f"{checkpoint_folder(spark)}/arriving-{uuid4().hex}"
+    events = cut_lineage(events)  # for the middle and both parts
     middle = events.agg(F.expr("timestamp_micros(CAST(avg(unix_micros(event_date)) AS bigint))")).scalar()
     halves = events.withColumn("middle", middle)
     parts = [halves.filter("event_date <= middle"),
              halves.filter("event_date > middle OR (event_date > middle - INTERVAL 30 DAYS AND pos % 3 = 0)")]
     for part in parts:
-        part.drop("middle").write.mode("append").parquet(path)
+        part.drop("middle").write.mode("append").option("compression", "zstd").parquet(path)
         runs(path)
 
 

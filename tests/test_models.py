@@ -129,6 +129,20 @@ def test_priority_model(spark, tmp_path):
         models.train_priority_model(rows.limit(0), stop_words=[])
 
 
+def test_forest_is_saved_tree_by_tree(spark, tmp_path):
+    """No job gets all nodes from the driver; the loaded forest is the saved one, also over an older one."""
+    for trees in (14, 12):
+        model = models.train_priority_model(triage_rows(spark), stop_words=["the"], trees=trees, max_depth=4)
+        models.save_priority_model(model, str(tmp_path))
+    again = models.load_priority_model(spark, str(tmp_path))
+    one, two = (m.classifier.stages[0] for m in (model, again))
+    assert sorted(int(x.name) for x in (tmp_path / "classifier/trees").iterdir())[:12] == list(range(12))
+    assert two.getNumTrees == 12 and two.treeWeights == one.treeWeights
+    assert one.toDebugString == two.toDebugString and one.featureImportances == two.featureImportances
+    assert {p.name: two.getOrDefault(p) for p in two.params if two.isDefined(p)} == {
+        p.name: one.getOrDefault(p) for p in one.params if one.isDefined(p)}
+
+
 def test_matrix_agrees_with_long_form(spark):
     rows = triage_rows(spark, 30)
     matrix = rows_by(models.triage_matrix(rows, stop_words=["the"]), "number")

@@ -1,9 +1,11 @@
 """Distributed regressors and classifier, their reports and persistence."""
 
+import json
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import (
     IDF, CountVectorizerModel, ElementwiseProduct, IndexToString, Normalizer, RegexTokenizer,
     SQLTransformer, StandardScaler, StopWordsRemover, StringIndexer, VectorAssembler,
@@ -22,6 +24,7 @@ from tracklens.schema import RESOLUTION_FEATURES, TRIAGE_FEATURES
 from tracklens.session import cut_lineage
 
 SEED = 42
+TREES_TOGETHER = 4  # trees written at once
 
 
 class NotEnoughRows(ValueError):
@@ -311,9 +314,41 @@ def predict_priority(model: PriorityModel, timeline: DataFrame) -> DataFrame:
         F.round(surest * 100, 1).alias("priority_confidence"), "complexity_score")
 
 
+def _save_forest(forest: RandomForestClassificationModel, spark: SparkSession, path: str) -> None:
+    """Write a forest in the format its class loads, a few trees at a time.
+
+    The forest's own writer makes rows of all nodes on the driver and sends them as one task.
+    Here each tree is written alone; their files become the forest's by a Spark job.
+    """
+    trees = forest.trees
+
+    def save(place: int) -> None:
+        trees[place].write().overwrite().save(f"{path}/trees/{place}")
+
+    with ThreadPool(TREES_TOGETHER) as pool:
+        pool.map(save, range(len(trees)), chunksize=1)
+    folders = [f"{path}/trees/{place}" for place in range(len(trees))]
+    place = F.regexp_extract("_metadata.file_path", r"/trees/(\d+)/(?:data|metadata)/[^/]*$", 1).cast("int")
+    spark.read.parquet(*[f"{folder}/data" for folder in folders]).select(
+        place.alias("treeID"), F.struct("*").alias("nodeData")
+    ).write.mode("overwrite").parquet(f"{path}/forest/data")
+    spark.read.text([f"{folder}/metadata" for folder in folders]).select(
+        place.alias("treeID"), F.col("value").alias("metadata"), F.lit(1.0).alias("weights")
+    ).write.mode("overwrite").parquet(f"{path}/forest/treesMetadata")
+    about = {
+        "class": f"org.apache.spark.ml.classification.{type(forest).__name__}", "timestamp": 0,
+        "sparkVersion": spark.version, "uid": forest.uid, "defaultParamMap": {},
+        "paramMap": {p.name: forest.getOrDefault(p) for p in forest.params if forest.isDefined(p)},
+        "numFeatures": forest.numFeatures, "numClasses": forest.numClasses, "numTrees": len(trees)}
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode(
+        "overwrite").text(f"{path}/forest/metadata")
+
+
 def save_priority_model(model: PriorityModel, path: str) -> None:
     model.encoder.write().overwrite().save(f"{path}/encoder")
-    model.classifier.write().overwrite().save(f"{path}/classifier")
+    forest, names_back = model.classifier.stages
+    _save_forest(forest, model.report.sparkSession, f"{path}/classifier")
+    names_back.write().overwrite().save(f"{path}/classifier/names")
     model.report.write.mode("overwrite").parquet(f"{path}/report")
     names = model.report.sparkSession.createDataFrame(
         list(enumerate(model.feature_names)), "place int, name string")
@@ -322,6 +357,7 @@ def save_priority_model(model: PriorityModel, path: str) -> None:
 
 def load_priority_model(spark: SparkSession, path: str) -> PriorityModel:
     names = [row.name for row in spark.read.parquet(f"{path}/features").orderBy("place").collect()]
-    return PriorityModel(PipelineModel.load(f"{path}/encoder"),
-                         PipelineModel.load(f"{path}/classifier"),
+    classifier = PipelineModel([RandomForestClassificationModel.load(f"{path}/classifier/forest"),
+                                IndexToString.load(f"{path}/classifier/names")])
+    return PriorityModel(PipelineModel.load(f"{path}/encoder"), classifier,
                          spark.read.parquet(f"{path}/report"), names)

@@ -245,3 +245,18 @@ def test_empty_tables(spark, tmp_path):
 
 def test_digests():
     assert hashlib.sha256(b"").hexdigest() == substrings._joined(b"")[1]
+
+
+def test_byte_bpe_holds_a_megabyte_at_a_time():
+    """A batch of many texts is not held with all its ids and decoded bytes; a worker's words are bounded."""
+    import pyarrow as pa
+
+    from tracklens.llm import byte_bpe
+
+    encoder = byte_bpe.Encoder({bytes([k]): k for k in range(256)}, r" ?\S+|\s")
+    texts = [f"{k} " + "ab cd " * 20_000 for k in range(20)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(22)), "text": texts})
+    made = list(byte_bpe._batches([batch], encoder, decode=True))
+    assert max(x.num_rows for x in made) < 12 and sum(x.num_rows for x in made) == 22
+    assert [y.as_py() for x in made for y in x.column("decoded")] == [(x or "").encode() for x in texts]
+    assert byte_bpe.REMEMBERED <= 250_000

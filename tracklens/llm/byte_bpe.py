@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from tracklens.llm.storage import encoded, text_batches
 
-REMEMBERED = 400_000  # words, as many older words, pieces, and pairs of tokens, kept per worker
+REMEMBERED = 250_000  # words, as many older words, pieces, and pairs of tokens, kept per worker
+TOGETHER = 1 << 20    # bytes of text whose ids and decoded bytes are held at once, apart from a longer text
 NEVER = 1 << 60  # above any rank
 _GAP = re.compile(r"(?<=\S) (?=\S)")  # re takes all for space that regex does, and quicker
 
@@ -61,13 +62,13 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}  # by both ranks in one number, which takes less room than a pair
 
     def _fit(self, left: int, right: int) -> bool:
         if len(self.fits) >= REMEMBERED:
             self.fits.clear()
         fit = merged(self.token[left] + self.token[right], self.ranks) == [left, right]
-        self.fits[left, right] = fit
+        self.fits[left << 32 | right] = fit
         return fit
 
     def _first(self, letters: str, at: int) -> int:
@@ -92,7 +93,7 @@ class Encoder:
             while rank >= 0:
                 after = at + size[rank]
                 if not closed[after]:
-                    fit = not ids or known.get((ids[-1], rank))
+                    fit = not ids or known.get(ids[-1] << 32 | rank)
                     if fit is None:
                         fit = self._fit(ids[-1], rank)
                     if fit:
@@ -159,6 +160,16 @@ def byte_encoder(path: str, pattern: str) -> Encoder:
     return Encoder(read_ranks(path), pattern)
 
 
+def _batches(batches, encoder: Encoder, decode: bool):
+    """Batches of (doc_id, ids[, decoded]), each of about ``TOGETHER`` bytes of text."""
+    for batch in text_batches(batches, most=TOGETHER):
+        ids = [encoder.encode(x.decode()) for x in encoded(batch)]
+        columns = [batch.column("doc_id"), pa.array(ids, pa.binary())]
+        if decode:
+            columns.append(pa.array([encoder.decode(x) for x in ids], pa.binary()))
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][:len(columns)])
+
+
 def tokens(docs: DataFrame, *, path: str, pattern: str, decode: bool = False) -> DataFrame:
     """(doc_id, ids[, decoded]) for each row of ``docs`` (doc_id, text).
 
@@ -169,13 +180,7 @@ def tokens(docs: DataFrame, *, path: str, pattern: str, decode: bool = False) ->
     row. Other columns play no part.
     """
     def run(batches):
-        encoder = byte_encoder(path, pattern)
-        for batch in text_batches(batches, most=4 << 20):
-            ids = [encoder.encode(x.decode()) for x in encoded(batch)]
-            columns = [batch.column("doc_id"), pa.array(ids, pa.binary())]
-            if decode:
-                columns.append(pa.array([encoder.decode(x) for x in ids], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][:len(columns)])
+        yield from _batches(batches, byte_encoder(path, pattern), decode)
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
         run, "doc_id bigint, ids binary" + ", decoded binary" * decode)

@@ -71,6 +71,56 @@ def test_boosting_on_cells_equals_boosting_on_rows(spark):
     assert by_rows == pytest.approx(by_cells)
 
 
+def _repeated_rows(spark):
+    """2,000 rows of 12 combinations; the label follows them but for some noise."""
+    return spark.range(2000).selectExpr(
+        "id AS number", "CAST(id % 4 AS double) AS a", "CAST(id % 3 AS double) AS b",
+        "CAST(id % 4 * 100 + id % 3 * 30 + id % 7 AS double) AS resolution_hours")
+
+
+def test_forest_of_many_equal_rows_is_fitted_on_combinations(spark, monkeypatch):
+    from pyspark.ml.regression import RandomForestRegressor
+
+    df, names = _repeated_rows(spark), ["a", "b"]
+    cells = models.train_resolution_model(df, feature_names=names, **SMALL)
+    fit, passed = RandomForestRegressor.fit, []
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, rows: passed.append(1) or fit(self, rows))
+    models.train_resolution_model(df, feature_names=names, **SMALL)
+    assert not passed  # no pass of the forest over all rows
+    few = df.limit(40)
+    models.train_resolution_model(few, feature_names=names, **SMALL)
+    assert passed      # fewer rows than combinations of all trees
+
+    forest = cells.forest
+    assert forest.getNumTrees == 10 and forest.getPredictionCol() == "forest_hours"
+    assert len({tree.toDebugString.split("\n", 1)[1] for tree in forest.trees}) > 1  # each on a bag of its own
+    by_rows = RandomForestRegressor(
+        numTrees=10, maxDepth=10, minInstancesPerNode=2, seed=1, featureSubsetStrategy="all", labelCol="label").fit(
+        models.PipelineModel(cells.pipeline_model.stages[:2]).transform(
+            df.withColumnRenamed("resolution_hours", "label")))
+    scored = cells.pipeline_model.transform(df)
+    found = by_rows.transform(scored).selectExpr("max(abs(prediction - forest_hours))").first()[0]
+    assert found < 1  # between combinations labels differ by 10 at least
+    assert forest.featureImportances.toArray() == pytest.approx(by_rows.featureImportances.toArray(), abs=0.02)
+
+
+def test_bags_draw_each_row_once_on_average(spark):
+    df = _repeated_rows(spark).withColumnRenamed("resolution_hours", "label")
+    bags = models._bags(df, ["a", "b"], 20, 7)
+    sums = [row.n for row in bags.groupBy("tree").agg(F.sum("rows").alias("n")).collect()]
+    assert len(sums) == 20 and all(abs(n - 2000) < 5 * 2000 ** 0.5 for n in sums)
+    assert bags.exceptAll(models._bags(df, ["a", "b"], 20, 7)).isEmpty()
+
+
+def test_estimates_by_combination_equal_those_of_rows(spark):
+    df, names = _repeated_rows(spark), ["a", "b"]
+    model = models.train_resolution_model(df.limit(200), feature_names=names, **SMALL).pipeline_model
+    twice = df.unionByName(df.limit(3))
+    columns = [*df.columns, "forest_hours", "boosted_hours", "ensemble_hours"]
+    by_rows, by_cells = model.transform(twice).select(columns), models._transformed(model, twice, names).select(columns)
+    assert by_rows.exceptAll(by_cells).isEmpty() and by_cells.exceptAll(by_rows).isEmpty()
+
+
 def test_split_is_stable(spark):
     df = spark.range(1000).withColumnRenamed("id", "number")
     one = rows_by(models.split_train_test(df.repartition(1)), "number")

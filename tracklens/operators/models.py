@@ -2,7 +2,9 @@
 
 import json
 from dataclasses import dataclass
+from math import exp, factorial
 from multiprocessing.pool import ThreadPool
+from uuid import uuid4
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -12,7 +14,9 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import (
+    DecisionTreeRegressor, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor,
+)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +25,13 @@ from tracklens.operators.resolution import label_features
 from tracklens.operators.similarity import VOCABULARY_SIZE, terms, vocabulary
 from tracklens.operators.triage import triage_features, with_complexity
 from tracklens.schema import RESOLUTION_FEATURES, TRIAGE_FEATURES
-from tracklens.session import cut_lineage
+from tracklens.session import checkpoint_folder, cut_lineage, written
 
 SEED = 42
-TREES_TOGETHER = 4  # trees written at once
+TREES_TOGETHER = 4   # trees written at once
+FITTED_TOGETHER = 8  # trees on cells fitted at once
+# Chances that a row is drawn at most 0, 1, 2, ... times into a tree's bag: Poisson of mean 1.
+DRAWN = [sum(exp(-1) / factorial(k) for k in range(most + 1)) for most in range(13)]
 
 
 class NotEnoughRows(ValueError):
@@ -89,7 +96,8 @@ def train_resolution_model(features: DataFrame, *, feature_names: list[str] = RE
 
     The features take few distinct values. Squared-error boosting only uses the
     mean and the number of rows of each distinct combination, so it is fitted on
-    those, and its hundred rounds do not pass over the full data.
+    those, and its hundred rounds do not pass over the full data. So is the forest
+    once the rows are more than its trees have combinations in all.
     """
     chosen = features.select(key, *[F.col(c).cast("double").alias(c) for c in feature_names],
                              F.col(label).cast("double").alias("label"))
@@ -109,7 +117,12 @@ def train_resolution_model(features: DataFrame, *, feature_names: list[str] = RE
     # All features at every split, as the averaged single trees would use.
     forest = RandomForestRegressor(
         numTrees=forest_trees, maxDepth=forest_depth, minInstancesPerNode=2, seed=seed,
-        featureSubsetStrategy="all", predictionCol="forest_hours").fit(prepare.transform(train))
+        featureSubsetStrategy="all", predictionCol="forest_hours")
+    size = cells.agg(F.count(F.lit(1)).alias("cells"), F.sum("rows").alias("rows")).first()
+    if size.cells * forest_trees < (size.rows or 0):
+        forest = _forest_of_cells(forest, train, feature_names, prepare)
+    else:
+        forest = forest.fit(prepare.transform(train))
     boosted = GBTRegressor(
         maxIter=boosting_rounds, stepSize=0.1, maxDepth=boosting_depth, seed=seed,
         weightCol="rows", predictionCol="boosted_hours").fit(prepare.transform(cells))
@@ -118,12 +131,64 @@ def train_resolution_model(features: DataFrame, *, feature_names: list[str] = RE
     model = PipelineModel([assembler, scaler_model, forest, boosted, average])
 
     report = regression_report(
-        model.transform(rows.filter("part = 'test'")), label="label",
+        _transformed(model, rows.filter("part = 'test'"), feature_names), label="label",
         predictions={"random_forest": "forest_hours", "gradient_boosting": "boosted_hours",
                      "ensemble": "ensemble_hours"})
     return ResolutionModel(model, _keep(report), list(feature_names))
 
 
+def _bags(train: DataFrame, feature_names: list[str], trees: int, seed: int) -> DataFrame:
+    """Each tree's bootstrap of the rows as the mean and number of its draws per combination.
+
+    A row is drawn into each tree by a Poisson number of mean 1, as the forest does itself.
+    """
+    times = " + ".join(f"CAST(u >= {most!r}D AS int)" for most in DRAWN)
+    drawn = train.select(*feature_names, "label", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    drawn = drawn.withColumn("u", F.rand(seed)).withColumn("times", F.expr(times)).filter("times > 0")
+    return drawn.groupBy("tree", *feature_names).agg(
+        F.expr("sum(times * label) / sum(times) AS label"), F.expr("CAST(sum(times) AS double) AS rows"))
+
+
+def _forest_of_cells(forest: RandomForestRegressor, train: DataFrame, feature_names: list[str],
+                     prepare: PipelineModel) -> RandomForestRegressionModel:
+    """The forest's trees, each fitted on its own bag of weighted combinations.
+
+    Rows of one combination are never split, so a split gains as much on their mean and number
+    as on the rows. The least rows of a node are told by weight: half a row less, to be
+    safe from rounding. The class has no public way to hold trees fitted alone, so they are
+    written in its format and loaded.
+    """
+    spark = train.sparkSession
+    count = forest.getNumTrees()
+    bags = prepare.transform(_bags(train, feature_names, count, forest.getSeed())).select(
+        "tree", "features", "label", "rows")
+    bags = written(bags.repartition("tree"), "bags", by="tree")
+    weights = {row.tree: row.weight for row in bags.groupBy("tree").agg(F.sum("rows").alias("weight")).collect()}
+
+    def fit(place: int):
+        least = min((forest.getMinInstancesPerNode() - 0.5) / weights[place], 0.499)
+        return DecisionTreeRegressor(
+            maxDepth=forest.getMaxDepth(), minWeightFractionPerNode=least, seed=forest.getSeed(),
+            weightCol="rows").fit(bags.filter(F.col("tree") == place))
+
+    with ThreadPool(FITTED_TOGETHER) as pool:
+        trees = pool.map(fit, sorted(weights), chunksize=1)
+    path = f"{checkpoint_folder(spark)}/forest-{uuid4().hex}"
+    _save_trees(trees, forest, RandomForestRegressionModel, {"numFeatures": len(feature_names)}, spark, path)
+    return RandomForestRegressionModel.load(f"{path}/forest")
+
+
+def _transformed(model: PipelineModel, rows: DataFrame, feature_names: list[str]) -> DataFrame:
+    """Rows with the model's estimates, made once for each distinct combination of features."""
+    cells = written(rows.select(*feature_names).distinct(), "combinations")
+    names = [f"_of_{c}" for c in feature_names]
+    scored = model.transform(cells).select(
+        *[F.col(c).alias(name) for c, name in zip(feature_names, names)],
+        "forest_hours", "boosted_hours", "ensemble_hours")
+    same = [F.col(c).eqNullSafe(F.col(name)) for c, name in zip(feature_names, names)]
+    return rows.join(scored, same, "left").drop(*names)
+
+
 def _keep(small: DataFrame) -> DataFrame:
     """A report of a few rows, computed once."""
     return small.sparkSession.createDataFrame(small.collect(), small.schema)
@@ -148,7 +213,7 @@ def predict_resolution(model: ResolutionModel, issues: DataFrame) -> DataFrame:
     never below 0. Titles are cut to 80 characters.
     """
     error = model.metrics.filter("model = 'ensemble'").select("mae_hours").scalar()
-    scored = model.pipeline_model.transform(label_features(issues))
+    scored = _transformed(model.pipeline_model, label_features(issues), model.feature_names)
     hours = F.col("ensemble_hours")
     return scored.select(
         F.col("number").alias("issue_number"),
@@ -314,14 +379,12 @@ def predict_priority(model: PriorityModel, timeline: DataFrame) -> DataFrame:
         F.round(surest * 100, 1).alias("priority_confidence"), "complexity_score")
 
 
-def _save_forest(forest: RandomForestClassificationModel, spark: SparkSession, path: str) -> None:
-    """Write a forest in the format its class loads, a few trees at a time.
+def _save_trees(trees: list, forest, kind: type, figures: dict, spark: SparkSession, path: str) -> None:
+    """Write trees as a forest of class ``kind`` with the parameters of ``forest``, a few trees at a time.
 
     The forest's own writer makes rows of all nodes on the driver and sends them as one task.
     Here each tree is written alone; their files become the forest's by a Spark job.
     """
-    trees = forest.trees
-
     def save(place: int) -> None:
         trees[place].write().overwrite().save(f"{path}/trees/{place}")
 
@@ -336,10 +399,10 @@ def _save_forest(forest: RandomForestClassificationModel, spark: SparkSession, p
         place.alias("treeID"), F.col("value").alias("metadata"), F.lit(1.0).alias("weights")
     ).write.mode("overwrite").parquet(f"{path}/forest/treesMetadata")
     about = {
-        "class": f"org.apache.spark.ml.classification.{type(forest).__name__}", "timestamp": 0,
+        "class": f"org.apache.spark.{kind.__module__.removeprefix('pyspark.')}.{kind.__name__}", "timestamp": 0,
         "sparkVersion": spark.version, "uid": forest.uid, "defaultParamMap": {},
         "paramMap": {p.name: forest.getOrDefault(p) for p in forest.params if forest.isDefined(p)},
-        "numFeatures": forest.numFeatures, "numClasses": forest.numClasses, "numTrees": len(trees)}
+        **figures, "numTrees": len(trees)}
     spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode(
         "overwrite").text(f"{path}/forest/metadata")
 
@@ -347,7 +410,9 @@ def _save_forest(forest: RandomForestClassificationModel, spark: SparkSession, p
 def save_priority_model(model: PriorityModel, path: str) -> None:
     model.encoder.write().overwrite().save(f"{path}/encoder")
     forest, names_back = model.classifier.stages
-    _save_forest(forest, model.report.sparkSession, f"{path}/classifier")
+    _save_trees(forest.trees, forest, type(forest),
+                {"numFeatures": forest.numFeatures, "numClasses": forest.numClasses},
+                model.report.sparkSession, f"{path}/classifier")
     names_back.write().overwrite().save(f"{path}/classifier/names")
     model.report.write.mode("overwrite").parquet(f"{path}/report")
     names = model.report.sparkSession.createDataFrame(

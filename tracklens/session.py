@@ -40,15 +40,17 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and go on from there.
 
+    ``by``: a column whose values get folders of their own, read alone where it is filtered.
+
     Unlike ``checkpoint()``, which computes a frame twice, this runs it once, packs it
     and lets later reads take single columns. A lost executor loses nothing of it.
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/{name}-{uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*[by] if by else []).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

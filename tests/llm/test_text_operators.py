@@ -41,6 +41,25 @@ def test_near_duplicates_split_bucket(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == frames.near(given, 2, 80)[1]
 
 
+def test_only_rows_apart_leave_the_bucket_join(spark, monkeypatch):
+    words = [f"w{k}" for k in range(150)]
+    near = [" ".join(words[:-1] + [f"x{k}"]) for k in range(20)]
+    apart = [" ".join(words[:123] + [f"y{k}z{n}" for n in range(27)]) for k in range(4)]  # 0.69 alike
+    kept, write = {}, setsketch.stored
+
+    def stored(df, name):
+        kept[name] = df, write(df, name)
+        return kept[name][1]
+
+    monkeypatch.setattr(setsketch, "stored", stored)
+    docs = frames.documents(spark, list(enumerate(near + apart)))
+    found = {r.doc_id: r.component_id for r in setsketch.near_duplicates(docs, shingle=2, percent=80).collect()}
+    assert found == {k: 0 if k < 20 else k for k in range(24)}
+    assert {r.id for r in kept["apart"][1].select("id").collect()} <= {20, 21, 22, 23}  # not the twenty linked ones
+    plan = kept["members-of-blocks"][0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan  # sizes are carried, not looked up again
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(2)
     a, b = (rng.integers(0, 2**63, 900).astype(np.uint64) for _ in range(2))

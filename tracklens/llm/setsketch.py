@@ -314,10 +314,9 @@ def _linked_in_blocks(rest: DataFrame, classes: DataFrame, docs: DataFrame, shin
     """
     known = classes.join(rest.select("id").distinct(), "id", "left_semi").select(
         "id", F.col("n_shingles").alias("n"), "registers")
-    sized = known.groupBy("id").agg(F.max("n").alias("n"))
-    members = rest.select(F.col("key").alias("cell"), "band", "main", "id", "c").distinct().join(sized, "id").withColumn(
+    members = rest.groupBy(F.col("key").alias("cell"), "band", "main", "id", "c").agg(F.max("n").alias("n")).withColumn(
         "salt", F.col("id"))
-    members = stored(members, "apart")
+    members = stored(members, "members-of-blocks")
     placed = blocks(members, members.filter("c <> main"), size=BLOCK, weight=2 * F.col("n") + 500)
     met = placed.select("cell", "band", "rb", "vb", "role", "id", "c").join(known, "id")
     near = stored(_in_blocks(met.select(*_names(_MEMBER)), lambda table, edges: _members_of_blocks(
@@ -350,13 +349,15 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
     # the low bits of a key are its band
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring("registers", k * rows + 1, rows)).bitwiseAND(F.lit(~TAG)).bitwiseOR(
         F.lit(k)) for k in range(bands)])
-    dealt = classes.select(F.explode(keys).alias("key"), "id").repartition("key")  # one shuffle for both uses
+    dealt = classes.select(F.explode(keys).alias("key"), "id", F.col("n_shingles").alias("n")).repartition(
+        "key")  # one shuffle for both uses
     buckets = dealt.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z"), F.count("*").alias("n"),
                                        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum")).filter("a < z")
     # of buckets with the same members the one of the first band stands for all
     buckets = buckets.groupBy("a", "z", "n", "sum").agg(
         F.min(F.struct(F.col("key").bitwiseAND(F.lit(TAG)).alias("band"), "key")).alias("x")).select("x.key", "a", "x.band")
-    members = stored(dealt.join(buckets, "key").select("key", "id", "a", F.col("band").cast("int").alias("band")), "members")
+    members = stored(dealt.join(buckets, "key").select("key", "id", "n", "a", F.col("band").cast("int").alias("band")),
+                     "members")
 
     def links_of(pairs: DataFrame) -> DataFrame:
         plausible = stored(_plausible(pairs, classes, percent), "plausible")
@@ -373,23 +374,23 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80,
     labels, n_links, tries = components(links, "a", "b"), links.count(), 0
     while True:
         placed = members.join(labels, members.id == labels.v, "left").select(
-            "key", "band", "id", F.coalesce("u", "id").alias("c"))
-        sizes = placed.groupBy("key", "c").agg(F.count("*").alias("n"))
-        split = sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("main"), F.sum("n").alias("total"),
+            "key", "band", "id", "n", F.coalesce("u", "id").alias("c"))
+        sizes = placed.groupBy("key", "c").agg(
+            F.count("*").alias("n"), F.min_by("id", F.xxhash64(F.lit(tries), "id")).alias("other"))
+        split = sizes.groupBy("key").agg(F.max(F.struct("n", "c", "other")).alias("main"), F.sum("n").alias("total"),
                                          F.count("*").alias("parts")).filter("parts > 1")
-        rest = stored(placed.join(split.select("key", "main.c", "total").withColumnRenamed("c", "main"), "key"),
-                      "rest")
-        apart = rest.filter("c <> main")
+        split = stored(split.select("key", F.col("main.c").alias("main"), "main.other", "total"), "split")
+        # a bucket's main component is often nearly all of it, so only what is apart from it leaves the join
+        apart = stored(placed.join(split, "key").filter("c <> main").select("key", "id", "other", "total"), "apart")
         work = apart.agg(F.sum("total")).first()[0] or 0
         if not work:
             break
         exact = work <= most or tries == 6
         if exact:
+            rest = stored(placed.join(split.select("key", "main"), "key"), "rest")
             more = stored(_linked_in_blocks(rest, classes, docs, shingle, percent, rows), "links")
         else:
-            anchor = rest.filter("c = main").groupBy("key").agg(
-                F.min_by("id", F.xxhash64(F.lit(tries), "id")).alias("other"))
-            more = links_of(apart.join(anchor, "key").groupBy("id").agg(
+            more = links_of(apart.groupBy("id").agg(
                 F.min_by("other", F.xxhash64(F.lit(tries), "key")).alias("a")).select("a", F.col("id").alias("b")))
         found = more.count()
         if found:

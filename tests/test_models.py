@@ -179,6 +179,32 @@ def test_priority_model(spark, tmp_path):
         models.train_priority_model(rows.limit(0), stop_words=[])
 
 
+def test_forest_of_many_rows_is_fitted_in_parts(spark, monkeypatch, tmp_path):
+    """Few partitions for each part of the trees, all trees in one forest, and the whole rule as well learnt."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    fit, passed = RandomForestClassifier.fit, []
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, rows: passed.append(
+        (self.getNumTrees(), self.getSeed(), rows.rdd.getNumPartitions())) or fit(self, rows))
+    rows = triage_rows(spark, 400).repartition(8)
+    whole = models.train_priority_model(rows, stop_words=["the"], trees=20, max_depth=5)
+    assert [trees for trees, _, _ in passed] == [20]  # few rows: one fit
+    passed.clear()
+    monkeypatch.setattr(models, "FITTED_WHOLE", 100)
+    model = models.train_priority_model(rows, stop_words=["the"], trees=20, max_depth=5)
+    assert sorted(trees for trees, _, _ in passed) == [2] * 4 + [3] * 4
+    assert len({seed for _, seed, _ in passed}) == 8 and {tasks for _, _, tasks in passed} == {1}
+    one, two = whole.classifier.stages[0], model.classifier.stages[0]
+    assert two.getNumTrees == 20 and len({tree.toDebugString.split("\n", 1)[1] for tree in two.trees}) > 10
+    assert (two.numFeatures, two.numClasses) == (one.numFeatures, one.numClasses)
+    params = lambda f: {p.name: f.getOrDefault(p) for p in f.params if f.isDefined(p)}
+    assert params(two) == params(one)
+    assert rows_by(model.report, "class")["accuracy"]["f1"] > 0.9
+    models.save_priority_model(model, str(tmp_path))
+    again = models.load_priority_model(spark, str(tmp_path))
+    assert again.classifier.stages[0].toDebugString == two.toDebugString
+
+
 def test_forest_is_saved_tree_by_tree(spark, tmp_path):
     """No job gets all nodes from the driver; the loaded forest is the saved one, also over an older one."""
     for trees in (14, 12):

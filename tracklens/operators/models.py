@@ -2,7 +2,7 @@
 
 import json
 from dataclasses import dataclass
-from math import exp, factorial
+from math import ceil, exp, factorial
 from multiprocessing.pool import ThreadPool
 from uuid import uuid4
 
@@ -30,6 +30,9 @@ from tracklens.session import checkpoint_folder, cut_lineage, written
 SEED = 42
 TREES_TOGETHER = 4   # trees written at once
 FITTED_TOGETHER = 8  # trees on cells fitted at once
+FITTED_WHOLE = 10_000    # rows up to which one fit makes a whole forest
+ROWS_OF_A_TASK = 500_000  # rows one task holds for a part of a forest
+APART = 1_000_003    # between the seeds of parts; a partition adds its number to the seed
 # Chances that a row is drawn at most 0, 1, 2, ... times into a tree's bag: Poisson of mean 1.
 DRAWN = [sum(exp(-1) / factorial(k) for k in range(most + 1)) for most in range(13)]
 
@@ -353,16 +356,47 @@ def train_priority_model(training: DataFrame, *, stop_words: list[str], label: s
     weighted = train.join(F.broadcast(sizes), "label_index").withColumn(
         "class_weight", F.lit(float(classes.n)) / (classes.k * F.col("class_rows")))
     forest = RandomForestClassifier(
-        labelCol="label_index", weightCol="class_weight", numTrees=trees, maxDepth=max_depth,
-        seed=seed).fit(weighted)
+        labelCol="label_index", weightCol="class_weight", numTrees=trees, maxDepth=max_depth, seed=seed)
+    forest = _forest_in_parts(forest, weighted, classes.n or 0)
     names_back = IndexToString(inputCol="prediction", outputCol="predicted_priority",
                                labels=indexer.labels)
     classifier = PipelineModel([forest, names_back])
-    tested = classifier.transform(indexed.filter("part = 'test'"))
+    # Read more than once by the report; rows are scored once.
+    tested = cut_lineage(classifier.transform(indexed.filter("part = 'test'")).select(label, "predicted_priority"))
     report = classification_report(tested, label=label, prediction="predicted_priority")
     return PriorityModel(encoder, classifier, _keep(report), names)
 
 
+def _forest_in_parts(forest: RandomForestClassifier, train: DataFrame, rows: int) -> RandomForestClassificationModel:
+    """The forest, fitted as several smaller ones at the same time once there are many rows.
+
+    For each node every partition passes on figures of all bins and classes, however few of its
+    rows are in it. So a part of the trees is fitted on few partitions, bounded by rows, and other
+    parts on the same rows beside it keep the cores busy. A tree draws its bag alone and does not
+    see the others, so the parts' trees make one forest. They are joined as in ``_forest_of_cells``.
+    """
+    spark, trees = train.sparkSession, forest.getNumTrees()
+    tasks = ceil(rows / ROWS_OF_A_TASK)
+    parts = min(trees, spark.sparkContext.defaultParallelism // max(tasks, 1))
+    if rows <= FITTED_WHOLE or parts < 2:
+        return forest.fit(train)
+    few = train.select(forest.getLabelCol(), forest.getWeightCol(), forest.getFeaturesCol()).coalesce(tasks)
+    # "auto" would mean another share of the features for a part of one tree.
+    share = {"auto": "sqrt"}.get(forest.getFeatureSubsetStrategy(), forest.getFeatureSubsetStrategy())
+
+    def fit(part: int) -> RandomForestClassificationModel:
+        return forest.copy({
+            forest.numTrees: trees // parts + (part < trees % parts), forest.featureSubsetStrategy: share,
+            forest.seed: forest.getSeed() + part * APART}).fit(few)
+
+    with ThreadPool(parts) as pool:
+        fitted = pool.map(fit, range(parts), chunksize=1)
+    path = f"{checkpoint_folder(spark)}/forest-{uuid4().hex}"
+    _save_trees([tree for part in fitted for tree in part.trees], forest, RandomForestClassificationModel,
+                {"numFeatures": fitted[0].numFeatures, "numClasses": fitted[0].numClasses}, spark, path)
+    return RandomForestClassificationModel.load(f"{path}/forest")
+
+
 def priority_importance(model: PriorityModel, *, n: int = 10) -> DataFrame:
     """The most important terms and numbers."""
     return _importances(model.report.sparkSession, model.feature_names,

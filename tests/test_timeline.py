@@ -49,6 +49,55 @@ def test_labels_at_closings(spark, slice_days):
                    (1, 9): ("closed", ["bug", "docs"]), (2, 1): ("open", [])}
 
 
+@SLICES
+def test_labels_at_closings_of_many_labels_and_equal_rows(spark, slice_days):
+    """By brute force, with more labels than bits in a number, equal times and equal closings."""
+    rng = random.Random(11)
+    rows = []
+    for issue, labels, n in ((1, 150, 700), (2, 3, 120), (3, 62, 200), (4, 63, 200)):
+        for pos in range(n):
+            kind = rng.choice(["labeled", "labeled", "unlabeled", "closed", "reopened"])
+            label = rng.choice([f"l{rng.randrange(labels)}", None]) if "label" in kind else None
+            rows.append((issue, rng.choice([pos, None, 7]), kind, rng.choice([at(rng.randrange(0, 3000, 10)), None]), label))
+    rows += rng.choices([r for r in rows if r[2] == "closed"], k=20)
+    rows += [(None, 1, "closed", at(1), None)]
+    events = spark.createDataFrame(rows, "issue_number bigint, pos bigint, event_type string, event_date timestamp, label string")
+    got = timeline.labels_at_closings(events, slice_days=slice_days).collect()
+    low = lambda pos: -1 if pos is None else pos
+    dated = [r for r in rows if r[0] is not None and r[3] is not None]
+    closings = [r for r in dated if r[2] == "closed"]
+    wanted = []
+    for issue, pos, _, when, _ in closings:
+        past = [r for r in dated if r[0] == issue and r[3] < when]
+        last = max(((r[3], low(r[1]), r[2] == "reopened") for r in past if r[2] in ("closed", "reopened")), default=(0, 0, True))
+        held = {}
+        for r in sorted((r for r in past if r[4]), key=lambda r: (r[3], low(r[1]), r[2] == "labeled")):
+            held[r[4]] = r[2] == "labeled"
+        copies = sum(c[:2] == (issue, pos) and c[3] == when for c in closings)
+        labels = [] if pos is None else sorted(x for x, h in held.items() for _ in range(copies) if h)
+        wanted.append((issue, low(pos), when, "open" if last[2] else "closed", labels))
+    assert sorted((r.issue_number, low(r.pos), r.closed_at, r.state, r.labels) for r in got) == sorted(wanted)
+
+
+def most_rows(node):
+    """The most rows that one step of a plan made when it ran."""
+    inner = {"AdaptiveSparkPlanExec": "executedPlan"}.get(node.getClass().getSimpleName(), "plan")
+    steps = [getattr(node, inner)()] if "Adaptive" in node.getClass().getName() else []
+    steps += [node.children().apply(n) for n in range(node.children().size())]
+    own = node.metrics().get("numOutputRows")
+    return max([own.get().value() if own.isDefined() else 0, *map(most_rows, steps)])
+
+
+def test_closings_are_not_multiplied_by_labels(spark):
+    events = spark.range(1200).selectExpr(
+        "id % 2 AS issue_number", "id AS pos", "if(id % 4 < 2, 'closed', 'labeled') AS event_type",
+        "timestamp'2024-01-01' + make_dt_interval(0, 0, CAST(id AS int)) AS event_date",
+        "if(id % 4 < 2, NULL, concat('l', id div 4 % 40)) AS label")
+    found = timeline.labels_at_closings(events)
+    assert len(found.collect()) == 600
+    assert most_rows(found._jdf.queryExecution().executedPlan()) < 3 * 1200
+
+
 @SLICES
 def test_open_together(spark, slice_days):
     rng = random.Random(2)

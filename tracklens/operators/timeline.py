@@ -14,6 +14,7 @@ from tracklens.operators.closures import with_resolution
 from tracklens.operators.filters import close_events
 
 SLICE_DAYS = 30
+BITS = 62  # labels in one number
 
 
 def _slice(time: str, days: float) -> str:
@@ -68,24 +69,66 @@ def labels_at_closings(events: DataFrame, *, slice_days: float = SLICE_DAYS) ->
     state is ``closed`` after a closed event and ``open`` after a reopened one or none.
     Undated events are left out.
     """
-    dated = events.filter("event_date IS NOT NULL AND issue_number IS NOT NULL")
-    closings = close_events(dated).selectExpr("issue_number", "pos", "event_date AS closed_at")
-    states = dated.filter("event_type IN ('closed', 'reopened')").selectExpr(
-        "issue_number", "event_date", "pos AS state_pos", "if(event_type = 'closed', 'closed', 'open') AS state")
-    stood = as_of(closings, states, keys=["issue_number"], time="closed_at", right_time="event_date",
-                  values=["state"], order="state_pos", strict=True, slice_days=slice_days)
-
+    dated = events.filter("event_date IS NOT NULL AND issue_number IS NOT NULL").withColumn(
+        "_slice", F.expr(_slice("event_date", slice_days)))
     marks = dated.filter("event_type IN ('labeled', 'unlabeled') AND label IS NOT NULL").selectExpr(
-        "issue_number", "label", "event_date", "pos AS mark_pos", "event_type = 'labeled' AS holds")
-    # An issue's closings beside each label it ever had.
-    ever = marks.select("issue_number", "label").distinct()
-    held = as_of(closings.join(ever, "issue_number"), marks, keys=["issue_number", "label"], time="closed_at",
-                 right_time="event_date", values=["holds"], order="mark_pos", strict=True, slice_days=slice_days)
-    labels = held.filter("holds").groupBy("issue_number", "pos", "closed_at").agg(
-        F.expr("sort_array(collect_list(label)) AS labels"))
-    return stood.join(labels, ["issue_number", "pos", "closed_at"], "left").selectExpr(
-        "issue_number", "pos", "closed_at", "coalesce(state, 'open') AS state",
-        "coalesce(labels, CAST(array() AS array<string>)) AS labels")
+        "issue_number", "label", "_slice", "event_date", "pos", "event_type = 'labeled' AS holds")
+    # An issue's labels are bits of words, so a closing needs a row per word and not one per label.
+    names = marks.select("issue_number", "label").distinct().groupBy("issue_number").agg(
+        F.expr("sort_array(collect_list(label)) AS names"))
+    words = f"explode(sequence(0, coalesce((size(names) - 1) div {BITS}, 0L))) AS word"
+    placed = marks.join(names, "issue_number").selectExpr(
+        "*", "array_position(names, label) - 1 AS place").selectExpr(
+        "issue_number", "_slice", f"place div {BITS} AS word", f"shiftleft(1L, CAST(place % {BITS} AS int)) AS bit",
+        "event_date", "pos", "holds")
+    states = dated.filter("event_type IN ('closed', 'reopened')").selectExpr(
+        "issue_number", "_slice", "0L AS word", "event_date", "1 AS _turn",
+        "struct(event_date AS at, pos, event_type <> 'closed' AS open) AS state")
+    # Equal closings go on as one row.
+    closings = close_events(dated).join(names.select("issue_number", "names"), "issue_number", "left").selectExpr(
+        "issue_number", "_slice", words, "event_date", "0 AS _turn", "pos").groupBy(
+        "issue_number", "_slice", "word", "event_date", "_turn", "pos").agg(F.expr("count(1) AS copies"))
+
+    # Inside a slice: the labels it has marked so far, and those of them that hold, as the xor of all turns.
+    own = ["issue_number", "word", "bit"]
+    turns = placed.selectExpr("*", f"lag(holds) OVER ({_partition([*own, '_slice'])} ORDER BY event_date, pos, holds) AS held"
+                              ).filter("held IS NULL OR held <> holds").selectExpr(
+        "issue_number", "_slice", "word", "event_date", "1 AS _turn", "if(held IS NULL, bit, 0L) AS marked",
+        "if(coalesce(held, false) <> holds, bit, 0L) AS turned")
+    both = closings.unionByName(states, allowMissingColumns=True).unionByName(turns, allowMissingColumns=True)
+    within = (f"OVER ({_partition(['issue_number', 'word', '_slice'])} ORDER BY event_date, _turn, state "
+              "ROWS UNBOUNDED PRECEDING)")
+    inside = both.selectExpr(
+        "issue_number", "_slice", "word", "_turn", "event_date", "pos", "copies", f"bit_or(marked) {within} AS marked",
+        f"bit_xor(turned) {within} AS held", f"last(state, true) {within} AS state").filter("_turn = 0").drop("_turn")
+
+    # What earlier slices leave behind: one row per slice with closings and word.
+    ends = placed.groupBy(*own, "_slice").agg(F.expr("max_by(holds, struct(event_date, pos, holds)) AS holds")).selectExpr(
+        "*", f"lag(holds, 1, false) OVER ({_partition(own)} ORDER BY _slice) AS held").filter("held <> holds").groupBy(
+        "issue_number", "word", "_slice").agg(F.expr("bit_xor(bit) AS turned"))
+    slices = states.groupBy("issue_number", "_slice").agg(F.expr("max(state) AS state")).join(
+        names, "issue_number", "left").selectExpr("issue_number", "_slice", "state", words, "true AS asked")
+    before = (f"OVER ({_partition(['issue_number', 'word'])} ORDER BY _slice "
+              "RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    carried = slices.unionByName(ends, allowMissingColumns=True).selectExpr(
+        "issue_number", "_slice", "word", "asked", f"coalesce(bit_xor(turned) {before}, 0L) AS held_before",
+        f"last(state, true) {before} AS state_before").filter("asked").drop("asked")
+    found = inside.join(carried, ["issue_number", "_slice", "word"]).selectExpr(
+        "issue_number", "pos", "event_date AS closed_at", "copies", "word", "coalesce(state, state_before).open AS open",
+        "coalesce(held, 0L) | (held_before & ~coalesce(marked, 0L)) AS held")
+
+    # Without a place in the timeline no label is found; equal closings find each as often as they are.
+    chosen = (f"filter(slice(names, CAST(word * {BITS} AS int) + 1, {BITS}), "
+              "(name, place) -> pos IS NOT NULL AND held & shiftleft(1L, place) <> 0)")
+    repeated = f"flatten(transform({chosen}, name -> array_repeat(name, CAST(copies AS int))))"
+    named = found.join(names, "issue_number", "left")
+    columns = ["issue_number", "pos", "closed_at"]
+    few = named.filter(f"names IS NULL OR size(names) <= {BITS}").selectExpr(*columns, "copies", "open", f"{repeated} AS labels")
+    many = named.filter(f"size(names) > {BITS}").selectExpr("*", f"{repeated} AS part").groupBy(*columns, "copies").agg(
+        F.expr("max_by(open, -word) AS open"), F.expr("sort_array(flatten(collect_list(part))) AS labels"))
+    return few.unionByName(many.select(few.columns)).selectExpr(
+        *columns, "if(coalesce(open, true), 'open', 'closed') AS state",
+        "coalesce(labels, CAST(array() AS array<string>)) AS labels", "explode(sequence(1L, copies))").drop("col")
 
 
 def running_sums(changes: DataFrame, *, key: str, time: str, values: list[str],

@@ -96,3 +96,17 @@ def rows_by(df, *keys):
         assert key not in out
         out[key] = row.asDict()
     return out
+
+
+def most_rows(df, kind=""):
+    """The most rows that one step, of a ``kind`` if told, made in the plan of a frame that has run."""
+    def most(node):
+        name = node.getClass().getSimpleName()
+        steps = [node.children().apply(n) for n in range(node.children().size())]
+        if name == "AdaptiveSparkPlanExec":
+            steps.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            steps.append(node.plan())
+        made = node.metrics().get("numOutputRows") if kind in name else None
+        return max([made.get().value() if made and made.isDefined() else 0, *map(most, steps)])
+    return most(df._jdf.queryExecution().executedPlan())

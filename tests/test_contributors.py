@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from tests.frames import contributors_case, events_of, issues_of, rows_by
+from tests.frames import contributors_case, events_of, issues_of, most_rows, rows_by
 from tracklens.functions.columns import day_hour, whole_days
 from tracklens.operators import contributors, filters
 
@@ -57,6 +57,16 @@ def test_commenters_ignore_null_authors(spark):
     assert [r["n_unique_commenters"] for _, r in sorted(rows.items())] == [2, 0]
 
 
+def test_commenters_of_other_issues_are_not_kept(spark):
+    issues = issues_of(spark, [(1, "a", ["docs"], "open", "", "", "2023-01-01 00:00", None)])
+    events = spark.range(1000).selectExpr(
+        "id % 50 AS issue_number", "id AS pos", "'commented' AS event_type", "concat('u', id) AS author",
+        "timestamp '2023-01-02 00:00:00' AS event_date")
+    found = contributors.unique_commenters(issues, events)
+    assert [r.n_unique_commenters for r in found.collect()] == [20]
+    assert 0 < most_rows(found, "HashAggregate") <= 20
+
+
 def test_activity_by_year_and_top(case):
     feed = contributors.activity(*case)
     counts = {k: r["activity"] for k, r in rows_by(

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from tests.frames import events_of, issues_of
+from tests.frames import events_of, issues_of, most_rows
 from tracklens.operators import timeline
 
 T0 = datetime(2024, 1, 1)
@@ -79,15 +79,6 @@ def test_labels_at_closings_of_many_labels_and_equal_rows(spark, slice_days):
     assert sorted((r.issue_number, low(r.pos), r.closed_at, r.state, r.labels) for r in got) == sorted(wanted)
 
 
-def most_rows(node):
-    """The most rows that one step of a plan made when it ran."""
-    inner = {"AdaptiveSparkPlanExec": "executedPlan"}.get(node.getClass().getSimpleName(), "plan")
-    steps = [getattr(node, inner)()] if "Adaptive" in node.getClass().getName() else []
-    steps += [node.children().apply(n) for n in range(node.children().size())]
-    own = node.metrics().get("numOutputRows")
-    return max([own.get().value() if own.isDefined() else 0, *map(most_rows, steps)])
-
-
 def test_closings_are_not_multiplied_by_labels(spark):
     events = spark.range(1200).selectExpr(
         "id % 2 AS issue_number", "id AS pos", "if(id % 4 < 2, 'closed', 'labeled') AS event_type",
@@ -95,7 +86,7 @@ def test_closings_are_not_multiplied_by_labels(spark):
         "if(id % 4 < 2, NULL, concat('l', id div 4 % 40)) AS label")
     found = timeline.labels_at_closings(events)
     assert len(found.collect()) == 600
-    assert most_rows(found._jdf.queryExecution().executedPlan()) < 3 * 1200
+    assert most_rows(found) < 3 * 1200
 
 
 @SLICES

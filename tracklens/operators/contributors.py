@@ -184,14 +184,13 @@ def issues_of_top_requesters(issues: DataFrame, *, n: int = 10) -> DataFrame:
 def unique_commenters(issues: DataFrame, events: DataFrame) -> DataFrame:
     """Distinct commenters per issue and month, for the given issues.
 
-    Comments are reduced to one row per issue and month before the issues are
-    joined, so a much discussed issue is never gathered.
+    Comments on other issues are left out first, so a task keeps no commenters of
+    them; a much discussed issue is split by the adaptive skew join.
     """
-    people = comment_events(events).filter("event_date IS NOT NULL").selectExpr(
+    comments = of_issues(comment_events(events).filter("event_date IS NOT NULL"), issues)
+    people = comments.selectExpr(
         "issue_number", "date_trunc('month', event_date) AS month", "author").distinct()
-    counts = people.groupBy("issue_number", "month").agg(
-        F.expr("count(author) AS n_unique_commenters"))
-    return of_issues(counts, issues).select("issue_number", "month", "n_unique_commenters")
+    return people.groupBy("issue_number", "month").agg(F.expr("count(author) AS n_unique_commenters"))
 
 
 def docs_issues_by_month(issues: DataFrame) -> DataFrame:

@@ -13,10 +13,12 @@ from tracklens.functions.columns import one_of, words_of
 from tracklens.session import written
 
 VOCABULARY_SIZE = 300
-SPLIT = 100_000   # texts with a term that one task goes through for it
+SPLIT = 100_000   # texts, and queries, that one task goes through
 MARGIN = 1e-8     # above what rounding to nine places can move a score
-DENSE = 4         # terms of a query the average text has, from where on pairs are multiplied in blocks
+DENSE = 4         # terms of a query the average text has, from where on none of them is left out
 CELLS = 2_400_000  # numbers in the matrix of a block of texts
+ROUGH = 2.0 ** -23  # times the terms: above what single precision can move a score
+FEW = 20          # one in so many pairs is multiplied alone, more as a block
 
 
 def terms(texts: DataFrame, *, stop_words: list[str], text_col: str = "feature_text",
@@ -40,15 +42,17 @@ class TermWeights:
     """
 
     def __init__(self, texts: DataFrame, *, size: int = VOCABULARY_SIZE, stop_words: list[str],
-                 text_col: str = "feature_text", key: str = "number"):
+                 text_col: str = "feature_text", key: str = "number",
+                 keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df):
+        """``keep``: gets each frame that others are made from, and its name; may write it once."""
         self.key, self.text_col, self.stop_words = key, text_col, stop_words
         occurrences = terms(texts, stop_words=stop_words, text_col=text_col, key=key)
-        self.vocabulary = vocabulary(occurrences, size=size).select("term")
-        self.counts = self._count(occurrences)
+        self.vocabulary = keep(vocabulary(occurrences, size=size).select("term"), "vocabulary")
+        self.counts = keep(self._count(occurrences), "counts")
         documents = texts.agg(F.expr("count(1)")).scalar()
         frequency = self.counts.groupBy("term").agg(F.expr("count(1) AS df"))
-        self.idf = frequency.withColumn("documents", documents).selectExpr(
-            "term", "ln((1D + documents) / (1D + df)) + 1D AS idf")
+        self.idf = keep(frequency.withColumn("documents", documents).selectExpr(
+            "term", "ln((1D + documents) / (1D + df)) + 1D AS idf"), "idf")
 
     def _count(self, occurrences: DataFrame) -> DataFrame:
         return occurrences.join(F.broadcast(self.vocabulary), "term").groupBy(
@@ -65,10 +69,13 @@ class TermWeights:
         """key, term, tf, weight with unit length per text; terms present only."""
         return self._weigh(self.counts)
 
+    def counts_of(self, texts: DataFrame) -> DataFrame:
+        """key, term, tf of other texts; terms of this vocabulary only."""
+        return self._count(terms(texts, stop_words=self.stop_words, text_col=self.text_col, key=self.key))
+
     def weights_of(self, texts: DataFrame) -> DataFrame:
         """Weights of other texts by this vocabulary and these frequencies."""
-        return self._weigh(self._count(terms(
-            texts, stop_words=self.stop_words, text_col=self.text_col, key=self.key)))
+        return self._weigh(self.counts_of(texts))
 
 
 def tfidf(texts: DataFrame, *, stop_words: list[str], size: int = VOCABULARY_SIZE,
@@ -102,75 +109,130 @@ def find_similar_issues(closed: DataFrame, text: str, *, stop_words: list[str],
     return found.orderBy(F.desc("similarity"), "number")
 
 
-def _score_pairs(pairs: DataFrame, wanted: DataFrame, index: DataFrame) -> DataFrame:
-    """Whole scores of (query, number) pairs: a pair meets only the terms of its own texts."""
-    return pairs.join(wanted, "query").join(index, ["number", "term"]).groupBy("query", "number").agg(
-        F.expr("sum(weight * asked_weight) AS score"))
-
-
 def _nearest(scores: DataFrame, n: int) -> DataFrame:
     """First ``n`` per query; each task keeps ``n`` per query before the shuffle."""
     return scores.selectExpr("*", "row_number() OVER (PARTITION BY query ORDER BY score DESC, number) "
                              "AS rank").filter(F.col("rank") <= n)
 
 
-def _matrix(rows: pa.Table, size: int) -> np.ndarray:
-    """Texts with lists of places and weights, one row each."""
-    places = rows["places"].combine_chunks()
-    lengths = pc.list_value_length(places).to_numpy(zero_copy_only=False)
-    out = np.zeros((rows.num_rows, size))
-    out[np.repeat(np.arange(rows.num_rows), lengths), places.flatten().to_numpy()] = (
-        rows["weights"].combine_chunks().flatten().to_numpy())
+def _packed(counts: DataFrame, places: DataFrame, *more: str) -> DataFrame:
+    """One row per text: its terms' places, rarest first, how often it has them, and the length of its vector."""
+    return counts.join(F.broadcast(places), "term").groupBy("number").agg(
+        F.expr("sort_array(collect_list(struct(place, CAST(tf AS int) AS tf))) AS held"),
+        F.expr("sqrt(sum(tf * idf * tf * idf)) AS norm"), *map(F.expr, more)).selectExpr(
+        "*", "held.place AS places", "held.tf AS tfs").drop("held")
+
+
+def _unpacked(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """One row per term of a packed text, with its weight."""
+    pairs = texts.withColumn("held", F.expr("explode(arrays_zip(places, tfs))"))
+    return pairs.selectExpr(*[c for c in texts.columns if c not in ("places", "tfs")], "held.places AS place", "held.tfs AS tf").join(
+        F.broadcast(places), "place").withColumn("weight", F.expr("tf * idf / norm"))
+
+
+def _flat(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of each element."""
+    lists = lists.combine_chunks()
+    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(lists)), lengths), lists.flatten().to_numpy(zero_copy_only=False)
+
+
+def _matrix(rows: pa.Table, idf: np.ndarray) -> np.ndarray:
+    """Weights of packed texts, one row each."""
+    (at, place), (_, tf) = _flat(rows["places"]), _flat(rows["tfs"])
+    out = np.zeros((rows.num_rows, len(idf)))
+    out[at, place] = tf * idf[place] / rows["norm"].to_numpy()[at]
     return out
 
 
-def _best_of_block(k: int, size: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _first(k: int, at: np.ndarray, text: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The ``k`` best of each query, ties by place of the text, and their ranks from 0 on."""
+    order = np.lexsort((text, -score, at))
+    at = at[order]
+    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]][:len(at)])
+    rank = np.arange(len(at)) - np.repeat(starts, np.diff(np.r_[starts, len(at)]))
+    good = rank < k
+    return at[good], text[order][good], score[order][good], rank[good]
+
+
+def _reaching(left: np.ndarray, looked: np.ndarray, exact: np.ndarray, right: np.ndarray, has: np.ndarray,
+              beat: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Query, text and score, to nine places, of the pairs that reach what the query has to beat.
+
+    Pairs that cannot, by a product in single precision and its greatest error, are left
+    out; the others are multiplied again in full. ``looked``: each query's terms without which no
+    text reaches; texts with none of them are not multiplied.
+    """
+    used = np.flatnonzero(left.any(axis=0))
+    some = np.flatnonzero(has[looked.any(axis=0)].any(axis=0))
+    if 2 * len(some) < len(exact):
+        rough = left[:, used].astype(np.float32) @ right[np.ix_(used, some)]
+        exact = exact[some]
+    else:
+        some = np.arange(len(exact))
+        rough = left[:, used].astype(np.float32) @ right[used]
+    least = np.maximum(beat - MARGIN - ROUGH * (left.shape[1] + 4), np.finfo(np.float32).tiny)
+    near = rough >= least.astype(np.float32)[:, None]
+    at, text = np.nonzero(near)
+    if len(at) * FEW > near.size:
+        score = (left @ exact.T)[near]
+    else:
+        step = max(1, CELLS // left.shape[1])
+        score = np.concatenate([np.zeros(0), *(
+            np.einsum("ij,ij->i", left[at[i:i + step]], exact[text[i:i + step]]) for i in range(0, len(at), step))])
+    score = np.round(score, 9)
+    good = (score > 0) & (score >= beat[at])
+    return at[good], some[text[good]], score[good]
+
+
+def _best_of_block(k: int, idf: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def best(asked: pa.Table, texts: pa.Table) -> pa.Table:
-        """The ``k`` best texts of a block for each query of another, ties by number."""
+        """The ``k`` best texts of a cell for each of its queries, ties by number; none with a score of 0 or under ``least``."""
         texts = texts.take(pc.sort_indices(texts, [("number", "ascending")], null_placement="at_start"))
-        left, right = _matrix(asked, size), _matrix(texts, size).T
-        queries, found, scores = [], [], []
-        step = max(1, CELLS // max(1, texts.num_rows))
-        for start in range(0, len(left), step):
-            block = np.round(left[start:start + step] @ right, 9)
-            last = block.shape[1] - min(k, block.shape[1])
-            least = np.partition(block, last, axis=1)[:, last] if block.shape[1] else []
-            for place, (row, least_) in enumerate(zip(block, least), start):
-                good = np.flatnonzero(row >= least_)
-                good = good[np.argsort(-row[good], kind="stable")[:k]]
-                queries.append(np.full(len(good), place))
-                found.append(good)
-                scores.append(row[good])
-        joined = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
-        return pa.table({"query": asked["query"].take(pa.array(joined(queries, np.int64))),
-                         "number": texts["number"].take(pa.array(joined(found, np.int64))),
-                         "score": pa.array(joined(scores, np.float64))})
+        asked = asked.take(pc.sort_indices(asked, [("lead", "ascending")]))  # queries of like terms side by side
+        beat = asked["least"].to_numpy() - MARGIN
+        rows = max(1, CELLS // len(idf))
+        step = max(1, CELLS // rows)
+        held = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for start in range(0, texts.num_rows, rows):
+            exact = _matrix(texts.slice(start, rows), idf)
+            right = np.ascontiguousarray(exact.T, np.float32)
+            has, found = right > 0, [held]
+            for first in range(0, asked.num_rows, step):
+                part = asked.slice(first, step)
+                left = _matrix(part, idf)
+                looked = left > 0
+                looked[_flat(part["idle"])] = False
+                at, text, score, _ = _first(k, *_reaching(left, looked, exact, right, has, beat[first:first + step]))
+                found.append((at + first, text + start, score))
+            *held, rank = _first(k, *map(np.concatenate, zip(*found)))
+            full = rank == k - 1
+            beat[held[0][full]] = np.maximum(beat[held[0][full]], held[2][full])
+        at, text, score = held
+        return pa.table({"query": asked["query"].take(pa.array(at)), "number": texts["number"].take(pa.array(text)),
+                         "score": pa.array(score)})
     return best
 
 
-def _best_in_blocks(wanted: DataFrame, index: DataFrame, terms_: DataFrame, *, k: int, size: int) -> DataFrame:
+def _best_in_blocks(asked: DataFrame, texts: DataFrame, idf: np.ndarray, *, k: int, split: int) -> DataFrame:
     """Scores of each query's ``k`` best texts at least, from products of blocks of queries and texts.
 
-    Every pair is scored whole; of a block only ``k`` rows per query leave it.
+    A task has a group of queries and one of texts, packed, and multiplies them block by
+    block. Only groups are copied: queries once per group of texts, texts once per group of
+    queries. Of a task only ``k`` rows per query leave it, none under the query's ``least``.
     """
-    places = F.broadcast(terms_.selectExpr("term", "row_number() OVER (ORDER BY term) - 1 AS place"))
-
-    def packed(rows: DataFrame, key: str, weight: str, kind: str) -> tuple[DataFrame, int]:
-        texts = written(rows.join(places, "term").groupBy(key).agg(F.expr(
-            f"collect_list(struct(place, {weight} AS weight)) AS held")).selectExpr(
-            key, "held.place AS places", "held.weight AS weights"), kind)
-        return texts, max(1, ceil(texts.count() * size / CELLS))
-
-    asked, asked_blocks = packed(wanted, "query", "asked_weight", "asked")
-    texts, text_blocks = packed(index, "number", "weight", "texts")
-    dealt = lambda key, blocks: f"pmod(xxhash64({key}), {blocks})"
-    left = asked.selectExpr("*", f"{dealt('query', asked_blocks)} AS a",
-                            f"explode(sequence(0L, {text_blocks - 1}L)) AS b")
-    right = texts.selectExpr("*", f"explode(sequence(0L, {asked_blocks - 1}L)) AS a",
-                             f"{dealt('number', text_blocks)} AS b")
+    context, many = texts.sparkSession.sparkContext, texts.count()
+    asked_groups = max(1, ceil(asked.count() / split))
+    blocks, tasks = ceil(many * len(idf) / CELLS), ceil(4 * context.defaultParallelism / asked_groups)
+    text_groups = max(1, ceil(many / split), min(blocks, tasks))
+    dealt = lambda key, groups: f"pmod(xxhash64({key}), {groups})"
+    left = asked.selectExpr("query", "places", "tfs", "norm", "places[0] AS lead", "idle", "least",
+                            f"{dealt('query', asked_groups)} AS a", f"explode(sequence(0L, {text_groups - 1}L)) AS b")
+    right = texts.selectExpr("number", "places", "tfs", "norm", f"explode(sequence(0L, {asked_groups - 1}L)) AS a",
+                             f"{dealt('number', text_groups)} AS b")
     number, query = texts.schema["number"].dataType, asked.schema["query"].dataType
     return left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(
-        _best_of_block(k, size), f"query {query.simpleString()}, number {number.simpleString()}, score double")
+        _best_of_block(k, idf), f"query {query.simpleString()}, number {number.simpleString()}, score double")
 
 
 def find_similar_for_each(queries: DataFrame, closed: DataFrame, *, stop_words: list[str], k: int = 5,
@@ -178,66 +240,54 @@ def find_similar_for_each(queries: DataFrame, closed: DataFrame, *, stop_words:
                           split: int = SPLIT) -> DataFrame:
     """For each row of ``queries`` (number, text) the ``k`` closed issues closest to it: query, rank, number, similarity.
 
-    The same rows as :func:`find_similar_issues` for each text, found through an inverted
-    index: texts and queries meet on terms, never as pairs of all. A term's weight in any
-    text is bounded, and so is what it can add to a query's scores. The rarest terms of a query
-    give it ``k`` good texts and with them a score to beat; its commonest terms that together
-    cannot reach that score are then not looked up, and a text that meets the others but
-    cannot reach it with all the rest is dropped before the rest is added. Nothing that
-    could be among the ``k`` is lost. A term that more than ``split`` texts have is dealt out
-    to several tasks. Texts that share no term with a query have 0 and follow by number;
-    several rows of one query number are one text.
+    The same rows as :func:`find_similar_issues` for each text. Texts and queries are packed,
+    one row each, and meet in groups of at most ``split``, whose pairs are scored where they
+    meet: no row per pair, or per pair and term, is ever written. A term's weight in any
+    text is bounded, and so is what it can add to a query's scores. The texts that hold each
+    term heaviest, ``k`` per term, give a query a score to beat. Its commonest terms that together
+    cannot reach that score are then not looked up: a text that has no other term of it
+    is left out. Nothing that could be among the ``k`` is lost. Texts that share no term
+    with a query have 0 and follow by number; several rows of one query number are one text.
 
     A query of common terms meets most texts, on many terms each. Where its terms are held
-    more than ``DENSE`` times per text, it is scored in products of blocks instead of joins.
+    more than ``DENSE`` times per text, all of them are looked up.
     """
-    fitted = TermWeights(closed, size=size, stop_words=stop_words, text_col=text_col)
-    index = written(fitted.weights().select("number", "term", "weight"), "index")
-    wanted = fitted.weights_of(queries.select("number", text_col))
-    wanted = wanted.selectExpr("number AS query", "term", "weight AS asked_weight")
-    # At most ``size`` rows: how many texts have a term, and its greatest weight in any.
-    terms_ = F.broadcast(index.groupBy("term").agg(
-        F.expr("count(1) AS df"), F.expr("max(weight) AS most")))
-    wanted = written(wanted.join(terms_, "term").selectExpr(
-        "query", "term", "asked_weight", "df", "asked_weight * most AS bound"), "wanted")
+    fitted = TermWeights(closed, size=size, stop_words=stop_words, text_col=text_col, keep=written)
+    # At most ``size`` rows, as are those of ``terms_`` below.
+    places = written(fitted.idf.selectExpr("term", "idf", "row_number() OVER (ORDER BY idf DESC, term) - 1 AS place"), "places")
+    idf = np.array([row.idf for row in places.orderBy("place").collect()])
+    texts = written(_packed(fitted.counts, places), "texts")
+    weights = _unpacked(texts, places)
+    # How many texts have a term, and its greatest weight in any.
+    terms_ = written(places.join(weights.groupBy("term").agg(
+        F.expr("count(1) AS df"), F.expr("max(weight) AS most")), "term"), "terms")
 
     documents = closed.agg(F.expr("count(1)")).scalar()
-    weighed = written(wanted.withColumn("documents", documents).selectExpr(
-        "*", f"sum(df) OVER (PARTITION BY query) > {DENSE} * documents AS dense"), "weighed")
-    dense = _best_in_blocks(weighed.filter("dense AND query IS NOT NULL"), index, terms_, k=k, size=size)
-    wanted = weighed.filter("NOT dense").drop("documents", "dense")
-
-    parts = f"CAST(ceil(df / {split}D) AS int)"
-    dealt = index.join(terms_, "term").selectExpr(
-        "number", "term", "weight", f"pmod(hash(number), {parts}) AS part")
-
-    def meet(chosen: DataFrame) -> DataFrame:
-        """Sums over the chosen terms of each query, per text that has any of them."""
-        sides = chosen.selectExpr("query", "term", "asked_weight", f"explode(sequence(0, {parts} - 1)) AS part")
-        return sides.join(dealt, ["term", "part"]).groupBy("query", "number").agg(
-            F.expr("sum(weight * asked_weight) AS score"))
-
-    # The rarest terms that k texts have between them, and whole scores of the best by those.
-    rarest = wanted.selectExpr("*", "sum(df) OVER (PARTITION BY query ORDER BY df, term) - df AS before").filter(
-        F.col("before") < k)
-    first = _nearest(meet(rarest), 4 * k).select("query", "number")
-    beat = _nearest(_score_pairs(first, wanted.select("query", "term", "asked_weight"), index), k).groupBy(
-        "query").agg(F.expr(f"if(count(1) = {k}, min(score), 0D) AS beat"))
-    beaten = wanted.join(beat, "query", "left").selectExpr(
-        "*", "coalesce(beat, 0D) AS least",
-        "sum(bound) OVER (PARTITION BY query ORDER BY bound, term) AS reach")
-    beaten = written(beaten.selectExpr("*", f"reach < least - {MARGIN} AS idle"), "bounds")
-    rest = beaten.groupBy("query").agg(
-        F.expr("max(least) AS least"), F.expr("coalesce(sum(bound) FILTER (WHERE idle), 0D) AS rest"))
-    met = meet(beaten.filter("NOT idle")).join(rest, "query").filter(f"score + rest >= least - {MARGIN}")
-    idle = beaten.filter("idle").select("query", "term", "asked_weight")
-    more = _score_pairs(met.select("query", "number"), idle, index).select("query", "number", "score")
+    asked = written(_packed(fitted.counts_of(queries.select("number", text_col)), terms_, "sum(df) AS met").filter(
+        "number IS NOT NULL").withColumn("documents", documents).selectExpr(
+        "number AS query", "places", "tfs", "norm", f"met > {DENSE} * documents AS dense"), "asked")
+
+    # At most ``k * size`` texts, and whole scores of the best of them.
+    heaviest = weights.selectExpr("number", "row_number() OVER (PARTITION BY term ORDER BY weight DESC, number) AS place")
+    heaviest = texts.join(F.broadcast(heaviest.filter(F.col("place") <= k).select("number").distinct()), "number")
+    free = asked.selectExpr("*", "CAST(array() AS array<int>) AS idle", "0D AS least")
+    beat = _nearest(_best_in_blocks(free, heaviest, idf, k=k, split=split), k).groupBy("query").agg(
+        F.expr(f"if(count(1) = {k}, min(score), 0D) AS least"))
+    scored = written(asked.join(beat, "query", "left").withColumn("least", F.expr("coalesce(least, 0D)")), "least")
+
+    # What a query's commonest terms can add together.
+    bounds = _unpacked(scored.filter("NOT dense"), terms_).selectExpr(
+        "query", "term", "place", "least", "weight * most AS bound").selectExpr(
+        "*", "sum(bound) OVER (PARTITION BY query ORDER BY bound, term) AS reach")
+    bounds = written(bounds.selectExpr("*", f"reach < least - {MARGIN} AS idle"), "bounds")
+    idle = bounds.filter("idle").groupBy("query").agg(F.expr("collect_list(place) AS idle"))
+    scored = scored.join(idle, "query", "left").withColumn("idle", F.expr("coalesce(idle, CAST(array() AS array<int>))"))
+    best = _best_in_blocks(scored, texts, idf, k=k, split=split)
 
     # Whoever meets fewer than k texts goes on with the smallest numbers.
     lowest = closed.select("number").distinct().orderBy("number").limit(k).agg(
         F.expr("collect_list(number)")).scalar()
     every = queries.selectExpr("number AS query").distinct().withColumn("number", F.explode(lowest)).selectExpr(
         "query", "number", "0D AS score")
-    scores = met.select("query", "number", "score").unionByName(more).unionByName(dense).unionByName(every).groupBy(
-        "query", "number").agg(F.expr("round(sum(score), 9) AS score"))
+    scores = best.unionByName(every).groupBy("query", "number").agg(F.expr("round(sum(score), 9) AS score"))
     return _nearest(scores, k).selectExpr("query", "rank", "number", "score AS similarity")

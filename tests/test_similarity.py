@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.frames import rows_by
@@ -125,6 +127,59 @@ def test_bounds_leave_terms_out(spark, monkeypatch):
     assert {(900, "common"), (900, "shared"), (901, "common")} <= idle
 
 
+@pytest.mark.parametrize("split", [100_000, 50])
+def test_no_row_per_pair_leaves_a_group(spark, monkeypatch, split):
+    """Also queries of few terms are scored where groups meet: k rows each leave a group, however many texts they meet."""
+    monkeypatch.setattr(similarity, "CELLS", 40 * 30)
+    texts = [" ".join(f"w{j}" for j in range(30) if (n * 7 + j * 11) % 10 < 4) for n in range(200)]
+    closed = spark.createDataFrame(list(enumerate(texts)), "number bigint, feature_text string").cache()
+    asked = [(1000 + n, f"w{n % 30} w{n * 7 % 30} w{n * 3 % 30}") for n in range(40)]
+    queries = spark.createDataFrame(asked, "number bigint, feature_text string")
+    left, score = [], similarity._best_in_blocks
+    monkeypatch.setattr(similarity, "_best_in_blocks", lambda *a, **b: left.append(score(*a, **b).cache()) or left[-1])
+    found = find_similar_for_each(queries, closed, stop_words=STOP, k=3, size=30, split=split).collect()
+    assert len(found) == 120
+    groups = -(-len(texts) // split)
+    assert 120 <= left[-1].count() <= 120 * groups
+    assert {r.query for r in left[-1].collect()} == {n for n, _ in asked}
+    for number, text in asked[:3]:
+        single = find_similar_issues(closed, text, stop_words=STOP, k=3, size=30).collect()
+        assert sorted((r.rank, r.number, r.similarity) for r in found if r.query == number) == [
+            (place, r.number, pytest.approx(r.similarity, abs=2e-9)) for place, r in enumerate(single, 1)]
+
+
+@pytest.mark.parametrize("few", [20, 0, 10 ** 9])
+def test_pairs_are_left_out_only_if_they_cannot_be_among_the_best(few, monkeypatch):
+    """Blocks by single precision first give what whole products give, ties by number, alone or as a block."""
+    monkeypatch.setattr(similarity, "CELLS", 30 * 40)
+    monkeypatch.setattr(similarity, "FEW", few)
+    rng = random.Random(3)
+    idf = np.array([1 + 0.1 * n for n in range(30)])
+
+    def packed(n, key, copies):
+        held = [sorted(rng.sample(range(30), rng.randrange(1, 9))) for _ in range(n)]
+        held = [*held, *held[:copies]] if copies else held
+        tfs = [[1 + (p * 5 + len(ps)) % 3 for p in ps] for ps in held]
+        norm = [math.sqrt(sum((t * idf[p]) ** 2 for p, t in zip(ps, ts))) for ps, ts in zip(held, tfs)]
+        keys = rng.sample(range(10 ** 6), len(held))
+        return pa.table({key: keys, "places": pa.array(held, pa.list_(pa.int32())), "tfs": pa.array(tfs, pa.list_(pa.int32())), "norm": norm})
+
+    texts, asked = packed(150, "number", 40), packed(60, "query", 0)
+    whole = np.round(similarity._matrix(asked, idf) @ similarity._matrix(texts, idf).T, 9)
+    want = {}
+    for query, row in zip(asked["query"].to_pylist(), whole):
+        best = sorted((-score, number) for score, number in zip(row, texts["number"].to_pylist()) if score > 0)[:4]
+        want[query] = [(number, pytest.approx(-score, abs=2e-9)) for score, number in best]
+    lead = pa.array([p[0] for p in asked["places"].to_pylist()], pa.int32())
+    asked = asked.append_column("lead", lead).append_column("least", pa.array([0.0] * 60)).append_column(
+        "idle", pa.array([[]] * 60, pa.list_(pa.int32())))
+    found = similarity._best_of_block(4, idf)(asked, texts)
+    got = {query: [] for query in want}
+    for row in sorted(found.to_pylist(), key=lambda r: (-r["score"], r["number"])):
+        got[row["query"]].append((row["number"], row["score"]))
+    assert got == want
+
+
 def test_many_texts_without_closed_ones(spark):
     queries = spark.createDataFrame([(1, "login")], "number bigint, feature_text string")
     assert find_similar_for_each(queries, frame(spark).limit(0), stop_words=STOP).count() == 0

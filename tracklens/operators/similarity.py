@@ -18,6 +18,7 @@ MARGIN = 1e-8     # above what rounding to nine places can move a score
 DENSE = 4         # terms of a query the average text has, from where on none of them is left out
 CELLS = 2_400_000  # numbers in the matrix of a block of texts
 ROUGH = 2.0 ** -23  # times the terms: above what single precision can move a score
+BLOCKS = 8        # groups that a block's worth of queries may be dealt to
 FEW = 20          # one in so many pairs is multiplied alone, more as a block
 
 
@@ -155,13 +156,13 @@ def _first(k: int, at: np.ndarray, text: np.ndarray, score: np.ndarray) -> tuple
     return at[good], text[order][good], score[order][good], rank[good]
 
 
-def _reaching(left: np.ndarray, looked: np.ndarray, exact: np.ndarray, right: np.ndarray, has: np.ndarray,
+def _reaching(k: int, left: np.ndarray, looked: np.ndarray, exact: np.ndarray, right: np.ndarray, has: np.ndarray,
               beat: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Query, text and score, to nine places, of the pairs that reach what the query has to beat.
+    """Query, text and score, to nine places, of the pairs that reach what the query has to beat, and of its ``k`` best.
 
-    Pairs that cannot, by a product in single precision and its greatest error, are left
-    out; the others are multiplied again in full. ``looked``: each query's terms without which no
-    text reaches; texts with none of them are not multiplied.
+    Pairs that cannot be among those, by a product in single precision and its greatest error,
+    are left out; the others are multiplied again in full. ``looked``: each query's terms without
+    which no text reaches; texts with none of them are not multiplied.
     """
     used = np.flatnonzero(left.any(axis=0))
     some = np.flatnonzero(has[looked.any(axis=0)].any(axis=0))
@@ -171,9 +172,13 @@ def _reaching(left: np.ndarray, looked: np.ndarray, exact: np.ndarray, right: np
     else:
         some = np.arange(len(exact))
         rough = left[:, used].astype(np.float32) @ right[used]
-    least = np.maximum(beat - MARGIN - ROUGH * (left.shape[1] + 4), np.finfo(np.float32).tiny)
-    near = rough >= least.astype(np.float32)[:, None]
-    at, text = np.nonzero(near)
+    error, tiny = MARGIN + ROUGH * (left.shape[1] + 4), np.finfo(np.float32).tiny
+    near = rough >= np.maximum(beat - error, tiny).astype(np.float32)[:, None]
+    if np.count_nonzero(near) * FEW > near.size:
+        last = max(0, len(some) - k)
+        best = np.partition(rough, last, axis=1)[:, last]
+        near &= rough >= (best - 2 * error).astype(np.float32)[:, None]
+    at, text = np.divmod(np.flatnonzero(near), len(some))
     if len(at) * FEW > near.size:
         score = (left @ exact.T)[near]
     else:
@@ -203,7 +208,7 @@ def _best_of_block(k: int, idf: np.ndarray) -> Callable[[pa.Table, pa.Table], pa
                 left = _matrix(part, idf)
                 looked = left > 0
                 looked[_flat(part["idle"])] = False
-                at, text, score, _ = _first(k, *_reaching(left, looked, exact, right, has, beat[first:first + step]))
+                at, text, score, _ = _first(k, *_reaching(k, left, looked, exact, right, has, beat[first:first + step]))
                 found.append((at + first, text + start, score))
             *held, rank = _first(k, *map(np.concatenate, zip(*found)))
             full = rank == k - 1
@@ -221,10 +226,11 @@ def _best_in_blocks(asked: DataFrame, texts: DataFrame, idf: np.ndarray, *, k: i
     block. Only groups are copied: queries once per group of texts, texts once per group of
     queries. Of a task only ``k`` rows per query leave it, none under the query's ``least``.
     """
-    context, many = texts.sparkSession.sparkContext, texts.count()
-    asked_groups = max(1, ceil(asked.count() / split))
-    blocks, tasks = ceil(many * len(idf) / CELLS), ceil(4 * context.defaultParallelism / asked_groups)
-    text_groups = max(1, ceil(many / split), min(blocks, tasks))
+    context, many = texts.sparkSession.sparkContext, asked.count()
+    text_groups = max(1, ceil(texts.count() / split))
+    # Texts stay together for as many cores as there are: what a query has to beat grows with each block.
+    blocks, tasks = ceil(many * len(idf) / CELLS * BLOCKS), ceil(4 * context.defaultParallelism / text_groups)
+    asked_groups = max(1, ceil(many / split), min(blocks, tasks))
     dealt = lambda key, groups: f"pmod(xxhash64({key}), {groups})"
     left = asked.selectExpr("query", "places", "tfs", "norm", "places[0] AS lead", "idle", "least",
                             f"{dealt('query', asked_groups)} AS a", f"explode(sequence(0L, {text_groups - 1}L)) AS b")
